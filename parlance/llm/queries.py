@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from parlance.functions.text import contents
 from parlance.session import table
 
-from . import confusables
+from . import confusables, near
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,5 +19,30 @@ def p9_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusables.groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p9_found, p9_groups)}
+#: Problems 3 and 5 in this project: three words, half of all shingles shared.
+NEAR_3 = near.Params(width=3, threshold=0.5, rows=4, bands=48, kind="hyper")
+NEAR_5 = near.Params(width=3, threshold=0.5, rows=4, bands=48, kind="low")
+
+
+def _texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name == "manifest":
+        return table(spark, sf_dir, name).select(F.col("row_id").alias("id"), F.col("content").alias("text"))
+    return table(spark, sf_dir, name).select(F.col("entry_id").alias("id"), contents(F.col("messages")).alias("text"), "split", "source_id")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = [near.row_pairs(near.near(_texts(spark, sf_dir, t).select("id", "text"), NEAR_3)).select(F.lit(t).alias("table_name"), "id_a", "id_b") for t in ("stage1_entry", "manifest")]
+    return out[0].unionByName(out[1])
+
+
+def _cross_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _texts(spark, sf_dir, "stage1_entry").filter("split in ('train', 'val', 'test')")
+    return near.sided_pairs(near.near(rows.select("id", "text", (F.col("split") != "train").cast("tinyint").alias("side")), NEAR_5, sided=True))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cross_split(spark, sf_dir).select(F.least("x", "y").alias("entry_id_a"), F.greatest("x", "y").alias("entry_id_b"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p5_found, p9_found, p9_groups)}
 ORACLES: dict[str, str] = {}
