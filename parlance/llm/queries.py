@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.functions.text import contents
-from parlance.session import table
+from parlance.functions.text import contents, strip
+from parlance.session import materialize, table
 
-from . import confusables, near
+from . import components, confusables, formatting, leaks, near, packing, sampling
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,5 +44,79 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cross_split(spark, sf_dir).select(F.least("x", "y").alias("entry_id_a"), F.greatest("x", "y").alias("entry_id_b"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p5_found, p9_found, p9_groups)}
+def _populations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(plan, category, id) of all plans."""
+    label = table(spark, sf_dir, "manifest").filter("label is not null").select(F.lit("manifest_label").alias("plan"), F.lower(strip(F.col("label"))).alias("category"), F.col("row_id").alias("id"))
+    entry = table(spark, sf_dir, "stage1_entry")
+    size = F.size("messages")
+    bucket = F.when(size.between(2, 6), "2-6").when(size.between(7, 10), "7-10").when(size.between(11, 16), "11-16").otherwise("17-999")
+    kinds = F.array(F.struct(F.lit("entry_domain").alias("plan"), F.col("domain").alias("category")), F.struct(F.lit("entry_turns").alias("plan"), F.concat("domain", F.lit("/"), bucket).alias("category")))
+    return label.unionByName(entry.select(F.explode(kinds).alias("k"), F.col("entry_id").alias("id")).select("k.plan", "k.category", "id"))
+
+
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.report(sampling.reservoirs(_populations(spark, sf_dir)), table(spark, sf_dir, "sampling_target"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, sf_dir).filter("exhausted").select("plan", "category")
+
+
+def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, sf_dir).select("plan", "category", "population", "available", "required", "taken")
+
+
+def p2_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.sample(_populations(spark, sf_dir), table(spark, sf_dir, "sampling_target"))
+
+
+def _components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(components.update_components(None, components.ties(table(spark, sf_dir, "manifest"))), "components")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = table(spark, sf_dir, "stage1_entry").select("entry_id", "source_id", "split")
+    return components.spread_rows(entries, _components(spark, sf_dir))
+
+
+def p4_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = table(spark, sf_dir, "stage1_entry").select("entry_id", "source_id", "split")
+    groups = components.source_groups(entries, _components(spark, sf_dir)).groupBy("group_key").agg(F.max("group_rows").alias("group_rows"), F.max("low").alias("low"), F.max("high").alias("high"))
+    return components.assign(groups)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of = {
+        "manifest": formatting.prints(table(spark, sf_dir, "manifest"), "row_id", formatting.canonical_text(F.col("content"))),
+        "stage1_entry": formatting.prints(table(spark, sf_dir, "stage1_entry"), "entry_id", formatting.canonical_messages(F.col("messages"))),
+    }
+    out = [formatting.copies(p).select(F.lit(t).alias("table_name"), "record_id", "first_id") for t, p in of.items()]
+    return out[0].unionByName(out[1])
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    capacities = table(spark, sf_dir, "pack_capacity")
+    return packing.pack(packing.token_counts(table(spark, sf_dir, "documents")), capacities), capacities
+
+
+def p7_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(spark, sf_dir)[0]
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fill_report(*_packed(spark, sf_dir))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
+
+
+def p8_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.Index(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item")).proximity()
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (p2_found, p2_report, p2_sample, p3_found, p4_found, p4_assignment, p5_found, p6_found, p7_sequences, p7_fill, p8_found, p8_proximity, p9_found, p9_groups)
+}
 ORACLES: dict[str, str] = {}
