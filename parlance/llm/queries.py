@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from parlance.functions.text import contents, strip
 from parlance.session import materialize, table
 
-from . import components, confusables, formatting, leaks, near, packing, sampling
+from . import components, confusables, defects, formatting, leaks, near, packing, sampling
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,22 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cross_split(spark, sf_dir).select(F.least("x", "y").alias("entry_id_a"), F.greatest("x", "y").alias("entry_id_b"))
 
 
+def _pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(record_id, field, prompt, answer) of stage2_variant and of both sides of stage2_pair; contents only."""
+    said = lambda c: F.transform(c, lambda m: m["content"])
+    variant = table(spark, sf_dir, "stage2_variant").select(F.col("variant_id").alias("record_id"), F.lit("variant_messages").alias("field"), said("prefix_messages").alias("prompt"), said("variant_messages").alias("answer"))
+    pair = table(spark, sf_dir, "stage2_pair")
+    sides = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), said(c).alias("answer")) for c in ("chosen", "rejected")])).alias("side")
+    pair = pair.select(F.col("pair_id").alias("record_id"), said("messages").alias("prompt"), sides).select("record_id", "side.field", "prompt", "side.answer")
+    return variant, pair
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    variant, pair = _pairs(spark, sf_dir)
+    model = defects.fit(defects.sample_prompts(variant) + defects.sample_prompts(pair.filter("field = 'chosen'")))
+    return defects.defective(variant.unionByName(pair), model)
+
+
 def _populations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(plan, category, id) of all plans."""
     label = table(spark, sf_dir, "manifest").filter("label is not null").select(F.lit("manifest_label").alias("plan"), F.lower(strip(F.col("label"))).alias("category"), F.col("row_id").alias("id"))
@@ -117,6 +133,6 @@ def p8_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p2_report, p2_sample, p3_found, p4_found, p4_assignment, p5_found, p6_found, p7_sequences, p7_fill, p8_found, p8_proximity, p9_found, p9_groups)
+    for f in (p1_found, p2_found, p2_report, p2_sample, p3_found, p4_found, p4_assignment, p5_found, p6_found, p7_sequences, p7_fill, p8_found, p8_proximity, p9_found, p9_groups)
 }
 ORACLES: dict[str, str] = {}
