@@ -136,14 +136,18 @@ def skeleton(text: str) -> str:
 #: The same classes for the JVM: a text that matches nowhere is in its one form.
 _JAVA = lambda *rs: "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in rs)
 _ODD = _JAVA(*ALPHABETS.values())
-SUSPECT = f"[{_JAVA(*WIDE, *SPACES, *INVISIBLE, (0x200D, 0x200D))}\\p{{M}}]|[\\p{{L}}&&[^{_ODD}]][{_ODD}]|[{_ODD}][\\p{{L}}&&[^{_ODD}]]|" + "|".join(f"[{_JAVA(ALPHABETS[a])}][{_JAVA(ALPHABETS[b])}]" for a in ALPHABETS for b in ALPHABETS if a != b)
+MARKED = f"[{_JAVA(*WIDE, *SPACES, *INVISIBLE, (0x200D, 0x200D))}\\p{{M}}]"
+ODD_LETTER = f"[{_ODD}]"
+MIXED = f"[\\p{{L}}&&[^{_ODD}]][{_ODD}]|[{_ODD}][\\p{{L}}&&[^{_ODD}]]|" + "|".join(f"[{_JAVA(ALPHABETS[a])}][{_JAVA(ALPHABETS[b])}]" for a in ALPHABETS for b in ALPHABETS if a != b)
 NOT_ASCII = r"[^\x00-\x7f]"
 
 
-def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        forms = [one_form(t) for t in pdf["text"]]
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "clean": [f[0] for f in forms], "kinds": [f[1] for f in forms]})
+def _forms_udf():
+    def forms(texts: pd.Series) -> pd.DataFrame:
+        found = [(None, []) if t is None else one_form(t) for t in texts]
+        return pd.DataFrame({"clean": [f[0] for f in found], "kinds": [f[1] for f in found]})
+
+    return F.pandas_udf(forms, "clean string, kinds array<string>")
 
 
 def _skeletons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -157,19 +161,18 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _suspect() -> Column:
-    return F.col("text").rlike(NOT_ASCII) & F.col("text").rlike(SUSPECT)
+    t = F.col("text")
+    return t.rlike(NOT_ASCII) & (t.rlike(MARKED) | (t.rlike(ODD_LETTER) & t.rlike(MIXED)))
 
 
 def normalized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, clean, kinds) of every row: each text in its one form, and what kept it from it.
 
-    Texts with none of the characters in question are in form and never leave the JVM; the others go to Python in Arrow
-    batches. Null texts keep a null form and no kinds; empty texts are in form. Other columns are not looked at; repeated
+    Texts with none of the characters in question are in form and go to Python as nulls only; the others in Arrow batches. Null texts keep a null form and no kinds; empty texts are in form. Other columns are not looked at; repeated
     rows come out repeated.
     """
-    rows = _rows(docs, id_col, text_col)
-    plain = rows.filter(~F.coalesce(_suspect(), F.lit(False))).select("doc_id", F.col("text").alias("clean"), F.array().cast("array<string>").alias("kinds"))
-    return plain.unionByName(rows.filter(_suspect()).mapInPandas(_forms, "doc_id bigint, clean string, kinds array<string>"))
+    rows = _rows(docs, id_col, text_col).withColumn("form", _forms_udf()(F.when(_suspect(), F.col("text"))))
+    return rows.select("doc_id", F.coalesce("form.clean", "text").alias("clean"), F.col("form.kinds").alias("kinds"))
 
 
 def kinds_found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
