@@ -16,12 +16,24 @@ from parlance.functions.text import words
 from parlance.operators.skew import bounded_semi_filter
 from parlance.session import materialize
 
-from .confusables import normalized
+from .confusables import ODD_LETTER, PROTOTYPE, normalized
 
 #: Up to so many item words the vocabulary is broadcast (some 100 MB at most); beyond, postings are found by a shuffle.
 BROADCAST_WORDS = 2_000_000
 
 
+#: Lower-case letters of other alphabets and the Latin letters that they look like.
+_LOW = {c: p for c, p in PROTOTYPE.items() if c.islower() and p.islower()}
+
+
+def terms(clean: Column) -> Column:
+    """The words of a text in one form; a word made of look-alikes only, on which form can't decide, by its prototype."""
+    own, latin = "".join(_LOW), "".join(_LOW.values())
+    plain = words(clean)
+    same = F.transform(plain, lambda w: F.when(w.rlike(f"^[{own}]+$"), F.translate(w, own, latin)).otherwise(w))
+    return F.when(clean.rlike(ODD_LETTER), same).otherwise(plain)
+
+
 def _broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
@@ -35,29 +47,42 @@ class Index:
 
     def __init__(self, docs: DataFrame, items: DataFrame, phrase: int = 13):
         self.phrase = phrase
-        item_words = normalized(items, "item_id").select(F.col("doc_id").alias("item_id"), F.posexplode(words(F.col("clean"))).alias("ipos", "term"))
+        item_words = normalized(items, "item_id").select(F.col("doc_id").alias("item_id"), F.posexplode(terms(F.col("clean"))).alias("ipos", "term"))
         item_words = materialize(item_words, "item-words")
         n = item_words.count()
         self.small = n <= BROADCAST_WORDS
         vocabulary = item_words.select("term").distinct()
         vocabulary = materialize(vocabulary.select("term", F.xxhash64("term").alias("t")), "vocabulary")
         self.items = materialize(item_words.select("item_id", "ipos", F.xxhash64("term").alias("t")), "items")
-        spelled = normalized(docs).select("doc_id", F.posexplode(words(F.col("clean"))).alias("pos", "term"))
+        spelled = normalized(docs).select("doc_id", F.posexplode(terms(F.col("clean"))).alias("pos", "term"))
         self.postings = materialize(spelled.join(_broadcast_if(vocabulary, self.small), "term").select("t", "doc_id", "pos"), "postings")
 
     def seeds(self) -> DataFrame:
-        """(item_id, ipos, t): the rarest term of every stretch of ``phrase`` words; none where a term is not in the corpus."""
+        """(item_id, seed, seed_t, ipos, t): of every stretch of ``phrase`` words its rarest term, and the next two rarest with it.
+
+        A stretch with a term that isn't in the corpus can't be there, so it has no seed.
+        """
         df = self.postings.groupBy("t").agg(F.count("*").alias("df"))
         ranked = self.items.join(df, "t", "left").withColumn("df", F.coalesce("df", F.lit(0)))
         ahead = Window.partitionBy("item_id").orderBy("ipos").rowsBetween(0, self.phrase - 1)
-        best = ranked.select("item_id", F.min(F.struct("df", "t", "ipos")).over(ahead).alias("best"), F.count("*").over(ahead).alias("n"))
-        return best.filter(f"n = {self.phrase} and best.df > 0").select("item_id", "best.ipos", "best.t").distinct()
+        best = ranked.select("item_id", F.slice(F.array_sort(F.collect_list(F.struct("df", "ipos", "t")).over(ahead)), 1, 3).alias("best"), F.count("*").over(ahead).alias("n"))
+        best = best.filter(f"n = {self.phrase} and best[0].df > 0").select("item_id", F.col("best")[0]["ipos"].alias("seed"), F.col("best")[0]["t"].alias("seed_t"), F.explode(F.slice("best", 2, 2)).alias("b"))
+        return best.select("item_id", "seed", "seed_t", "b.ipos", "b.t").distinct()
 
     def candidates(self) -> DataFrame:
-        """(doc_id, item_id, shift): diagonals with a posting of a seed."""
+        """(doc_id, item_id, shift): diagonals on which a seed and two terms that go with it all have postings.
+
+        Intersects from the rarest list on: the postings of a seed, shifted by its place in the item, meet the shifted
+        postings of its companions.
+        """
         seeds = materialize(self.seeds(), "seeds")
-        found = self.postings.join(_broadcast_if(seeds, self.small), "t")
-        return materialize(found.select("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("shift")).distinct(), "diagonals")
+        first = seeds.select("item_id", "seed", F.col("seed_t").alias("t")).distinct()
+        found = self.postings.join(_broadcast_if(first, self.small), "t").select("doc_id", "item_id", "seed", (F.col("pos") - F.col("seed")).alias("shift"))
+        found = materialize(found, "seeded")
+        wanted = found.join(_broadcast_if(seeds.select("item_id", "seed", "ipos", "t"), self.small), ["item_id", "seed"]).select("doc_id", "item_id", "seed", "shift", "ipos", "t", (F.col("shift") + F.col("ipos")).alias("pos"))
+        hits = wanted.filter("pos >= 0").join(bounded_semi_filter(self.postings, found, "doc_id"), ["doc_id", "pos", "t"])
+        agreed = hits.groupBy("doc_id", "item_id", "seed", "shift").agg(F.countDistinct("ipos").alias("n")).filter(f"n >= {min(2, self.phrase - 1)}")
+        return materialize(agreed.select("doc_id", "item_id", "shift").distinct(), "diagonals")
 
     def _near_postings(self, candidates: DataFrame) -> DataFrame:
         return bounded_semi_filter(self.postings, candidates, "doc_id")
