@@ -25,6 +25,7 @@ from pyspark.sql import Window
 from parlance.session import materialize, tasks_for
 
 from . import sketch
+from .components import connect, of_nodes
 
 
 class Params(NamedTuple):
@@ -227,3 +228,16 @@ def sided_pairs(found: Near) -> DataFrame:
     y = members.filter("side = 1").select(F.col("id").alias("y"), F.col("class_id").alias("b"))
     within = x.join(y, F.col("a") == F.col("b")).select("x", "y")
     return found.links.select("a", "b").join(x, "a").join(y, "b").select("x", "y").unionByName(within)
+
+
+def grouped(found: Near) -> DataFrame:
+    """(id, class_id, n_links, group_id) of every row that has copies or linked texts.
+
+    n_links: other classes that the row's class is linked to. group_id: least class of all that links tie together.
+    """
+    links = materialize(found.links.select(*[F.lpad(F.col(c).cast("string"), 20, "0").alias(c) for c in ("a", "b")]), "named-links")
+    ends = links.select(F.explode(F.array("a", "b")).alias("node"), F.concat_ws("|", "a", "b").alias("key"))
+    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
+    tied = of_nodes(connect(ends)).join(degree, "node").select(F.col("node").cast("bigint").alias("class_id"), F.col("component").cast("bigint").alias("group_id"), "n_links")
+    rows = found.members.join(tied, "class_id", "left").filter("n_rows > 1 or group_id is not null")
+    return rows.select("id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("group_id", "class_id").alias("group_id"))

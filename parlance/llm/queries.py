@@ -35,6 +35,15 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row that is nearly the same as others: its class of copies, that class's links, and the group that links tie together."""
+    out = []
+    for t in ("stage1_entry", "manifest"):
+        found = near.near(_texts(spark, sf_dir, t).select("id", "text"), NEAR_3)
+        out.append(near.grouped(found).select(F.lit(t).alias("table_name"), "id", "class_id", "n_links", "group_id"))
+    return out[0].unionByName(out[1])
+
+
 def _cross_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _texts(spark, sf_dir, "stage1_entry").filter("split in ('train', 'val', 'test')")
     return near.sided_pairs(near.near(rows.select("id", "text", (F.col("split") != "train").cast("tinyint").alias("side")), NEAR_5, sided=True))
@@ -60,6 +69,13 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return defects.defective(variant.unionByName(pair), model)
 
 
+def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(split, source_id, n_rows, n_pairs): val and test rows that stand in train, and with how many rows."""
+    by_row = _cross_split(spark, sf_dir).groupBy("y").agg(F.count("*").alias("n"))
+    rows = table(spark, sf_dir, "stage1_entry").select(F.col("entry_id").alias("y"), "split", "source_id")
+    return rows.join(by_row, "y").groupBy("split", "source_id").agg(F.count("*").alias("n_rows"), F.sum("n").alias("n_pairs"))
+
+
 def _populations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(plan, category, id) of all plans."""
     label = table(spark, sf_dir, "manifest").filter("label is not null").select(F.lit("manifest_label").alias("plan"), F.lower(strip(F.col("label"))).alias("category"), F.col("row_id").alias("id"))
@@ -101,12 +117,21 @@ def p4_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return components.assign(groups)
 
 
-def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    of = {
+def _prints(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {
         "manifest": formatting.prints(table(spark, sf_dir, "manifest"), "row_id", formatting.canonical_text(F.col("content"))),
         "stage1_entry": formatting.prints(table(spark, sf_dir, "stage1_entry"), "entry_id", formatting.canonical_messages(F.col("messages"))),
     }
-    out = [formatting.copies(p).select(F.lit(t).alias("table_name"), "record_id", "first_id") for t, p in of.items()]
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = [formatting.copies(p).select(F.lit(t).alias("table_name"), "record_id", "first_id") for t, p in _prints(spark, sf_dir).items()]
+    return out[0].unionByName(out[1])
+
+
+def p6_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record of each form, with its number of copies."""
+    out = [formatting.kept_with_counts(p).select(F.lit(t).alias("table_name"), "first_id", "n_copies") for t, p in _prints(spark, sf_dir).items()]
     return out[0].unionByName(out[1])
 
 
@@ -133,6 +158,42 @@ def p8_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p2_found, p2_report, p2_sample, p3_found, p4_found, p4_assignment, p5_found, p6_found, p7_sequences, p7_fill, p8_found, p8_proximity, p9_found, p9_groups)
+    for f in (
+        p1_found, p2_found, p2_report, p2_sample, p3_found, p3_groups, p4_found, p4_assignment, p5_found, p5_report,
+        p6_found, p6_kept, p7_sequences, p7_fill, p8_found, p8_proximity, p9_found, p9_groups,
+    )
+}
+
+_BUCKET = "CASE WHEN len(messages) BETWEEN 2 AND 6 THEN '2-6' WHEN len(messages) BETWEEN 7 AND 10 THEN '7-10' WHEN len(messages) BETWEEN 11 AND 16 THEN '11-16' ELSE '17-999' END"
+_REPORT = f"""WITH pop AS (SELECT 'manifest_label' plan, lower(regexp_replace(label, '^\\s+|\\s+$', '', 'g')) category FROM manifest WHERE label IS NOT NULL
+UNION ALL SELECT 'entry_domain', domain FROM stage1_entry UNION ALL SELECT 'entry_turns', domain || '/' || {_BUCKET} FROM stage1_entry),
+n AS (SELECT plan, count(*) population FROM pop GROUP BY 1), c AS (SELECT plan, category, count(*) available FROM pop GROUP BY ALL),
+r AS (SELECT t.plan, t.category, coalesce(population, 0) population, coalesce(available, 0) available, greatest(min_rows, coalesce(population, 0) * sample_pct * target_pct // 10000)::BIGINT required FROM sampling_target t LEFT JOIN n USING (plan) LEFT JOIN c ON c.plan = t.plan AND c.category = t.category)"""
+_TEXT = "array_to_string([coalesce(m.content, '') for m in messages], chr(10))"
+_PAIRS = f"""WITH w AS (SELECT 'stage1_entry' t, entry_id id, regexp_extract_all(lower({_TEXT}), '[\\p{{L}}\\p{{N}}]+') w FROM stage1_entry
+UNION ALL SELECT 'manifest', row_id, regexp_extract_all(lower(content), '[\\p{{L}}\\p{{N}}]+') FROM manifest),
+s AS (SELECT DISTINCT t, id, unnest([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) g FROM w WHERE len(w) >= 3),
+n AS (SELECT t, id, count(*) n FROM s GROUP BY ALL),
+p AS (SELECT a.t, a.id ia, b.id ib, count(*) k FROM s a JOIN s b ON a.t = b.t AND a.g = b.g AND a.id < b.id GROUP BY ALL),
+found AS (SELECT p.t, ia, ib FROM p JOIN n x ON x.t = p.t AND x.id = ia JOIN n y ON y.t = p.t AND y.id = ib WHERE 2 * k >= x.n + y.n - k)"""
+_CROSS = f"{_PAIRS}, crossing AS (SELECT ia, ib, a.split sa, b.split sb, a.source_id ca, b.source_id cb FROM found JOIN stage1_entry a ON a.entry_id = ia JOIN stage1_entry b ON b.entry_id = ib WHERE t = 'stage1_entry' AND a.split IN ('train', 'val', 'test') AND b.split IN ('train', 'val', 'test') AND (a.split = 'train') <> (b.split = 'train'))"
+_BARE = lambda x: f"regexp_replace(lower(upper({x})), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+_FORMS = f"""WITH f AS (SELECT 'manifest' t, row_id id, CASE WHEN json_valid(content) AND json_type(CASE WHEN json_valid(content) THEN content ELSE '0' END) = 'OBJECT' THEN
+  '{{' || array_to_string(list_sort([{_BARE('k')} || chr(31) || coalesce({_BARE("json_extract_string(content, '$.\"' || k || '\"')")}, '') for k in json_keys(CASE WHEN json_valid(content) THEN content ELSE '{{}}' END)]), chr(30)) ELSE {_BARE('content')} END form FROM manifest WHERE content IS NOT NULL
+UNION ALL SELECT 'stage1_entry', entry_id, len(messages) || chr(30) || array_to_string([coalesce(lower(m.role), '') || chr(31) || coalesce({_BARE('m.content')}, '') for m in messages], chr(30)) FROM stage1_entry WHERE messages IS NOT NULL),
+g AS (SELECT t, id, min(id) OVER (PARTITION BY t, form) first_id, count(*) OVER (PARTITION BY t, form) n FROM f)"""
+_SPREAD = """WITH RECURSIVE e AS (SELECT DISTINCT custom_id node, lower(regexp_replace(pid, '^\\s+|\\s+$', '', 'g')) k FROM manifest WHERE custom_id IS NOT NULL AND regexp_replace(pid, '\\s', '', 'g') <> ''),
+r(a, b) AS (SELECT node, node FROM e UNION SELECT r.a, y.node FROM r JOIN e x ON x.node = r.b JOIN e y ON y.k = x.k),
+c AS (SELECT a node, min(b) component FROM r GROUP BY 1),
+s AS (SELECT entry_id, source_id, split, coalesce(component, source_id) component FROM stage1_entry LEFT JOIN c ON node = source_id WHERE source_id IS NOT NULL),
+g AS (SELECT component, min(source_id) group_key FROM s GROUP BY 1 HAVING count(DISTINCT split) > 1)"""
+ORACLES: dict[str, str] = {
+    "p2_found": f"{_REPORT} SELECT plan, category FROM r WHERE available < required",
+    "p2_report": f"{_REPORT} SELECT plan, category, population, available, required, least(available, required) taken FROM r",
+    "p3_found": f"{_PAIRS} SELECT t table_name, ia id_a, ib id_b FROM found",
+    "p4_found": f"{_SPREAD} SELECT entry_id, group_key FROM s JOIN g USING (component)",
+    "p5_found": f"{_CROSS} SELECT ia entry_id_a, ib entry_id_b FROM crossing",
+    "p5_report": f"{_CROSS}, held AS (SELECT CASE WHEN sa = 'train' THEN ib ELSE ia END id, CASE WHEN sa = 'train' THEN sb ELSE sa END split, CASE WHEN sa = 'train' THEN cb ELSE ca END source_id FROM crossing) SELECT split, source_id, count(DISTINCT id) n_rows, count(*) n_pairs FROM held GROUP BY ALL",
+    "p6_found": f"{_FORMS} SELECT t table_name, id record_id, first_id FROM g WHERE n > 1",
+    "p6_kept": f"{_FORMS} SELECT DISTINCT t table_name, first_id, n n_copies FROM g",
 }
-ORACLES: dict[str, str] = {}
