@@ -177,7 +177,7 @@ n AS (SELECT t, id, count(*) n FROM s GROUP BY ALL),
 p AS (SELECT a.t, a.id ia, b.id ib, count(*) k FROM s a JOIN s b ON a.t = b.t AND a.g = b.g AND a.id < b.id GROUP BY ALL),
 found AS (SELECT p.t, ia, ib FROM p JOIN n x ON x.t = p.t AND x.id = ia JOIN n y ON y.t = p.t AND y.id = ib WHERE 2 * k >= x.n + y.n - k)"""
 _CROSS = f"{_PAIRS}, crossing AS (SELECT ia, ib, a.split sa, b.split sb, a.source_id ca, b.source_id cb FROM found JOIN stage1_entry a ON a.entry_id = ia JOIN stage1_entry b ON b.entry_id = ib WHERE t = 'stage1_entry' AND a.split IN ('train', 'val', 'test') AND b.split IN ('train', 'val', 'test') AND (a.split = 'train') <> (b.split = 'train'))"
-_BARE = lambda x: f"regexp_replace(lower(upper({x})), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+_BARE = lambda x: f"regexp_replace(replace(lower({x}), 'ß', 'ss'), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
 _FORMS = f"""WITH f AS (SELECT 'manifest' t, row_id id, CASE WHEN json_valid(content) AND json_type(CASE WHEN json_valid(content) THEN content ELSE '0' END) = 'OBJECT' THEN
   '{{' || array_to_string(list_sort([{_BARE('k')} || chr(31) || coalesce({_BARE("json_extract_string(content, '$.\"' || k || '\"')")}, '') for k in json_keys(CASE WHEN json_valid(content) THEN content ELSE '{{}}' END)]), chr(30)) ELSE {_BARE('content')} END form FROM manifest WHERE content IS NOT NULL
 UNION ALL SELECT 'stage1_entry', entry_id, len(messages) || chr(30) || array_to_string([coalesce(lower(m.role), '') || chr(31) || coalesce({_BARE('m.content')}, '') for m in messages], chr(30)) FROM stage1_entry WHERE messages IS NOT NULL),
