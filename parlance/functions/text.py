@@ -12,8 +12,8 @@ NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
 def fold(c: Column) -> Column:
-    """Case folding: upper, then lower, so that 'ß' equals 'SS' and all sigmas are one."""
-    return F.lower(F.upper(c))
+    """Case folding: lower case with 'ß' as 'ss', and one form of sigma and of s."""
+    return F.replace(F.translate(F.lower(c), "ςſ", "σs"), F.lit("ß"), F.lit("ss"))
 
 
 def words(c: Column) -> Column:
