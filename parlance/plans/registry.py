@@ -286,8 +286,12 @@ _chars = "CASE domain " + " ".join(f"WHEN '{n}' THEN [{', '.join(repr(x) for x i
 _names = "CASE domain " + " ".join(f"WHEN '{n}' THEN [{', '.join(repr(x) for x in d.names)}]" for n, d in DOMAINS.items()) + " END"
 _char_scores = "CASE domain " + " ".join(f"WHEN '{n}' THEN [{', '.join('scores.' + x for x in d.char_names)}]" for n, d in DOMAINS.items()) + " END"
 _all_scores = "CASE domain " + " ".join(f"WHEN '{n}' THEN [{', '.join('scores.' + x for x in d.names)}]" for n, d in DOMAINS.items()) + " END"
-_mean = lambda m, dims: f"list_aggregate([{m}[d] for d in {dims} if {m}[d] IS NOT NULL], 'favg')"
-_tiered = f"tiered AS (SELECT *, CASE WHEN a < 0.40e0 THEN 'low' WHEN a < 0.70e0 THEN 'medium' ELSE 'high' END tier, CASE WHEN a < 0.55e0 THEN 'positive' ELSE 'negative' END direction FROM (SELECT *, list_aggregate(list_filter({_char_scores}, lambda x: x IS NOT NULL), 'favg') a, {_chars} chars FROM {{src}} WHERE split IS NULL OR split = 'train') WHERE a IS NOT NULL)"
+# exact means: doubles of [0, 1] are whole multiples of 2^-60 here; sums of whole numbers are exact, and the quotient is
+# rounded once, when it becomes a double, with a bit that tells whether anything was cut off
+_sum60 = lambda xs: f"list_sum([(x * 1152921504606846976e0)::BIGINT for x in {xs}])"
+_exact = lambda xs: f"((4 * {_sum60(xs)} // len({xs}) + CASE WHEN 4 * {_sum60(xs)} % len({xs}) <> 0 AND 4 * {_sum60(xs)} // len({xs}) % 2 = 0 THEN 1 ELSE 0 END)::BIGINT::DOUBLE / 4611686018427387904e0)"
+_mean = lambda m, dims: _exact(f"[{m}[d] for d in {dims} if {m}[d] IS NOT NULL]")
+_tiered = f"tiered AS (SELECT *, CASE WHEN a < 0.40e0 THEN 'low' WHEN a < 0.70e0 THEN 'medium' ELSE 'high' END tier, CASE WHEN a < 0.55e0 THEN 'positive' ELSE 'negative' END direction FROM (SELECT *, {_exact(f'list_filter({_char_scores}, lambda x: x IS NOT NULL)')} a, {_chars} chars FROM {{src}} WHERE split IS NULL OR split = 'train') WHERE a IS NOT NULL)"
 _cand = f"""{_tiered}, kinds AS (
   SELECT entry_id, dialogue_id, messages, direction, CASE direction WHEN 'positive' THEN 'global_improve' ELSE 'global_degrade' END variant_type, chars targets FROM tiered WHERE domain <> 'commonsense'
   UNION ALL SELECT entry_id, dialogue_id, messages, direction, 'dimension_targeted', [d] FROM (SELECT *, unnest(chars) d FROM tiered)),
