@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from parlance.operators.skew import lookup_join
 from parlance.session import materialize, tasks_for
 
 from . import sketch
@@ -148,7 +149,12 @@ def _bits_of(ids: DataFrame, p: Params) -> np.ndarray:
 
 
 def bucket_pairs(kept: DataFrame, hot: int, sided: bool) -> DataFrame:
-    """Distinct pairs (ca, cb) of classes that share a bucket of ``kept``(key, c, side).
+    """Distinct pairs (ca, cb) of classes that share a bucket of ``kept``(key, c, side)."""
+    return cell_pairs(kept, hot, sided).distinct()
+
+
+def cell_pairs(kept: DataFrame, hot: int, sided: bool) -> DataFrame:
+    """Pairs (ca, cb) of members of each bucket of ``kept``(key, c, side), each pair once for each bucket.
 
     A bucket of m rows is cut into g = ceil(m / hot) blocks; each of its pairs of blocks is a cell joined on its own, so a
     hot bucket is spread over g^2 / 2 cells and none of its pairs is lost.
@@ -158,11 +164,11 @@ def bucket_pairs(kept: DataFrame, hot: int, sided: bool) -> DataFrame:
     if sided:
         left = sized.filter("side = 0").select("key", F.col("c").alias("ca"), F.col("block").alias("i"), F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j"))
         right = sized.filter("side = 1").select("key", F.col("c").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("i"), F.col("block").alias("j"))
-        return left.join(right, ["key", "i", "j"]).filter("ca <> cb").select("ca", "cb").distinct()
+        return left.join(right, ["key", "i", "j"]).filter("ca <> cb").select("ca", "cb")
     left = sized.select("key", F.col("c").alias("ca"), F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("g") - 1)).alias("j"))
     right = sized.select("key", F.col("c").alias("cb"), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"))
     pairs = left.join(right, ["key", "i", "j"]).filter("ca < cb or (i < j and ca <> cb)")
-    return pairs.select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
+    return pairs.select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
 
 
 def near(rows: DataFrame, p: Params, sided: bool = False) -> Near:
@@ -200,13 +206,12 @@ def near(rows: DataFrame, p: Params, sided: bool = False) -> Near:
     if not sided:
         links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "inter", "total")
 
-    ids = sketched.select("id", "side", "c1", "c2")
-    named = sketched.groupBy("c1", "c2").agg(F.min("id").alias("class_id"), F.count("*").alias("n_rows"))
-    members = ids.join(named, ["c1", "c2"]).select("id", "side", "class_id", "n_rows")
+    named = materialize(sketched.groupBy("c1", "c2").agg(F.min("id").alias("class_id"), F.count("*").alias("n_rows")), "classes")
+    members = lookup_join(sketched.select("id", "side", "c1", "c2"), named, ["c1", "c2"], "n_rows").select("id", "side", "class_id", "n_rows")
     return Near(links, members)
 
 
-def row_pairs(found: Near) -> DataFrame:
+def row_pairs(found: Near, hot: int = 20_000) -> DataFrame:
     """(id_a, id_b), id_a < id_b: every pair of rows that are copies or members of linked classes."""
     linked = found.links.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
     alone = found.members.filter("n_rows > 1")
@@ -215,18 +220,18 @@ def row_pairs(found: Near) -> DataFrame:
     y = members.select(F.col("id").alias("y"), F.col("class_id").alias("b"))
     across = found.links.select("a", "b").join(x, "a").join(y, "b")
     copies = members.filter("n_rows > 1")
-    within = copies.select(F.col("id").alias("x"), "class_id").join(copies.select(F.col("id").alias("y"), "class_id"), "class_id").filter("x < y")
+    within = cell_pairs(copies.select(F.col("class_id").alias("key"), F.col("id").alias("c"), F.lit(0).alias("side")), hot, False).toDF("x", "y")
     return across.select("x", "y").unionByName(within.select("x", "y")).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
-def sided_pairs(found: Near) -> DataFrame:
+def sided_pairs(found: Near, hot: int = 20_000) -> DataFrame:
     """(x, y): x of side 0, y of side 1, copies or members of linked classes."""
     linked = found.links.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
     two = found.members.groupBy("class_id").agg((F.max("side") - F.min("side")).alias("d")).filter("d > 0").select("class_id")
     members = materialize(found.members.join(linked.unionByName(two).distinct(), "class_id", "left_semi").select("id", "side", "class_id"), "members")
     x = members.filter("side = 0").select(F.col("id").alias("x"), F.col("class_id").alias("a"))
     y = members.filter("side = 1").select(F.col("id").alias("y"), F.col("class_id").alias("b"))
-    within = x.join(y, F.col("a") == F.col("b")).select("x", "y")
+    within = cell_pairs(members.select(F.col("class_id").alias("key"), F.col("id").alias("c"), "side"), hot, True).toDF("x", "y")
     return found.links.select("a", "b").join(x, "a").join(y, "b").select("x", "y").unionByName(within)
 
 
