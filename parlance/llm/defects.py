@@ -69,26 +69,26 @@ REFUSALS = {
     ),
     "de": (
         ("", "Es tut mir leid, aber ", "Leider gilt: ", "Entschuldigung, ", "Als automatischer Assistent: "),
-        ("ich kann nicht helfen bei", "ich darf nicht fortfahren mit", "ich lehne ab:", "ich muss ablehnen:", "ich bin nicht in der Lage zu"),
-        ("dieser Anfrage", "solchen Inhalten", "dieser Umschreibung", "diesem Gespräch als Text", "der gewünschten Fortsetzung", "diesem Auftrag"),
+        ("ich kann nicht helfen bei", "ich darf nicht fortfahren mit", "ich lehne ab:", "ich muss ablehnen:", "ich bin nicht in der Lage zu", "ich werde nicht schreiben:", "ich verzichte auf"),
+        ("dieser Anfrage", "solchen Inhalten", "dieser Umschreibung", "diesem Gespräch als Text", "der gewünschten Fortsetzung", "der verlangten Fortsetzung", "diesem Auftrag", "dieser Überarbeitung", "einer Antwort auf diese Eingabe"),
         ("", " Bitte stelle eine andere Anfrage.", " Bitte gib einen anderen Auftrag."),
     ),
     "fr": (
         ("", "Je suis désolé, mais ", "Malheureusement, ", "Désolé, ", "En tant qu'assistant automatique, "),
-        ("je ne peux pas aider avec", "je dois refuser", "il m'est impossible d'écrire", "je ne suis pas en mesure de produire", "je préfère ne pas générer"),
-        ("cette demande", "ce type de contenu", "cette réécriture", "la suite demandée", "ce dialogue réécrit"),
+        ("je ne peux pas aider avec", "je ne peux pas produire", "je ne peux pas écrire", "je dois refuser", "il m'est impossible d'écrire", "il m'est impossible de compléter", "je ne suis pas en mesure de produire", "je préfère ne pas générer"),
+        ("cette demande", "ce type de contenu", "cette réécriture", "la suite demandée", "la continuation demandée", "ce dialogue réécrit", "cette conversation modifiée"),
         ("", " Merci de proposer une autre demande.", " Veuillez envoyer une autre demande."),
     ),
     "es": (
         ("", "Lo siento, pero ", "Lamentablemente ", "Como asistente automático, ", "Disculpa, "),
-        ("no puedo ayudar con", "debo rechazar", "no me es posible escribir", "no estoy en condiciones de producir", "prefiero no generar"),
-        ("esta petición", "esta solicitud", "este tipo de contenido", "esta reescritura", "la continuación pedida"),
+        ("no puedo ayudar con", "no puedo producir", "no puedo escribir", "debo rechazar", "no me es posible escribir", "no me es posible completar", "no estoy en condiciones de producir", "prefiero no generar"),
+        ("esta petición", "esta solicitud", "este tipo de contenido", "esta reescritura", "la continuación pedida", "la continuación solicitada", "la conversación modificada", "el texto solicitado"),
         ("", " Por favor, envía otra petición.", " Por favor, haz otra solicitud."),
     ),
     "ru": (
         ("", "Извините, но ", "К сожалению, ", "Как автоматический помощник, ", "Простите, "),
-        ("я не могу помочь с", "я вынужден отклонить", "мне нельзя продолжать", "я не буду писать", "я отказываюсь создавать"),
-        ("этот запрос", "такой текст", "это переписывание", "таким содержанием", "этим запросом", "такое задание", "этим заданием", "продолжение диалога"),
+        ("я не могу помочь с", "я не могу выполнить", "я не могу написать", "я вынужден отклонить", "мне нельзя продолжать", "я не буду писать", "я отказываюсь создавать"),
+        ("этот запрос", "такой текст", "это переписывание", "эту переработку", "таким содержанием", "этим запросом", "такое задание", "этим заданием", "продолжение диалога", "запрошенное продолжение", "запрошенный текст", "требуемое продолжение", "эту просьбу"),
         ("", " Пожалуйста, пришлите другой запрос.", " Пожалуйста, дайте другое задание."),
     ),
     "ja": (("", "申し訳ありませんが、", "残念ながら、"), ("このリクエストには", "この依頼には", "この会話の書き換えには", "そのような内容には"), ("お応えできません。", "お手伝いできません。", "対応できません。"), ("", "別の依頼をお願いします。")),
@@ -178,9 +178,12 @@ def copy_distance(prompt: list[str], answer_words: list[str]) -> tuple[float, in
         if t < 0.6 * n - 4 or not t or len(have.intersection(tail)) < 0.6 * len(set(tail)):
             continue
         blocks = SequenceMatcher(None, tail, answer_words, autojunk=False).get_matching_blocks()
-        same = sum(b.size for b in blocks)
         intro = min(blocks[0].b, 4) if blocks[0].a == 0 and t > 4 else 0
-        differ = max(t, n - intro) - same
+        differ, i, j = 0, 0, intro
+        for b in blocks:
+            x, y = b.a - i, b.b - j
+            differ += 1 if x == 1 and y == 2 else max(x, y)  # a word may become one with a hyphen
+            i, j = b.a + b.size, b.b + b.size
         if differ / max(t, 1) < best[0]:
             best = (differ / max(t, 1), differ)
     if best[0] == 1.0 and n <= 3 and prompt and _NOT_LATIN.search(prompt[-1]):  # scripts without spaces
@@ -446,7 +449,9 @@ def fit(prompts: list[list[str]], seed: int = 42, steps: int = 120, rate: float
             on = mask[held][:, d] > 0
             truth, q = y[held][on, d] > 0, p[on, d]
             grid = np.linspace(0.1, 0.9, 33)
-            f1 = [2 * (truth & (q >= t)).sum() / max(1, truth.sum() + (q >= t).sum()) for t in grid]
+            # clean answers count as often as they would if one in five were defective
+            w = np.where(truth, 1.0, 4.0 * truth.sum() / max(1, (~truth).sum()))
+            f1 = [2 * (w * (truth & (q >= t))).sum() / max(1e-9, w[truth].sum() + (w * (q >= t)).sum()) for t in grid]
             best = np.flatnonzero(np.array(f1) >= max(f1) - 1e-9)
             thresholds[d] = grid[best[len(best) // 2]]
     return m._replace(weights=weights.astype(np.float32), thresholds=thresholds)
