@@ -47,15 +47,15 @@ def sample_quotas(counts: DataFrame, target: int, label_shares: dict[str, float]
 def stratified_sample(rows: DataFrame, text: str, label: str, order: list[str], target: int, label_shares: dict[str, float], weights: tuple[float, ...], seed: int = 42) -> DataFrame:
     """``rows`` that are sampled, of distinct texts, by label and turn bucket; what a bucket lacks is taken from the label's leftovers.
 
-    Null labels count as the first label; labels without a share are never sampled. Ranks are only needed up to a quota,
-    which is a bounded number of rows.
+    Null labels count as the first label; labels without a share are never sampled. No rank beyond twice the target can
+    matter, neither for a bucket's own rows nor for its leftovers, so every task drops the others before the shuffle.
     """
     first = next(iter(label_shares))
     pool = bucketed(rows.withColumn("label", F.coalesce(F.col(label), F.lit(first))), text, order).filter(F.col("label").isin(*label_shares))
     quotas = sample_quotas(pool.groupBy("label", "bucket").agg(F.count("*").alias("available")), target, label_shares, weights)
     lacking = quotas.groupBy("label").agg((F.sum("needed") - F.sum("taken")).alias("lacking"))
     pool = pool.withColumn("__h", seeded(seed, "fingerprint"))
-    ranked = pool.withColumn("__rank", F.row_number().over(Window.partitionBy("label", "bucket").orderBy("__h"))).join(F.broadcast(quotas.select("label", "bucket", "taken")), ["label", "bucket"])
+    ranked = pool.withColumn("__rank", F.row_number().over(Window.partitionBy("label", "bucket").orderBy("__h"))).filter(F.col("__rank") <= 2 * target).join(F.broadcast(quotas.select("label", "bucket", "taken")), ["label", "bucket"])
     left = ranked.filter("__rank > taken").withColumn("__rank", F.row_number().over(Window.partitionBy("label").orderBy("__h"))).join(F.broadcast(lacking), "label").filter("__rank <= lacking")
     columns = [*rows.columns, "bucket"] if "bucket" not in rows.columns else rows.columns
     return ranked.filter("__rank <= taken").select(*columns).unionByName(left.select(*columns))

@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 HOT_ROWS = 200_000
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], weight: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Inner join of ``rows`` with ``lookup`` (unique ``keys``; ``weight``: number of rows that have the key).
+def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], weight: str, hot_rows: int = HOT_ROWS, how: str = "inner") -> DataFrame:
+    """Join, inner or left, of ``rows`` with ``lookup`` (unique ``keys``; ``weight``: number of rows that have the key).
 
     Keys of ``hot_rows`` rows or more go to a broadcast table and their rows stay where they are. There are at most
     rows / hot_rows such keys, which bounds the broadcast. All other keys are joined by a shuffle in which no key has
-    more than ``hot_rows`` rows. Null keys join nothing.
+    more than ``hot_rows`` rows but the null key of a left join, which joins nothing.
     """
     heavy = F.broadcast(lookup.filter(F.col(weight) >= hot_rows))
     light = lookup.filter(F.col(weight) < hot_rows)
-    cold = rows.join(heavy.select(*keys), keys, "left_anti").join(light, keys)
+    cold = rows.join(heavy.select(*keys), keys, "left_anti").join(light, keys, how)
     return rows.join(heavy, keys).unionByName(cold)
 
 
