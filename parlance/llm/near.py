@@ -40,9 +40,15 @@ class Params(NamedTuple):
     estimate_registers: int = 64
     sigmas: float = 4.0
     hot_bucket: int = 2_000
+    sample_in: int = 64
+    salts: int = 256
     bitmap_bits: int = 1 << 23
 
 
+#: Most buckets that are handled as heavy.
+MOST_HEAVY = 100_000
+
+
 class Near(NamedTuple):
     """links(a, b, inter, total): pairs of class representatives, a < b unless sided. members(id, class_id, n_rows[, side])."""
 
@@ -159,7 +165,8 @@ def cell_pairs(kept: DataFrame, hot: int, sided: bool) -> DataFrame:
     A bucket of m rows is cut into g = ceil(m / hot) blocks; each of its pairs of blocks is a cell joined on its own, so a
     hot bucket is spread over g^2 / 2 cells and none of its pairs is lost.
     """
-    sized = kept.withColumn("g", F.ceil(F.count("*").over(Window.partitionBy("key")) / F.lit(hot)).cast("int"))
+    sizes = kept.groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > hot)
+    sized = lookup_join(kept, sizes, ["key"], "m", how="left").withColumn("g", F.coalesce(F.ceil(F.col("m") / F.lit(hot)), F.lit(1)).cast("int"))
     sized = sized.withColumn("block", F.pmod(F.xxhash64("c"), F.col("g").cast("bigint")).cast("int"))
     if sided:
         left = sized.filter("side = 0").select("key", F.col("c").alias("ca"), F.col("block").alias("i"), F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("j"))
@@ -171,6 +178,50 @@ def cell_pairs(kept: DataFrame, hot: int, sided: bool) -> DataFrame:
     return pairs.select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
 
 
+def _keyed(sketched: DataFrame, p: Params) -> DataFrame:
+    """(c, side, key): a row for each band of each class."""
+    part = F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), lambda i: F.substring("registers", i * (2 * p.rows) + 1, F.lit(2 * p.rows)))
+    return sketched.filter("fresh").select(F.col("c1").alias("c"), "side", F.posexplode(part).alias("band", "part")).select("c", "side", F.xxhash64("band", "part").alias("key"))
+
+
+def _heavy(sketched: DataFrame, p: Params) -> DataFrame | None:
+    """Keys of buckets that a sample of classes shows to be large, at most MOST_HEAVY of them; None if there are none.
+
+    They only decide how buckets are spread over tasks; a large bucket that the sample misses comes out the same, later.
+    """
+    sample = sketched.filter(F.pmod(F.xxhash64("c1"), F.lit(p.sample_in)) == 0)
+    n = sample.filter("fresh").count()
+    least = max(p.hot_bucket // p.sample_in + 1, -(-n * p.bands // MOST_HEAVY), 8)
+    found = materialize(_keyed(sample, p).groupBy("key").count().filter(F.col("count") >= least).select("key"), "heavy")
+    return F.broadcast(found.withColumn("heavy", F.lit(True))) if found.limit(1).count() else None
+
+
+def _buckets(sketched: DataFrame, p: Params, sided: bool) -> DataFrame:
+    """(key, c, side) of buckets with two classes or more, for sided joins with both sides.
+
+    One sort of each bucket drops repeated classes and buckets of one. Heavy buckets are sorted in parts, by class, and
+    kept whole, so that no task sorts all of one.
+    """
+    keyed = _keyed(sketched, p)
+    heavy = _heavy(sketched, p)
+    salt = F.lit(0)
+    if heavy is not None:
+        keyed = keyed.join(heavy, "key", "left")
+        salt = F.when(F.col("heavy"), F.pmod(F.xxhash64("c"), F.lit(p.salts))).otherwise(0)
+    keyed = keyed.withColumn("salt", salt)
+    bucket = Window.partitionBy("key", "salt")
+    inside = bucket.orderBy("c", "side")
+    marked = keyed.withColumns({"before": F.lag("c").over(inside), "after": F.lead("c").over(inside)})
+    border = "(c <> before or c <> after)"
+    if sided:  # classes are told apart by side too, so a class stands in a bucket once for each side
+        marked = marked.withColumns({"side_before": F.lag("side").over(inside), "side_after": F.lead("side").over(inside)})
+        marked = marked.withColumn("sides", F.max("side").over(bucket) - F.min("side").over(bucket))
+        border = "sides > 0 and (c <> before or c <> after or side <> side_before or side <> side_after)"
+    if heavy is not None:
+        border = f"coalesce(heavy, false) or {border}"
+    return marked.filter(border).select("key", "c", "side")
+
+
 def near(rows: DataFrame, p: Params, sided: bool = False) -> Near:
     """Links between classes of ``rows``(id bigint, text string, side tinyint), and membership.
 
@@ -181,15 +232,7 @@ def near(rows: DataFrame, p: Params, sided: bool = False) -> Near:
     spread = rows.repartition(tasks_for(rows)) if rows.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism else rows
     sketched = materialize(spread.mapInPandas(_sketcher(p), _ROW), "sketches")
 
-    bands = sketched.filter("fresh").select(F.col("c1").alias("c"), "side", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), lambda i: F.substring("registers", i * (2 * p.rows) + 1, F.lit(2 * p.rows)))).alias("band", "part"))
-    keyed = bands.select("c", "side", F.xxhash64("band", "part").alias("key"))
-    inside = Window.partitionBy("key").orderBy("c", "side")
-    borders = "(c <> before or c <> after)" + (" and sides > 1" if sided else "")
-    marked = keyed.select("*", F.lag("c").over(inside).alias("before"), F.lead("c").over(inside).alias("after"), *([(F.max("side").over(Window.partitionBy("key")) - F.min("side").over(Window.partitionBy("key")) + 1).alias("sides")] if sided else []))
-    if sided:  # classes are cut off by side too, so a class stands in a bucket once for each side
-        borders = "sides > 1 and (c <> before or c <> after or side <> side_before or side <> side_after)"
-        marked = marked.withColumns({"side_before": F.lag("side").over(inside), "side_after": F.lead("side").over(inside)})
-    kept = materialize(marked.filter(borders).select("key", "c", "side"), "buckets")
+    kept = materialize(_buckets(sketched, p, sided), "buckets")
     pairs = bucket_pairs(kept, p.hot_bucket, sided)
 
     size = 2 * p.estimate_registers

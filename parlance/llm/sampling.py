@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 CELLS = 1 << 14
+#: Up to so many targets, where each quota falls is broadcast.
+MOST_TARGETS = 50_000
 
 
 def _prioritized(rows: DataFrame, seed: int) -> DataFrame:
@@ -61,7 +63,8 @@ def sample(rows: DataFrame, targets: DataFrame, seed: int = 42) -> DataFrame:
     edge = summary.withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0))).join(quotas, ["plan", "category"])
     # at most one cell of each category of the targets
     edge = edge.filter("ahead < taken and ahead + n >= taken").select("plan", "category", F.col("cell").alias("edge"), (F.col("taken") - F.col("ahead")).alias("need"))
-    marked = _prioritized(rows, seed).join(edge, ["plan", "category"])
+    small = targets.limit(MOST_TARGETS + 1).count() <= MOST_TARGETS
+    marked = _prioritized(rows, seed).join(F.broadcast(edge) if small else edge, ["plan", "category"])
     whole = marked.filter("cell < edge").select("plan", "category", "id")
     place = F.row_number().over(Window.partitionBy("plan", "category").orderBy("priority", "id"))
     last = marked.filter("cell = edge").withColumn("place", place).filter("place <= need").select("plan", "category", "id")

@@ -51,10 +51,20 @@ def test_hot_buckets_lose_nothing(spark):
     texts = corpus(2, 60)
     df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
     p = near.Params(width=3, threshold=0.5, rows=4, bands=48)
-    few = {tuple(r) for r in near.row_pairs(near.near(df, p._replace(hot_bucket=1))).collect()}
+    few = {tuple(r) for r in near.row_pairs(near.near(df, p._replace(hot_bucket=1)), hot=2).collect()}
     assert few == {tuple(r) for r in near.row_pairs(near.near(df, p)).collect()} and few
 
 
+def test_heavy_buckets_lose_nothing(spark):
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(words[:30] + [f"x{i}"]) for i in range(120)]
+    df = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(texts)], "id bigint, text string, side tinyint")
+    p = near.Params(width=3, threshold=0.5, rows=4, bands=16, sample_in=1, hot_bucket=10, salts=4)
+    assert near._heavy(near.materialize(df.mapInPandas(near._sketcher(p), near._ROW), "t"), p) is not None
+    assert {tuple(r) for r in near.row_pairs(near.near(df.drop("side"), p)).collect()} == set(itertools.combinations(range(120), 2))
+    assert {tuple(r) for r in near.sided_pairs(near.near(df, p, sided=True), hot=7).collect()} == {(a, b) for a in range(0, 120, 2) for b in range(1, 120, 2)}
+
+
 def test_blocks_give_all_pairs_of_a_bucket_once(spark):
     kept = spark.createDataFrame([(1, c, c % 2) for c in range(40)], "key bigint, c bigint, side tinyint")
     assert {tuple(r) for r in near.bucket_pairs(kept, 7, False).collect()} == set(itertools.combinations(range(40), 2))
