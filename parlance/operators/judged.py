@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from parlance.functions.dims import DOMAINS
 from parlance.functions.replies import failure, scored, with_object
@@ -69,6 +70,12 @@ def failure_breakdown(failures: DataFrame) -> DataFrame:
     return failures.groupBy("reason").agg(F.count("*").alias("n"), F.min("custom_id").alias("first_id"))
 
 
+def failure_samples(failures: DataFrame, each: int = 5) -> DataFrame:
+    """(reason, custom_id): the first few ids of each reason. Every task passes on no more than these."""
+    place = F.row_number().over(Window.partitionBy("reason").orderBy("custom_id"))
+    return failures.select("reason", "custom_id").withColumn("place", place).filter(F.col("place") <= each).drop("place")
+
+
 def retry_set(failures: DataFrame, requests: DataFrame) -> DataFrame:
     """Requests to send again: of each retryable failed id its own request, else both of its two parts if both are there."""
     ids = failures.filter(F.col("reason").isin(*RETRYABLE)).select("custom_id").distinct()

@@ -57,10 +57,15 @@ def stratified_sample(rows: DataFrame, text: str, label: str, order: list[str],
     pool = pool.withColumn("__h", seeded(seed, "fingerprint"))
     ranked = pool.withColumn("__rank", F.row_number().over(Window.partitionBy("label", "bucket").orderBy("__h"))).filter(F.col("__rank") <= 2 * target).join(F.broadcast(quotas.select("label", "bucket", "taken")), ["label", "bucket"])
     left = ranked.filter("__rank > taken").withColumn("__rank", F.row_number().over(Window.partitionBy("label").orderBy("__h"))).join(F.broadcast(lacking), "label").filter("__rank <= lacking")
-    columns = [*rows.columns, "bucket"] if "bucket" not in rows.columns else rows.columns
+    columns = list(dict.fromkeys([*rows.columns, "label", "bucket"]))
     return ranked.filter("__rank <= taken").select(*columns).unionByName(left.select(*columns))
 
 
+def turn_sample(rows: DataFrame, text: str, order: list[str], target: int, weights: tuple[float, ...], seed: int = 42) -> DataFrame:
+    """The same without labels: by turn bucket, refilled from all leftovers."""
+    return stratified_sample(rows.withColumn("__all", F.lit("all")), text, "__all", order, target, {"all": 1.0}, weights, seed).drop("__all", "label")
+
+
 def largest_remainder(counts: dict[str, int], total: int) -> dict[str, int]:
     """``total`` shared in proportion to counts: whole parts, then one each to the largest remainders, the first of equals."""
     n = sum(counts.values())

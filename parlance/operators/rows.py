@@ -51,3 +51,8 @@ def with_sequence(df: DataFrame, order: list[str], name: str = "seq", start: int
 def entry_ids(df: DataFrame, order: list[str], prefix: str, name: str) -> DataFrame:
     """Ids such as S1D-000001 in the order of ``order``."""
     return with_sequence(df, order, "__seq").withColumn(name, F.concat(F.lit(f"{prefix}-"), F.when(F.col("__seq") < 1_000_000, F.lpad(F.col("__seq").cast("string"), 6, "0")).otherwise(F.col("__seq").cast("string")))).drop("__seq")
+
+
+def first_rows(df: DataFrame, order: list[str], n: int | None) -> DataFrame:
+    """The first n rows in order; all of them if n is None."""
+    return df if n is None else df.orderBy(*order).limit(n)

@@ -7,17 +7,34 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.functions.dims import DOMAINS, SPLIT_SHARES
-from parlance.functions.replies import continuation, evaluation_scores, with_object
-from parlance.functions.dims import char_names_of
-from parlance.operators import contrast, judged, merge, quota, shards
+from parlance.functions.dims import DOMAINS, SPLIT_SHARES, char_names_of
+from parlance.functions.replies import continuation, evaluation_scores
+from parlance.operators import analytics, contrast, judged, merge, quota, shards
 from parlance.operators.rows import last_wins
 from parlance.sources import readers, writers
 
-from . import prompts
+from . import prepare as prepare_domain
+from . import prompts, report
 from .judge import JudgeBackend, StubJudge
 
 
+def prepare(spark: SparkSession, root: str, domain: str, limit: int | None = None) -> prepare_domain.Prepared:
+    """Requests of a domain's raw files under raw/, written with their manifest."""
+    raw = f"{root}/raw/{domain}"
+    if domain == "coherence":
+        made = prepare_domain.whole_number_domain(domain, readers.coherence(spark, raw), limit)
+    elif domain == "empathy":
+        made = prepare_domain.whole_number_domain(domain, readers.empathy(spark, raw), limit)
+    elif domain == "commonsense":
+        made = prepare_domain.commonsense(readers.commonsense(spark, raw), ["PID", "CTX", "SEG"], limit)
+    else:
+        made = prepare_domain.multicultural(readers.multicultural(spark, raw), ["source_file", "uid", "conversation"], limit)
+    lines = made.requests.select("custom_id", writers.envelope(F.col("custom_id"), F.col("prompt")).alias("line"))
+    writers.request_shards(shards.sharded(lines, ["custom_id"], DOMAINS[domain].prefix), f"{root}/requests/{domain}")
+    writers.manifest(made.manifest, f"{root}/manifest/{domain}")
+    return made
+
+
 def parse(spark: SparkSession, root: str, domain: str) -> tuple[DataFrame, DataFrame]:
     """Parsed rows and failures of a domain's replies."""
     replies = readers.replies(spark, f"{root}/replies/{domain}")
@@ -71,11 +88,20 @@ def evaluate(variants: DataFrame, entries: DataFrame, backend: JudgeBackend | No
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="parlance", description=__doc__)
-    parser.add_argument("step", choices=("merge", "select", "generate", "pairs"))
+    parser.add_argument("step", choices=("prepare", "merge", "select", "generate", "pairs", "analyze"))
     parser.add_argument("--root", required=True)
     parser.add_argument("--domain", choices=tuple(DOMAINS))
     args = parser.parse_args(argv)
     spark, root = SparkSession.builder.getOrCreate(), args.root
+    if args.step == "prepare":
+        for name in [args.domain] if args.domain else DOMAINS:
+            print(name, report.markdown(prepare(spark, root, name).summary), sep="\n")
+        return
+    if args.step == "analyze":
+        pairs = readers.pairs(spark, f"{root}/pairs")
+        for summary in (analytics.score_shift, analytics.direction_distribution, analytics.variant_types, analytics.margin_sensitivity, analytics.label_rollup):
+            print(summary.__name__, report.markdown(summary(pairs)), sep="\n")
+        return
     if args.step == "merge":
         writers.json_lines(merged(spark, root), f"{root}/entries")
         return

@@ -89,8 +89,14 @@ def reply_columns(r: Column) -> list[Column]:
     return [r["custom_id"].alias("custom_id"), F.coalesce(body["model"], F.lit("")).alias("model"), code.alias("status_code"), F.coalesce(F.get(body["choices"], F.lit(0))["message"]["content"], F.lit("")).alias("reply"), r["error"].alias("error"), F.when(code == 200, "Success").otherwise("Failed").alias("status")]
 
 
-def replies(spark: SparkSession, path: str) -> DataFrame:
-    """Replies of a batch service, one for each readable line: file, line_no, custom_id, model, status_code, reply, error, status."""
+def replies(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+    """Replies of a batch service, one for each readable line: file, line_no, custom_id, model, status_code, reply, error, status.
+
+    ``strict``: a line that isn't JSON raises when it is read, instead of being skipped.
+    """
+    if strict:
+        checked = numbered_lines(spark, path).withColumn("line", F.when(F.try_parse_json("line").isNotNull(), F.col("line")).otherwise(F.raise_error(F.concat(F.lit("no JSON: "), F.substring("line", 1, 200)))))
+        return checked.select("file", "line_no", F.from_json("line", REPLY).alias("r")).select("file", "line_no", *reply_columns(F.col("r")))
     return json_lines(spark, path, REPLY).select("file", "line_no", *reply_columns(F.col("r")))
 
 
@@ -114,3 +120,24 @@ def entries(spark: SparkSession, path: str) -> DataFrame:
 
 def pairs(spark: SparkSession, path: str) -> DataFrame:
     return json_lines(spark, path, PAIR).select("r.*")
+
+
+def reply_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """Replies of a folder: of its batch_*.jsonl files, or of all *.jsonl where there are none of that name."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "batch_*.jsonl").load(folder)
+    named = files.select("path").limit(1).count() > 0
+    return replies(spark, f"{folder}/batch_*.jsonl" if named else f"{folder}/*.jsonl")
+
+
+def parsed_rows(spark: SparkSession, folder: str, domain: str) -> DataFrame:
+    """Parsed rows of a domain's result files: source_id, content, uid, pid and the whole line as object; bad lines are skipped."""
+    lines = numbered_lines(spark, f"{folder}/{DOMAINS[domain].prefix}_*.jsonl")
+    own = F.from_json("line", "_id string, custom_id string, content string, uid string, pid string")
+    rows = lines.withColumn("r", own).filter(F.col("r").isNotNull() & F.try_parse_json("line").isNotNull() & F.trim("line").startswith("{"))
+    return rows.select(F.coalesce("r._id", "r.custom_id").alias("source_id"), "r.content", "r.uid", "r.pid", F.col("line").alias("object"))
+
+
+def shard_files(spark: SparkSession, folder: str, max_bytes: int = 200 * 1024 * 1024) -> DataFrame:
+    """(path, length, domain, fits): request shards of a folder, none of them read. The domain is the name before _shard_."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl").load(folder).select("path", "length")
+    return files.withColumn("domain", F.regexp_extract("path", r"([^/]+?)(?:_shard_[^/]*)?\.jsonl$", 1)).withColumn("fits", F.col("length") <= max_bytes)

@@ -108,6 +108,37 @@ def test_pipeline_over_files(spark, tmp_path):
     assert pipeline.evaluate(made, entries, judge.StubJudge()).count() == made.count()
 
 
+def test_prepare(spark, tmp_path, capsys):
+    root = tmp_path / "root"
+    write(root / "raw" / "coherence" / "c.json", {"dialogue": ["Human A: x\nHuman B: y", " Human A: x\nHuman B: y ", "", "z"], "labels": ["Yes", "No", "No", "Yes"]})
+    write(root / "raw" / "empathy" / "e.json", ["one", {"content": "two"}, "one"])
+    write(root / "raw" / "commonsense" / "train.tsv", "PID\tUID\tCTX\tSEG\txWant_response", "P1\tu\tuser1: a [UTT] user2: b\tc\tw", "P2\tu\t\tc\tw", "P1\tu\tuser1: a [UTT] user2: b\tc\tw", "\tu\tq\tr\t")
+    write(root / "raw" / "multicultural" / "x.csv", "uid,conversation,statement_original,country_1,country_2", "u1,SPK01-AAA001: a,s,A,B", "u2,no turns,s,A,B")
+    pipeline.main(["prepare", "--root", str(root)])
+    assert "| total | duplicates | invalid | valid |" in capsys.readouterr().out
+    ids = lambda d: sorted(r["custom_id"] for r in readers.request_lines(spark, str(root / "requests" / d / "*")).collect())
+    assert len(ids("coherence")) == 2 and len(ids("empathy")) == 2 and ids("multicultural") == ["mu-u1"]
+    cs = ids("commonsense")
+    assert {"cs-P1-dim", "cs-P1-dlg"} <= set(cs) and len(cs) == 4
+    m = {r["custom_id"]: r for r in readers.manifest(spark, str(root / "manifest" / "commonsense")).collect()}
+    assert m["cs-P1"]["content"] == "Speaker 1: a\nSpeaker 2: b\nTarget: c" and len(m) == 2
+
+
+def test_more_readers(spark, tmp_path):
+    write(tmp_path / "f" / "other.jsonl", reply("a", "x"))
+    assert [r["custom_id"] for r in readers.reply_folder(spark, str(tmp_path / "f")).collect()] == ["a"]
+    write(tmp_path / "f" / "batch_1.jsonl", reply("b", "x"))
+    assert [r["custom_id"] for r in readers.reply_folder(spark, str(tmp_path / "f")).collect()] == ["b"]
+    bad = write(tmp_path / "g" / "batch_1.jsonl", reply("b", "x"), "broken {")
+    with pytest.raises(Exception, match="no JSON"):
+        readers.replies(spark, bad, strict=True).collect()
+    write(tmp_path / "p" / "em_results.jsonl", {"_id": "em-1", "content": "x", "em_helpful_response": 0.5}, "junk", {"custom_id": "em-2"})
+    assert sorted((r["source_id"], r["content"]) for r in readers.parsed_rows(spark, str(tmp_path / "p"), "empathy").collect()) == [("em-1", "x"), ("em-2", None)]
+    write(tmp_path / "s" / "co_shard_0001.jsonl", "x" * 50)
+    write(tmp_path / "s" / "em_shard_0001.jsonl", "x" * 500)
+    assert {r["domain"]: r["fits"] for r in readers.shard_files(spark, str(tmp_path / "s"), 100).collect()} == {"co": True, "em": False}
+
+
 def test_stream_of_replies(spark, tmp_path):
     folder = tmp_path / "in"
     write(folder / "1.jsonl", reply("a", "x"), reply("b", "y", 500), "bad")

@@ -102,6 +102,17 @@ def test_sample_refills_within_a_label(spark):
     assert not {5000, 5001} & {r["id"] for r in got}
 
 
+def test_sample_by_turns_alone(spark):
+    df = spark.createDataFrame([(i, "\n".join(f"{i} {j}" for j in range(2 + i % 20))) for i in range(300)], "id bigint, content string")
+    got = quota.turn_sample(df, "content", ["id"], 100, BUCKET_WEIGHTS["empathy"])
+    assert got.count() == 100 and got.columns == ["id", "content", "bucket"]
+
+
+def test_failure_samples(spark):
+    df = spark.createDataFrame([("r", f"{i:02d}") for i in range(20)] + [("s", "x")], "reason string, custom_id string")
+    assert sorted(map(tuple, judged.failure_samples(df, 2).collect())) == [("r", "00"), ("r", "01"), ("s", "x")]
+
+
 # --- contrast
 
 
