@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -150,10 +149,14 @@ def _forms_udf():
     return F.pandas_udf(forms, "clean string, kinds array<string>")
 
 
-def _skeletons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        hashes = [hashlib.md5(skeleton(t).encode("utf-8", "surrogatepass")).hexdigest() for t in pdf["text"]]
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "skeleton_hash": hashes, "kinds": [one_form(t)[1] for t in pdf["text"]]})
+def _skeletons_udf():
+    def skeletons(texts: pd.Series) -> pd.DataFrame:
+        known = [t for t in texts if t is not None]
+        hashes = iter([(hashlib.md5(skeleton(t).encode("utf-8", "surrogatepass")).hexdigest(), one_form(t)[1]) for t in known])
+        found = [(None, []) if t is None else next(hashes) for t in texts]
+        return pd.DataFrame({"skeleton_hash": [f[0] for f in found], "kinds": [f[1] for f in found]})
+
+    return F.pandas_udf(skeletons, "skeleton_hash string, kinds array<string>")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -177,8 +180,8 @@ def normalized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def kinds_found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, kind): the documents that are not in the one form, with a row for each kind present."""
-    found = _rows(docs, id_col, text_col).filter(_suspect()).mapInPandas(_skeletons, "doc_id bigint, skeleton_hash string, kinds array<string>")
-    return found.select("doc_id", F.explode("kinds").alias("kind"))
+    found = _rows(docs, id_col, text_col).filter(_suspect()).select("doc_id", _skeletons_udf()("text").alias("s"))
+    return found.select("doc_id", F.explode("s.kinds").alias("kind"))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,5 +192,5 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """
     rows = _rows(docs, id_col, text_col)
     plain = rows.filter(~F.col("text").rlike(NOT_ASCII)).select("doc_id", F.md5("text").alias("skeleton_hash"), F.array().cast("array<string>").alias("kinds"))
-    rest = rows.filter(F.col("text").rlike(NOT_ASCII)).mapInPandas(_skeletons, "doc_id bigint, skeleton_hash string, kinds array<string>")
+    rest = rows.filter(F.col("text").rlike(NOT_ASCII)).select("doc_id", _skeletons_udf()("text").alias("s")).select("doc_id", "s.skeleton_hash", "s.kinds")
     return plain.unionByName(rest).groupBy("skeleton_hash").agg(F.count("*").alias("n_docs"), F.count_if(F.size("kinds") > 0).alias("n_unformed"), F.min("doc_id").alias("first_id"))

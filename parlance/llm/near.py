@@ -8,6 +8,7 @@ collision-corrected estimate far below the threshold fall away; a second pass pa
 are compared exactly. What comes out is a list of linked class pairs and the membership of rows in classes.
 
 Nulls, empty texts and texts with fewer words than a shingle have an empty set, belong to no class and have no links.
+Rows without an id, or without a side where there are two, are left out. Rows repeated with one id are paired with others as often as they stand.
 """
 
 from __future__ import annotations
@@ -227,7 +228,7 @@ def near(rows: DataFrame, p: Params, sided: bool = False) -> Near:
 
     ``sided``: only links between a class with a row of side 0 and one with a row of side 1 (a: side 0, b: side 1).
     """
-    rows = rows.select("id", "text", F.col("side") if "side" in rows.columns else F.lit(0).cast("tinyint").alias("side"))
+    rows = rows.select("id", "text", F.col("side") if "side" in rows.columns else F.lit(0).cast("tinyint").alias("side")).filter("id is not null and side is not null")
     spark = rows.sparkSession
     spread = rows.repartition(tasks_for(rows)) if rows.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism else rows
     sketched = materialize(spread.mapInPandas(_sketcher(p), _ROW), "sketches")

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import base64
 from bisect import bisect_left, insort
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,12 +38,12 @@ def _encoder(path: str | None):
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
     """(doc_id, n_tokens): whole texts; null and empty texts have no tokens."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("bigint")
+    def count(texts: pd.Series) -> pd.Series:
         encode = _encoder(vocabulary).encode_ordinary
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [len(encode(t)) if t else 0 for t in pdf["text"]]})
+        return pd.Series([len(encode(t)) if t else 0 for t in texts], dtype="int64")
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(count, "doc_id bigint, n_tokens bigint")
+    return docs.select(F.col(id_col).alias("doc_id"), count(F.col(text_col)).alias("n_tokens"))
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
@@ -97,9 +96,9 @@ def pack(sized: DataFrame, capacities: DataFrame, per_task: int = 20_000, fan_in
 
     ``capacities``(pack_id, capacity_tokens) applies to every text, so the work grows with their number. A text without
     tokens takes no room and has no sequence. Containers never hold more than their capacity. Capacities below 1 are left
-    out. Repeated rows are packed as often as they stand.
+    out. Repeated rows are packed as often as they stand; rows without an id can't be told where they are and are left out.
     """
-    sized = materialize(sized, "sized")
+    sized = materialize(sized.select("doc_id", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")).filter("doc_id is not null"), "sized")
     n = sized.count()
     wanted = capacities.filter("capacity_tokens >= 1").select("pack_id", "capacity_tokens").limit(MOST_CAPACITIES + 1).collect()
     if len(wanted) > MOST_CAPACITIES:

@@ -35,9 +35,9 @@ def corpus(seed, n):
 
 
 def test_pairs_equal_brute_force(spark):
-    texts = corpus(1, 150) + [None, "", "one two", "one two", "?!", "ONE, two; three", "one two three"] + ["same same same text again"] * 9
+    texts = corpus(1, 150) + [None, "", "one two", "one two", "?!", "ONE, two; three", "one two three"] + ["same same same text again"] * 9 + [None] * 2
     rows = [(i, t, "x") for i, t in enumerate(texts)]
-    df = spark.createDataFrame(rows, "id bigint, text string, class_id string")
+    df = spark.createDataFrame(rows + [(None, texts[0], "x"), (None, None, None)], "id bigint, text string, class_id string")
     sets = {i: shingles(t) for i, t, _ in rows}
     want = {(a, b) for a, b in itertools.combinations(sets, 2) if similar(sets[a], sets[b])}
     found = near.near(df, near.Params(width=3, threshold=0.5, rows=4, bands=48))

@@ -171,7 +171,7 @@ def check_packing(rows, sizes, capacities):
 def test_pack(spark):
     rng = random.Random(8)
     sizes = {i: rng.choice((0, rng.randrange(1, 300), rng.randrange(1, 60), 512, 2500)) for i in range(3000)}
-    sized = spark.createDataFrame(list(sizes.items()), "doc_id bigint, n_tokens bigint").withColumn("bin", F.lit(1))
+    sized = spark.createDataFrame(list(sizes.items()) + [(None, 5), (2**62 + 1, None)], "doc_id bigint, n_tokens bigint").withColumn("bin", F.lit(1))
     capacities = {1: 512, 2: 100}
     caps = spark.createDataFrame([(k, v) for k, v in capacities.items()] + [(9, 0), (10, None)], "pack_id int, capacity_tokens int")
     for options in ({}, {"per_task": 200, "fan_in": 3, "carry": 20}):
