@@ -67,7 +67,7 @@ _WIDE = re.compile(f"[{_class(*WIDE)}]+")
 _MARK = re.compile(f"[{_marks()}]")
 _ODD_LETTER = _class(*ALPHABETS.values())
 _OTHER = re.compile(f"[{_ODD_LETTER}]")
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(rf"[^\W\d_](?:[^\W\d_]|[{_marks()}])*")
 _MIXED = re.compile(f"(?=[^\\W\\d_])[^{_ODD_LETTER}][{_ODD_LETTER}]|[{_ODD_LETTER}](?=[^\\W\\d_])[^{_ODD_LETTER}]|" + "|".join(f"[{_class(ALPHABETS[a])}][{_class(ALPHABETS[b])}]" for a in ALPHABETS for b in ALPHABETS if a != b))
 _TO_PROTOTYPE = str.maketrans(PROTOTYPE)
 
@@ -82,14 +82,14 @@ def _alphabet(ch: str) -> str:
 
 def _unmixed(word: str) -> str:
     """The word in one alphabet, if all its letters of other alphabets look like letters of that one; else the word."""
-    own = [_alphabet(c) for c in word]
-    there = set(own)
+    own = [None if _MARK.match(c) else _alphabet(c) for c in word]
+    there = set(own) - {None}
     if len(there) < 2:
         return word
     best = None
     for a in sorted(there - {"OTHER"}, key=lambda a: (-own.count(a), a)):
         to = IN_ALPHABET[a]
-        out = [c if s == a else to.get(PROTOTYPE.get(c, c)) for c, s in zip(word, own)]
+        out = [c if s in (a, None) else to.get(PROTOTYPE.get(c, c)) for c, s in zip(word, own)]
         if None not in out:
             best = "".join(out)
             break
@@ -116,11 +116,11 @@ def one_form(text: str) -> tuple[str, list[str]]:
     if _SPACE.search(t):
         kinds.append("space")
         t = _SPACE.sub(" ", t)
-    if _OTHER.search(t) and _MIXED.search(t):
+    if _OTHER.search(t) and ("combining" in kinds or _MIXED.search(t)):
         u = _WORD.sub(lambda m: _unmixed(m[0]), t)
         if u != t:
             kinds.append("lookalike")
-            t = u
+            t = unicodedata.normalize("NFC", u)  # a letter put back may compose with its mark
     return t, kinds
 
 

@@ -20,6 +20,8 @@ from parlance.llm import confusables as C
         ("x‍y", "xy", ["invisible"]),
         ("pаyрal", "paypal", ["lookalike"]),
         ("пοка", "пока", ["lookalike"]),
+        ("caf\u0435\u0301s", "caf\u00e9s", ["combining", "lookalike"]),
+        ("re\u0301\u0435l", "r\u00e9el", ["combining", "lookalike"]),
         ("Москва and Paris", "Москва and Paris", []),
         ("USBшный", "USBшный", []),
         ("“quoted” – dash", "“quoted” – dash", []),
