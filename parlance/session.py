@@ -7,11 +7,13 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _OWN_SCRATCH: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,12 +56,22 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, once for each application, so that Python code runs there without an installation."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    package = Path(__file__).parent
+    folder = tempfile.mkdtemp(prefix="parlance-code-")  # Spark's file server takes it from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/parlance_code.zip", "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    spark.sparkContext.addPyFile(f"{folder}/parlance_code.zip")
+
+
 def tasks_for(df: DataFrame, bytes_per_task: int = 4 << 20) -> int:
     """A number of tasks from the size that the optimizer knows of the input files; at least the default parallelism."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(df.sparkSession.sparkContext.defaultParallelism, min(200_000, size // bytes_per_task))
-
-
-def is_empty_schema_safe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Only the given columns, so that further columns with clashing names can't interfere."""
-    return df.select(*[F.col(c) for c in columns])
