@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parlance.session import ship
+
 KINDS = ("wide", "combining", "space", "invisible", "lookalike")
 
 #: Letters of other alphabets that look like a Latin letter, by alphabet, from the public Unicode confusables.
@@ -160,6 +162,7 @@ def _skeletons_udf():
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 

@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parlance.session import ship
+
 DEFECTS = ("empty", "refusal", "copied", "other_language", "truncated")
 #: Hashed features: of pairs, which every label has, then n-grams of how an answer begins and of how it ends.
 PAIR, BEGIN, END = 1 << 8, 1 << 16, 1 << 18
@@ -477,6 +479,7 @@ def sample_prompts(pairs: DataFrame, rows: int = SAMPLE_ROWS) -> list[list[str]]
 
 def defective(pairs: DataFrame, model: Model) -> DataFrame:
     """(record_id, field, defect) of ``pairs``(record_id, field, prompt array<string>, answer array<string>), each once."""
+    ship(pairs.sparkSession)
     shared = pairs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

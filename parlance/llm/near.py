@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from parlance.operators.skew import lookup_join
-from parlance.session import materialize, tasks_for
+from parlance.session import materialize, ship, tasks_for
 
 from . import sketch
 from .components import connect, of_nodes
@@ -230,6 +230,7 @@ def near(rows: DataFrame, p: Params, sided: bool = False) -> Near:
     """
     rows = rows.select("id", "text", F.col("side") if "side" in rows.columns else F.lit(0).cast("tinyint").alias("side")).filter("id is not null and side is not null")
     spark = rows.sparkSession
+    ship(spark)
     spread = rows.repartition(tasks_for(rows)) if rows.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism else rows
     sketched = materialize(spread.mapInPandas(_sketcher(p), _ROW), "sketches")
 

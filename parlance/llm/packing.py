@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.session import materialize
+from parlance.session import materialize, ship
 
 #: Capacities are listed in the plan, so their number is bounded.
 MOST_CAPACITIES = 1000
@@ -38,6 +38,8 @@ def _encoder(path: str | None):
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
     """(doc_id, n_tokens): whole texts; null and empty texts have no tokens."""
 
+    ship(docs.sparkSession)
+
     @F.pandas_udf("bigint")
     def count(texts: pd.Series) -> pd.Series:
         encode = _encoder(vocabulary).encode_ordinary
@@ -98,6 +100,7 @@ def pack(sized: DataFrame, capacities: DataFrame, per_task: int = 20_000, fan_in
     tokens takes no room and has no sequence. Containers never hold more than their capacity. Capacities below 1 are left
     out. Repeated rows are packed as often as they stand; rows without an id can't be told where they are and are left out.
     """
+    ship(sized.sparkSession)
     sized = materialize(sized.select("doc_id", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")).filter("doc_id is not null"), "sized")
     n = sized.count()
     wanted = capacities.filter("capacity_tokens >= 1").select("pack_id", "capacity_tokens").limit(MOST_CAPACITIES + 1).collect()
