@@ -18,6 +18,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -34,6 +35,8 @@ DIMENSIONS = PAIR + BEGIN + END
 #: Most rows whose prompts are taken for fitting, from each table.
 SAMPLE_ROWS = 1_500
 
+#: Stands between messages on their way to Python.
+BETWEEN = "\x1e"
 WORD = re.compile(r"[^\W_]+")
 TOKEN = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*|[,;:–—-]")
 INVISIBLE = re.compile("[­​-‏⁠﻿️]")
@@ -120,24 +123,34 @@ def texts(messages) -> list[str]:
     return [] if messages is None else [(t or "") if isinstance(t, str) or t is None else str(t) for t in messages]
 
 
+def parts(joined: str | None) -> list[str]:
+    return joined.split(BETWEEN) if joined else []
+
+
+def visible_words(text: str) -> list[str]:
+    return WORD.findall((text if text.isascii() else INVISIBLE.sub("", text)).lower())
+
+
 def says_nothing(text: str) -> bool:
     """Blank, invisible, mere marks, or a stand-in."""
-    bare = "".join(WORD.findall(INVISIBLE.sub("", text))).lower()
+    bare = "".join(visible_words(text))
     return not bare or bare in STAND_INS
 
 
 def language(text: str) -> Counter:
     """Words of evidence for each language."""
-    found: Counter = Counter()
+    return evidence(text, WORD.findall(text.lower()))
+
+
+def evidence(text: str, words: list[str]) -> Counter:
+    """The same of a text whose words are known."""
+    found = Counter(map(_LANGUAGE_OF.get, words))
+    found.pop(None, None)
     if _NOT_LATIN.search(text):
         for name, script in SCRIPTS:
             n = len(script.findall(text))
             if n:
                 found[name] += n // 5 + 1
-    get = _LANGUAGE_OF.get
-    for w in WORD.findall(text.lower()):
-        if (l := get(w)) is not None:
-            found[l] += 1
     return found
 
 
@@ -148,9 +161,18 @@ def main_language(found: Counter) -> str | None:
     return a if not rest or n > rest[0][1] else None
 
 
-def foreign_share(answer: list[str], home: str | None) -> float:
-    """Share of the answer's letters in sentences of another language than ``home``, among those of a known language."""
-    if home is None:
+@lru_cache(256)
+def home_language(prompt: tuple[str, ...]) -> str | None:
+    """The language of most words of a prompt; prompts of several answers follow each other."""
+    return main_language(language("\n".join(prompt)))
+
+
+def foreign_share(answer: list[str], home: str | None, found: list[Counter] | None = None) -> float:
+    """Share of the answer's letters in sentences of another language than ``home``, among those of a known language.
+
+    ``found``: evidence of each message; sentences are only looked at where some message shows another language.
+    """
+    if home is None or found is not None and not any(f.keys() - {home} for f in found):
         return 0.0
     known = other = 0
     for m in answer:
@@ -173,7 +195,7 @@ def copy_distance(prompt: list[str], answer_words: list[str]) -> tuple[float, in
     tail: list[str] = []
     have = set(answer_words)
     for m in reversed(prompt):
-        tail = WORD.findall(INVISIBLE.sub("", m).lower()) + tail
+        tail = visible_words(m) + tail
         t = len(tail)
         if t > n + 2:
             break
@@ -247,24 +269,21 @@ def ending_features(tail: str | None, m: Model) -> list[tuple[int, float]]:
 def features(prompt: list[str], answer: list[str], m: Model) -> tuple[list[tuple[int, float]], dict]:
     """Hashed n-grams and pair features, and what the exact checks need."""
     f = [(_h("bias"), 1.0)]
-    nothing = all(map(says_nothing, answer))
+    said = [visible_words(a) for a in answer]
+    nothing = all(not ws or len(ws) < 4 and "".join(ws) in STAND_INS for ws in said)
     f.append((_h(f"empty:{nothing}"), 3.0))
     if nothing:
         return f, {"nothing": True, "share": 0.0, "distance": (1.0, 0), "tail": None, "task": False}
-    first = WORD.findall(answer[0].lower())
+    first = said[0]
     f.extend((_b(x), 1.0) for x in {*(f"r1:{w}" for w in first), *(f"r2:{a} {b}" for a, b in zip(first, first[1:])), *(f"r3:{a} {b} {c}" for a, b, c in zip(first, first[1:], first[2:]))})
     if len(first) < 4 and _NOT_LATIN.search(answer[0]):
         t = "".join(first)
         f.extend((_b(f"rc:{t[i : i + 4]}"), 1.0) for i in range(max(0, len(t) - 3)))
     task = any(w in TASK_WORDS for w in first) or (len(first) < 8 and bool(_NOT_LATIN.search(answer[0])))
-    words = [w for a in answer for w in WORD.findall(INVISIBLE.sub("", a).lower())]
-    distance = copy_distance(prompt, words)
+    distance = copy_distance(prompt, [w for ws in said for w in ws])
     f.append((_h("copy"), 4 * max(0.0, 1 - distance[0] / 0.3)))
     f.append((_h(f"copied:{min(int(distance[0] * 20), 8)}"), 2.0))
-    home: Counter = Counter()
-    for p in prompt:
-        home.update(language(p))
-    share = foreign_share(answer, main_language(home))
+    share = foreign_share(answer, home_language(tuple(prompt)), [evidence(a, ws) for a, ws in zip(answer, said)])
     f.append((_h("foreign"), 4 * share))
     f.append((_h(f"foreign:{int(share * 10)}"), 2.0))
     tail = unended(answer[-1])
@@ -487,8 +506,10 @@ def defective(pairs: DataFrame, model: Model) -> DataFrame:
         for whole in batches:
             for k in range(0, len(whole), 1000):
                 pdf = whole.iloc[k : k + 1000]
-                found = judge([texts(x) for x in pdf["prompt"]], [texts(x) for x in pdf["answer"]], m)
+                found = judge([parts(x) for x in pdf["prompt"]], [parts(x) for x in pdf["answer"]], m)
                 out = pdf[["record_id", "field"]].assign(defect=found)
                 yield out[out["defect"].notna()]
 
-    return pairs.select("record_id", "field", "prompt", "answer").mapInPandas(run, "record_id string, field string, defect string").distinct()
+    # one text for each side: far cheaper to hand over than arrays. No messages say as little as empty ones
+    joined = lambda c: F.array_join(F.transform(c, lambda t: F.translate(F.coalesce(t, F.lit("")), BETWEEN, " ")), BETWEEN).alias(c)
+    return pairs.select("record_id", "field", joined("prompt"), joined("answer")).mapInPandas(run, "record_id string, field string, defect string").distinct()
