@@ -48,32 +48,38 @@ ALPHABETS = {"GREEK": (0x370, 0x3FF), "CYRILLIC": (0x400, 0x52F), "ARMENIAN": (0
 _NOT_MARKS = {0x200D, 0x34F, 0x17B4, 0x17B5, 0x20E3, *range(0xFE00, 0xFE10), *range(0x180B, 0x1810)}
 
 
-def _marks() -> str:
-    """The class of all combining marks but the emoji's variation selectors, from the character database."""
-    out, start = [], None
-    for c in range(0x300, 0x1F000):
-        mark = c not in _NOT_MARKS and unicodedata.category(chr(c))[0] == "M"
-        if mark and start is None:
-            start = c
-        elif not mark and start is not None:
-            out.append((start, c - 1))
-            start = None
-    return _class(*out)
-
-
-_JOINER = re.compile(f"(?<![{_class(*EMOJI, (0xFE0F, 0xFE0F))}])\u200d|\u200d(?![{_class(*EMOJI)}])")
+#: All combining marks but the emoji's variation selectors, from the character database.
+MARK_CHARS = frozenset(chr(c) for c in (*range(0x300, 0x20000), *range(0xE0000, 0xE0200)) if c not in _NOT_MARKS and unicodedata.category(chr(c))[0] == "M")
+
+
+_JOINER = "\u200d"
+_EMOJI = re.compile(f"[{_class(*EMOJI)}]")
+_of = lambda *ranges: frozenset(chr(c) for a, b in ranges for c in range(a, b + 1))
+#: Sets of characters, to be held against those of a text.
+INVISIBLE_CHARS, SPACE_CHARS, WIDE_CHARS, ODD_CHARS = _of(*INVISIBLE, (0x200D, 0x200D)), _of(*SPACES), _of(*WIDE), _of(*ALPHABETS.values())
+_BEFORE_JOINER = re.compile(f"[{_class(*EMOJI, (0xFE0F, 0xFE0F))}]")
 _INVISIBLE = re.compile(f"[{_class(*INVISIBLE)}]+")
-_PRESENT = re.compile(f"[{_class(*INVISIBLE, (0x200D, 0x200D))}]")
 _SPACE = re.compile(f"[{_class(*SPACES)}]")
 _WIDE = re.compile(f"[{_class(*WIDE)}]+")
-_MARK = re.compile(f"[{_marks()}]")
 _ODD_LETTER = _class(*ALPHABETS.values())
-_OTHER = re.compile(f"[{_ODD_LETTER}]")
-_WORD = re.compile(rf"[^\W\d_](?:[^\W\d_]|[{_marks()}])*")
+_MARK_CLASS = "".join(map(re.escape, sorted(MARK_CHARS)))
+_WORD = re.compile(rf"[^\W\d_](?:[^\W\d_]|[{_MARK_CLASS}])*")
 _MIXED = re.compile(f"(?=[^\\W\\d_])[^{_ODD_LETTER}][{_ODD_LETTER}]|[{_ODD_LETTER}](?=[^\\W\\d_])[^{_ODD_LETTER}]|" + "|".join(f"[{_class(ALPHABETS[a])}][{_class(ALPHABETS[b])}]" for a in ALPHABETS for b in ALPHABETS if a != b))
 _TO_PROTOTYPE = str.maketrans(PROTOTYPE)
 
 
+def _joined(text: str) -> str:
+    """Without the joiners that don't stand between two emoji."""
+    if _JOINER not in text:
+        return text
+    parts = text.split(_JOINER)
+    out = [parts[0]]
+    for left, right in zip(parts, parts[1:]):
+        keep = left and right and _BEFORE_JOINER.match(left[-1]) and _EMOJI.match(right[0])
+        out += [_JOINER if keep else "", right]
+    return "".join(out)
+
+
 def _alphabet(ch: str) -> str:
     o = ord(ch)
     for name, (a, b) in ALPHABETS.items():
@@ -84,7 +90,9 @@ def _alphabet(ch: str) -> str:
 
 def _unmixed(word: str) -> str:
     """The word in one alphabet, if all its letters of other alphabets look like letters of that one; else the word."""
-    own = [None if _MARK.match(c) else _alphabet(c) for c in word]
+    if word.isascii():
+        return word
+    own = [None if c in MARK_CHARS else _alphabet(c) for c in word]
     there = set(own) - {None}
     if len(there) < 2:
         return word
@@ -102,36 +110,36 @@ def one_form(text: str) -> tuple[str, list[str]]:
     """The text in its one form, and the kinds of characters that kept it from it."""
     if text.isascii():
         return text, []
-    kinds = []
-    if _MARK.search(text):
+    kinds, chars = [], set(text)
+    if not MARK_CHARS.isdisjoint(chars):
         kinds.append("combining")
     t = text
-    if _WIDE.search(t):
+    if not WIDE_CHARS.isdisjoint(chars):
         kinds.append("wide")
         t = _WIDE.sub(lambda m: unicodedata.normalize("NFKC", m[0]), t)
-    if _PRESENT.search(t):
-        u = _JOINER.sub("", _INVISIBLE.sub("", t))
+    if not INVISIBLE_CHARS.isdisjoint(chars):
+        u = _joined(_INVISIBLE.sub("", t))
         if u != t:
             kinds.append("invisible")
             t = u
     t = unicodedata.normalize("NFC", t)
-    if _SPACE.search(t):
+    if not SPACE_CHARS.isdisjoint(chars):
         kinds.append("space")
         t = _SPACE.sub(" ", t)
-    if _OTHER.search(t) and ("combining" in kinds or _MIXED.search(t)):
+    if not ODD_CHARS.isdisjoint(chars) and ("combining" in kinds or _MIXED.search(t)):
         u = _WORD.sub(lambda m: _unmixed(m[0]), t)
         if u != t:
             kinds.append("lookalike")
             t = unicodedata.normalize("NFC", u)  # a letter put back may compose with its mark
-    return t, kinds
+    return t, sorted(kinds, key=KINDS.index)
 
 
 def skeleton(text: str) -> str:
     """Decompose, replace every character by its prototype, decompose again."""
     if text.isascii():
         return text
-    t = unicodedata.normalize("NFKD", _JOINER.sub("", _INVISIBLE.sub("", text)))
-    return unicodedata.normalize("NFKD", t.translate(_TO_PROTOTYPE))
+    t = unicodedata.normalize("NFKD", _joined(_INVISIBLE.sub("", text)))
+    return t if ODD_CHARS.isdisjoint(t) else unicodedata.normalize("NFKD", t.translate(_TO_PROTOTYPE))
 
 
 #: The same classes for the JVM: a text that matches nowhere is in its one form.
