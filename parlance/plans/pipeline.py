@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.functions.dims import DOMAINS, SPLIT_SHARES, char_names_of
-from parlance.functions.replies import continuation, evaluation_scores
+from parlance.functions.replies import continuation, evaluation_scores, scored
 from parlance.operators import analytics, contrast, judged, merge, quota, shards
 from parlance.operators.rows import last_wins
 from parlance.sources import readers, writers
@@ -36,7 +36,7 @@ def prepare(spark: SparkSession, root: str, domain: str, limit: int | None = Non
 
 
 def parse(spark: SparkSession, root: str, domain: str) -> tuple[DataFrame, DataFrame]:
-    """Parsed rows and failures of a domain's replies."""
+    """Parsed rows, with scores on the scale of 0 to 1 as object, and failures of a domain's replies."""
     replies = readers.replies(spark, f"{root}/replies/{domain}")
     manifest = readers.manifest(spark, f"{root}/manifest/{domain}")
     if domain == "commonsense":
@@ -45,6 +45,7 @@ def parse(spark: SparkSession, root: str, domain: str) -> tuple[DataFrame, DataF
         good = out.filter("reason is null").withColumn("object", F.to_json(F.struct(*names)))
         return good, out.filter("reason is not null").select(F.col("failed_id").alias("custom_id"), "reason")
     out = judged.taxonomy(replies, manifest)
+    out = out.withColumn("object", F.when(F.col("object").isNotNull(), F.to_json(F.struct(*scored(F.col("object"), DOMAINS[domain])))))
     lost = judged.missing(replies, manifest).select("custom_id", F.lit("missing_from_batch").alias("reason"))
     return out.filter("reason is null"), out.filter("reason is not null").select("custom_id", "reason").unionByName(lost)
 

@@ -108,6 +108,32 @@ def test_pipeline_over_files(spark, tmp_path):
     assert pipeline.evaluate(made, entries, judge.StubJudge()).count() == made.count()
 
 
+@pytest.mark.parametrize(
+    ("domain", "given"),
+    [
+        ("coherence", {1: 0.0, 2: 0.25, 3: 0.5, 3.6: 0.75, 5: 1.0, 7: 1.0}),
+        ("empathy", {"1": 0.0, 0: 0.0, 4: 0.75, "x": None}),
+        ("multicultural", {0: 0.0, 1: 1.0, 1.2: 1.0, 0.126: 0.13, -1: 0.0, "x": None}),
+        ("commonsense", {0: 0.0, 1: 1.0, 1.2: 1.0}),
+    ],
+)
+def test_scores_of_replies_on_one_scale(spark, tmp_path, domain, given):
+    d, root = DOMAINS[domain], tmp_path / "root"
+    for name in DOMAINS:
+        ids = [f"{DOMAINS[name].prefix}-{k}" for k in range(len(given))]
+        write(root / "manifest" / name / "m.jsonl", *({"custom_id": i, "content": "Human A: x"} for i in ids))
+        lines = []
+        for k, (i, v) in enumerate(zip(ids, given)):
+            value = {"reasoning": "r", "score": v} if k % 2 and name != "commonsense" else v
+            content = json.dumps({(n if k % 3 else dim): value for n, dim in zip(d.names, d.dims)})
+            lines += [reply(f"{i}{s}", content) for s in (("-dim", "-dlg") if name == "commonsense" else ("",))]
+        write(root / "replies" / name / "batch_1.jsonl", *(lines if name == domain else [reply("odd", "{}")]))
+    got = {r["source_id"]: r["scores"] for r in pipeline.merged(spark, str(root)).collect()}
+    want = {f"{d.prefix}-{k}": dict.fromkeys(d.names, w) for k, w in enumerate(given.values())}
+    assert {i: {n: s[n] for n in d.names} for i, s in got.items()} == want
+    assert all(s[n] is None for s in got.values() for n in ALL_DIMS if n not in d.names)
+
+
 def test_prepare(spark, tmp_path, capsys):
     root = tmp_path / "root"
     write(root / "raw" / "coherence" / "c.json", {"dialogue": ["Human A: x\nHuman B: y", " Human A: x\nHuman B: y ", "", "z"], "labels": ["Yes", "No", "No", "Yes"]})
