@@ -3,7 +3,8 @@
 The index holds a posting (term, doc, position) for every occurrence in the corpus of a word that some item has. Each
 stretch of an item that could be a leaked phrase is looked up by its rarest term; its postings, less the term's place in
 the item, give the diagonals on which document and item may agree. On these the postings of all the item's terms are
-intersected, and runs of consecutive agreement are exact phrases; agreement nearby, in order or not, is a proximity match.
+intersected, and runs of consecutive agreement are exact phrases. Agreement nearby, in order or not, is a proximity match;
+these have candidates of their own, since a near match need not hold any exact stretch.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from .confusables import ODD_LETTER, PROTOTYPE, normalized
 
 #: Up to so many item words the vocabulary is broadcast (some 100 MB at most); beyond, postings are found by a shuffle.
 BROADCAST_WORDS = 2_000_000
+#: Of the words that a proximity match asks for, one in so many must be among the item's rare ones for it to be looked at.
+#: Fewer leave more bands to be looked at, more make seeds of frequent words.
+RARE = 3
 
 
 #: Lower-case letters of other alphabets and the Latin letters that they look like.
@@ -42,7 +46,7 @@ class Index:
     """Postings of the items' words over the whole corpus, written to the shared folder.
 
     Texts are compared in their one form (problem 9). Null and empty texts have no postings. Items shorter than
-    ``phrase`` words can't be found. Documents of one id count as one.
+    ``phrase`` words have no phrases. Documents of one id count as one.
     """
 
     def __init__(self, docs: DataFrame, items: DataFrame, phrase: int = 13):
@@ -96,16 +100,42 @@ class Index:
         runs = hits.withColumn("run", run).groupBy("doc_id", "item_id", "shift", "run").agg(F.min("ipos").alias("item_word"), F.count("*").alias("n_words"))
         return runs.filter(F.col("n_words") >= self.phrase).select("doc_id", "item_id", (F.col("shift") + F.col("item_word")).alias("doc_word"), "item_word", "n_words")
 
+    def near_candidates(self, slack: int, share: float) -> DataFrame:
+        """(doc_id, item_id, band): bands of diagonals that hold every proximity match; band b is the 2w diagonals from w b on, w = 2 slack + 1.
+
+        A match lacks at most n - m of an item's n words, if m are asked for. So at least k of the item's n - m + k rarest
+        words, those that the corpus lacks among them, are within its w diagonals, and these lie in one band.
+        """
+        w = 2 * slack + 1
+        df = self.postings.groupBy("t").agg(F.count("*").alias("df"))
+        whole = Window.partitionBy("item_id")
+        ranked = self.items.join(df, "t", "left").withColumn("rank", F.row_number().over(whole.orderBy(F.coalesce("df", F.lit(0)), "ipos"))).withColumn("n", F.count("*").over(whole))
+        asked = ranked.withColumn("m", F.greatest(F.lit(1), F.ceil(F.col("n") * share - 1e-9))).withColumn("k", F.greatest(F.lit(1), F.floor(F.col("m") / RARE)))
+        seeds = materialize(asked.filter("rank <= n - m + k and df > 0").select("item_id", "ipos", "t", "k"), "near-seeds")
+        found = self.postings.join(_broadcast_if(seeds.drop("k"), self.small), "t").withColumn("band", F.floor((F.col("pos") - F.col("ipos")) / w))
+        found = found.select("doc_id", "item_id", F.explode(F.array(F.col("band") - 1, F.col("band"))).alias("band"))
+        # a word that is there several times counts as often, so none is lost, and rows are combined in one shuffle
+        counted = found.groupBy("doc_id", "item_id", "band").agg(F.count("*").alias("found"))
+        kept = counted.join(_broadcast_if(seeds.select("item_id", "k").distinct(), self.small), "item_id").filter("found >= k")
+        return materialize(kept.select("doc_id", "item_id", "band"), "near-bands")
+
     def proximity(self, slack: int = 4, share: float = 0.6) -> DataFrame:
-        """(doc_id, item_id, item_share): at least ``share`` of an item's words within ``slack`` places of one diagonal."""
-        candidates = self.candidates()
-        length = self.items.groupBy("item_id").agg(F.count("*").alias("length"))
-        wanted = candidates.join(_broadcast_if(self.items, self.small), "item_id").select("doc_id", "item_id", "shift", "ipos", "t", F.explode(F.sequence(F.lit(-slack), F.lit(slack))).alias("off"))
-        wanted = wanted.withColumn("pos", F.col("shift") + F.col("ipos") + F.col("off"))
-        hits = wanted.join(self._near_postings(candidates), ["doc_id", "pos", "t"]).select("doc_id", "item_id", "shift", "ipos").distinct()
-        best = hits.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n")).groupBy("doc_id", "item_id").agg(F.max("n").alias("n"))
-        best = best.join(length, "item_id").select("doc_id", "item_id", (F.col("n") / F.col("length")).alias("item_share"))
-        return best.filter(F.col("item_share") >= share)
+        """(doc_id, item_id, item_share): at least ``share`` of an item's words within ``slack`` places of one diagonal. Items of any length."""
+        w = 2 * slack + 1
+        candidates = self.near_candidates(slack, share)
+        own = self.items.groupBy("item_id").agg(F.count("*").alias("length"))
+        asked = candidates.join(own, "item_id")
+        # places of each word on the band: 2 w from ``low`` on, in at most two cells of 2 w
+        low = F.col("band") * w + F.col("ipos")
+        wanted = asked.join(_broadcast_if(self.items, self.small), "item_id").withColumn("low", low).withColumn("cell", F.floor(F.col("low") / (2 * w)))
+        wanted = wanted.select("doc_id", "item_id", "band", "length", "ipos", "t", "low", F.explode(F.array(F.col("cell"), F.col("cell") + 1)).alias("cell")).filter("cell >= 0")
+        near = self._near_postings(candidates).withColumn("cell", F.floor(F.col("pos") / (2 * w)))
+        hits = wanted.join(near, ["doc_id", "t", "cell"]).filter((F.col("pos") >= F.col("low")) & (F.col("pos") < F.col("low") + 2 * w))
+        bands = hits.groupBy("doc_id", "item_id", "band", "length").agg(F.collect_set(F.struct((F.col("pos") - F.col("ipos")).alias("diagonal"), "ipos")).alias("hits"))
+        bands = bands.filter(F.size(F.array_distinct("hits.ipos")) / F.col("length") >= share)
+        places = bands.select("doc_id", "item_id", "length", F.explode("hits").alias("h")).select("doc_id", "item_id", "length", "h.ipos", F.explode(F.sequence(F.col("h.diagonal") - slack, F.col("h.diagonal") + slack)).alias("shift")).distinct()
+        best = places.groupBy("doc_id", "item_id", "length", "shift").agg(F.count("*").alias("n")).groupBy("doc_id", "item_id", "length").agg(F.max("n").alias("n"))
+        return best.select("doc_id", "item_id", (F.col("n") / F.col("length")).alias("item_share")).filter(F.col("item_share") >= share)
 
 
 def leaked(docs: DataFrame, items: DataFrame, phrase: int = 13) -> DataFrame:

@@ -64,6 +64,54 @@ def test_phrases_and_proximity(spark):
     assert near[1] == 1.0 and near[2] == 1.0 and 4 not in near
 
 
+def near_brute(docs, items, slack, share):
+    out = {}
+    for i, t in items:
+        w = t.split()
+        for d, u in docs:
+            at = {}
+            for k, x in enumerate(u.split()):
+                at.setdefault(x, []).append(k)
+            shifts = {}
+            for k, x in enumerate(w):
+                for s in {p - k + off for p in at.get(x, ()) for off in range(-slack, slack + 1)}:
+                    shifts[s] = shifts.get(s, 0) + 1
+            n = max(shifts.values(), default=0)
+            if n and n / len(w) >= share:
+                out[d, i] = n / len(w)
+    return out
+
+
+def test_proximity_equals_brute_force(spark):
+    rng = random.Random(5)
+    items = [(i, " ".join(rng.choices(WORDS[:40] if i % 3 == 0 else WORDS, k=rng.randrange(1, 45)))) for i in range(60)] + [(90, "a " * 16), (91, "w1"), (92, " ".join(f"z{k}" for k in range(8)) + " w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13 w14")]
+    docs = []
+    for d in range(250):
+        w = rng.choices(WORDS, k=rng.randrange(0, 90))
+        t = [x for x in rng.choice(items)[1].split() if rng.random() > 0.08 * (d % 7)]
+        for _ in range(d % 4):
+            t.insert(rng.randrange(len(t) + 1), "new")
+        if d % 5 == 0:
+            t = [x for k in range(0, len(t), 3) for x in rng.sample(t[k : k + 3], len(t[k : k + 3]))]
+        at = rng.randrange(len(w) + 1)
+        w[at:at] = t
+        docs.append((d, " ".join(w)))
+    docs += [(900, ""), (901, "a " * 30), (902, " ".join(f"w{k}" for k in range(3, 15)))]
+    index = leaks.Index(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    for slack, share in ((4, 0.6), (1, 0.75)):
+        got = [tuple(r) for r in index.proximity(slack, share).collect()]
+        want = near_brute(docs, items, slack, share)
+        assert len(got) == len({r[:2] for r in got}) and {(d, i): x for d, i, x in got} == want and len(want) > 60
+    assert (902, 92) in near_brute(docs, items, 4, 0.6)
+
+
+def test_proximity_without_any_exact_stretch(spark):
+    w = [f"q{i}" for i in range(30)]
+    docs = [(3, " ".join(x for i, x in enumerate(w) if i % 5)), (4, "q0 q5 q9"), (5, " ".join("odd" if i % 5 == 0 else x for i, x in enumerate(w)))]
+    index = leaks.Index(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(1, " ".join(w)), (2, "q1 q2 q3 q4 absent")], "item_id bigint, text string"))
+    assert {tuple(r) for r in index.proximity().collect()} == {(3, 1, 0.8), (5, 1, 0.8), (3, 2, 0.8), (5, 2, 0.8)}
+
+
 def test_leaks_of_nothing(spark):
     docs, items = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
     assert leaks.leaked(docs.limit(0), items).count() == leaks.leaked(docs, items.limit(0)).count() == leaks.leaked(docs, items).count() == 0
