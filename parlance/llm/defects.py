@@ -98,6 +98,24 @@ REFUSALS = {
     ),
     "ja": (("", "申し訳ありませんが、", "残念ながら、"), ("このリクエストには", "この依頼には", "この会話の書き換えには", "そのような内容には"), ("お応えできません。", "お手伝いできません。", "対応できません。"), ("", "別の依頼をお願いします。")),
 }
+#: Refusals that name no task: an opening, then one of these.
+BARE_REFUSALS = {
+    "en": ("I can't help with that", "I can't assist with this", "I cannot comply", "I cannot do that", "I am unable to do this", "I'm unable to help with this", "I'm not able to do that", "I won't do that", "I will not do this", "I must decline", "I have to decline", "I must refuse", "I must decline to write that", "I can't provide that", "I cannot fulfill this", "I can't continue with this", "I am not comfortable doing this", "I'm not allowed to do that", "this is not something I can do", "that is something I cannot provide"),
+    "de": ("ich kann dabei nicht helfen", "damit kann ich nicht helfen", "das kann ich nicht tun", "ich kann das nicht machen", "das darf ich nicht", "ich muss das ablehnen", "dazu bin ich nicht in der Lage", "das werde ich nicht schreiben"),
+    "fr": ("je ne peux pas vous aider", "je ne peux pas faire cela", "je ne peux pas vous aider avec cela", "je dois refuser", "je ne suis pas en mesure de le faire", "cela m'est impossible", "je refuse de faire cela"),
+    "es": ("no puedo ayudar con eso", "no puedo ayudarte con esto", "no puedo hacer eso", "no puedo hacerlo", "debo negarme", "no me es posible hacerlo", "me niego a hacer eso"),
+    "ru": ("я не могу с этим помочь", "я не могу этого сделать", "я не могу вам помочь", "я вынужден отказаться", "мне нельзя это делать", "я не буду этого делать"),
+    "ja": ("お手伝いできません", "お応えできません", "それはできません", "対応できません"),
+}
+#: Ordinary talk that begins as refusals do.
+SMALL_TALK = {
+    "en": ("I'm sorry to hear that.", "Sorry, I can't make it tonight.", "I can't believe it.", "I can't wait to see that.", "I'm sorry, I was late.", "I'm sorry, but I don't agree with that.", "I cannot say that I liked it.", "I can't stand that.", "I can't stop thinking about this.", "Unfortunately, that is true.", "I will not forget that.", "I won't be there.", "I am not sure about that.", "Sorry, what did you say?", "I can't come.", "I cannot sleep.", "I don't know, I can't remember that.", "Unfortunately it rained."),
+    "de": ("Das tut mir leid.", "Leider ist das so.", "Ich kann nicht schlafen.", "Das kann ich nicht glauben.", "Ich kann leider nicht kommen."),
+    "fr": ("Je suis désolé pour toi.", "Malheureusement, c'est vrai.", "Je ne peux pas dormir.", "Je ne peux pas le croire.", "Je ne peux pas venir."),
+    "es": ("Lo siento mucho.", "Lamentablemente es verdad.", "No puedo dormir.", "No puedo creerlo.", "No puedo ir."),
+    "ru": ("Мне очень жаль.", "К сожалению, это правда.", "Я не могу уснуть.", "Я не могу в это поверить.", "Я не могу прийти."),
+    "ja": ("それは残念です。", "申し訳ありません、遅れました。"),
+}
 DECLINED_THINGS = {
     "en": ("{o} I have to decline the {n}, my flat is too small.", "{o} I can't help with the {n} today. Ask my {m}, there is more time.", "{o} I won't be able to bring the {n}, my car is in for repairs.", "{o} my request for the {n} was declined at the shop.", "{o} I must say no to the {n}, my guidelines at work forbid gifts.", "{o} I cannot come, because the {n} needs repairs.", "{o} it is not possible for me to carry the {n} alone.", "{o} I'd rather not sell the {n}.", "{o} my {m} refused to discuss the {n}.", "{o} I am not able to lift the {n}.", "{o} the shop won't be producing any {n} this year.", "{o} I can't lend you the {n} this week.", "{o} I cannot give you the {n} before Monday.", "{o} I am unable to fix the {n}.", "I'm sorry, but I can't find the {n}.", "{o} I will not paint the {n} again.", "{o} I must decline, my {m} has the {n}.", "Unfortunately my {m} and I can't come for the {n}.", "I am sorry, I cannot come to {c}, because {c} needs help with the {n}.", "Sorry to hear that your {m} is sad about the {n}."),
     "de": ("Leider kann ich die {n} nicht bringen.", "{o} ich muss das Fest absagen, meine {m} ist krank.", "Es tut mir leid, aber {c} kann heute nicht helfen."),
@@ -105,8 +123,12 @@ DECLINED_THINGS = {
     "es": ("Lo siento, pero no puedo llevar {n} esta noche.", "Lamentablemente debo rechazar el postre.", "No puedo ayudar con la mesa, pregunta a {c}."),
     "ru": ("К сожалению, я не могу принести {n} сегодня.", "Извините, но {c} не может прийти.", "Я вынужден отказаться от пирога."),
 }
-#: Words of the writing task, from the parts above: a refusal names one, which declining a thing does not.
+#: Words of the writing task, from the parts above: one that names them declines no thing of the dialogue.
 TASK_WORDS = {w for l, r in REFUSALS.items() for t in (*r[2], *r[3]) for w in WORD.findall(t.lower()) if len(w) > 4 and w not in _LANGUAGE_OF}
+#: All words that refusing takes.
+REFUSING_WORDS = {w for r in REFUSALS.values() for p in r for t in p for w in WORD.findall(t.lower())} | {w for r in BARE_REFUSALS.values() for t in r for w in WORD.findall(t.lower())}
+#: What stands before the name of a thing.
+DETERMINERS = set("the a an my your our his her their der die das den dem ein eine einen einem einer mein meine meinen meiner dein deine le la les l un une mon ma mes ton ta el los las una mi tu su".split())
 INTRODUCTIONS = ("You said: ", "To repeat: ", "The question was: ", "So, ", "Well, ", "Oh! ", "Okay. ", "Right: ", "I repeat: ", "As you said, ", "You asked: ", "Here it is again: ", "Hmm, ")
 REPLIES = ("When you say “{q}”, I understand you well. ", "You asked “{q}”. ", "“{q}”, you say. ", "About “{q}”: ")
 DANGLING = (" – and then my", ", because the", " – which is why", " and then my", ", but", " so that", ", and the", " which", ": the")
@@ -226,6 +248,26 @@ def unended(text: str) -> str | None:
     return SENTENCE.split(t)[-1].lstrip("“\"'([«")
 
 
+def declines_a_thing(prompt: list[str], first: str, vocabulary: frozenset[str]) -> bool:
+    """Whether a message that names no writing task names a thing or a person of ordinary dialogue.
+
+    A thing is a word of the dialogues after a determiner, or one of this prompt's own longer words; a person is a
+    capitalized word within a sentence that the dialogues have.
+    """
+    raw = WORD.findall(INVISIBLE.sub("", first))
+    low = [w.lower() for w in raw]
+    if any(w in TASK_WORDS for w in low) or len(low) < 8 and _NOT_LATIN.search(first):
+        return False
+    own = {w for t in prompt for w in visible_words(t) if len(w) > 4}
+    begins = {(WORD.findall(t) or [""])[0] for t in SENTENCE.split(first)}
+    for before, w, as_said in zip(["", *low], low, raw):
+        if w in REFUSING_WORDS or w in _LANGUAGE_OF or len(w) < 3:
+            continue
+        if w in own or w in vocabulary and (before in DETERMINERS or as_said[0].isupper() and as_said not in begins):
+            return True
+    return False
+
+
 def _h(s: str) -> int:
     return zlib.crc32(s.encode("utf-8", "surrogatepass")) % PAIR
 
@@ -273,13 +315,12 @@ def features(prompt: list[str], answer: list[str], m: Model) -> tuple[list[tuple
     nothing = all(not ws or len(ws) < 4 and "".join(ws) in STAND_INS for ws in said)
     f.append((_h(f"empty:{nothing}"), 3.0))
     if nothing:
-        return f, {"nothing": True, "share": 0.0, "distance": (1.0, 0), "tail": None, "task": False}
+        return f, {"nothing": True, "share": 0.0, "distance": (1.0, 0), "tail": None}
     first = said[0]
     f.extend((_b(x), 1.0) for x in {*(f"r1:{w}" for w in first), *(f"r2:{a} {b}" for a, b in zip(first, first[1:])), *(f"r3:{a} {b} {c}" for a, b, c in zip(first, first[1:], first[2:]))})
     if len(first) < 4 and _NOT_LATIN.search(answer[0]):
         t = "".join(first)
         f.extend((_b(f"rc:{t[i : i + 4]}"), 1.0) for i in range(max(0, len(t) - 3)))
-    task = any(w in TASK_WORDS for w in first) or (len(first) < 8 and bool(_NOT_LATIN.search(answer[0])))
     distance = copy_distance(prompt, [w for ws in said for w in ws])
     f.append((_h("copy"), 4 * max(0.0, 1 - distance[0] / 0.3)))
     f.append((_h(f"copied:{min(int(distance[0] * 20), 8)}"), 2.0))
@@ -288,11 +329,11 @@ def features(prompt: list[str], answer: list[str], m: Model) -> tuple[list[tuple
     f.append((_h(f"foreign:{int(share * 10)}"), 2.0))
     tail = unended(answer[-1])
     f.extend(ending_features(tail, m))
-    return f, {"nothing": False, "share": share, "distance": distance, "tail": tail, "task": task}
+    return f, {"nothing": False, "share": share, "distance": distance, "tail": tail}
 
 
-def confirmed(defect: str, facts: dict) -> bool:
-    """The exact check of a defect's definition."""
+def confirmed(defect: str, facts: dict, prompt: list[str], answer: list[str], m: Model) -> bool:
+    """The exact check of a defect's definition. Of refusals the score decides, but for things of the dialogue that are declined."""
     if defect == "empty":
         return facts["nothing"]
     if defect == "copied":
@@ -301,13 +342,18 @@ def confirmed(defect: str, facts: dict) -> bool:
         return facts["share"] > 0.5
     if defect == "truncated":
         return facts["tail"] is not None
-    return facts["task"]
+    return not facts["nothing"] and not declines_a_thing(prompt, answer[0], m.vocabulary)
 
 
 def _refusal(rng: random.Random, lang: str) -> str:
     return "".join(rng.choice(p) + (" " if i == 1 and lang != "ja" else "." if i == 2 and lang != "ja" else "") for i, p in enumerate(REFUSALS[lang])).strip()
 
 
+def _bare_refusal(rng: random.Random, lang: str) -> str:
+    s = rng.choice(REFUSALS[lang][0]) + rng.choice(BARE_REFUSALS[lang])
+    return s[:1].upper() + s[1:] + ("。" if lang == "ja" else ".")
+
+
 def _declined(rng: random.Random, lang: str, nouns: list[str]) -> str:
     lang = lang if lang in DECLINED_THINGS else "en"
     s = rng.choice(DECLINED_THINGS[lang]).format(o=rng.choice(REFUSALS[lang][0]).strip(), n=rng.choice(nouns), m=rng.choice(("brother", "sister", "boss", "friend")), c=rng.choice(nouns).title())
@@ -413,6 +459,10 @@ def synthetic(prompts: list[list[str]], seed: int, blank: Model) -> tuple[list,
                 add(prompt, answer + p + [rng.choice(p) + f" “{q[-1]}”"], None, (1, 1, 0, 1, 0))
         r = lang if lang in REFUSALS and rng.random() < 0.5 else rng.choice(("en", "en", "en", "de", "fr", "es", "ru", "ja"))
         add(prompt, [_refusal(rng, r)] + (answer if rng.random() < 0.15 else []), "refusal", (1, 1, 1, 0, 1))
+        add(prompt, [_bare_refusal(rng, r)], "refusal", (1, 1, 1, 0, 1))
+        if rng.random() < 0.15:  # broken off
+            add(prompt, [(rng.choice(REFUSALS[r][0]) + rng.choice(REFUSALS[r][1])).strip()], "refusal", (1, 1, 1, 0, 0))
+        add(prompt, [rng.choice(SMALL_TALK[r])] + (answer if rng.random() < 0.5 else []), None, (1, 1, 1, 0, 1))
         add(prompt, [_declined(rng, r if r != "ja" else "en", nouns)] + (answer if rng.random() < 0.5 else []), None, (1, 1, 1, 0, 1))
     for lang, ss in sentences.items():  # endings alone, for the truncated label
         for s in rng.sample(ss, min(len(ss), 4_000 if lang == "en" else 2_500)):
@@ -443,7 +493,8 @@ def fit(prompts: list[list[str]], seed: int = 42, steps: int = 120, rate: float
     blank = Model(np.zeros((DIMENSIONS, len(DEFECTS))), np.full(len(DEFECTS), 0.5), frozenset(), frozenset())
     prompts = [p for p in prompts if any(not says_nothing(t) for t in p)]
     if not prompts:
-        return blank._replace(weights=np.zeros((DIMENSIONS, len(DEFECTS)), np.float32))
+        # no score tells refusals then, and no exact check does
+        return blank._replace(weights=np.zeros((DIMENSIONS, len(DEFECTS)), np.float32), thresholds=np.array([1.1 if d == "refusal" else 0.5 for d in DEFECTS]))
     rows, y, mask, m = synthetic(prompts, seed, blank)
     held = np.arange(len(rows)) % 5 == 4
     train = [r for r, h in zip(rows, held) if not h] or rows
@@ -485,8 +536,8 @@ def judge(prompts: list[list[str]], answers: list[list[str]], m: Model) -> list[
         return []
     p = scores([f for f, _ in both], m.weights)
     out: list[str | None] = []
-    for (_, facts), q in zip(both, p):
-        out.append(next((d for i, d in enumerate(DEFECTS) if q[i] >= m.thresholds[i] and confirmed(d, facts)), None))
+    for (_, facts), q, prompt, answer in zip(both, p, prompts, answers):
+        out.append(next((d for i, d in enumerate(DEFECTS) if q[i] >= m.thresholds[i] and confirmed(d, facts, prompt, answer, m)), None))
     return out
 
 
