@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,22 @@ def merged(spark: SparkSession, root: str, metadata: DataFrame | None = None, go
     return quota.assign_splits(entries, "domain", "dialogue_id", list(DOMAINS), SPLIT_SHARES)
 
 
+def lookups(spark: SparkSession, root: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """Metadata by uid of raw/multicultural/*.csv and gold by pid of raw/gold.json; None, with a warning, for one whose files aren't there."""
+    metadata = gold = None
+    if readers.there(spark, f"{root}/raw/multicultural/*.csv"):
+        rows = readers.multicultural(spark, f"{root}/raw/multicultural")
+        rows = rows.withColumns({"file": F.concat("source_file", F.lit(".csv")), "line_no": F.monotonically_increasing_id()} | {f: F.lit("") for f in merge.METADATA_FIELDS if f not in rows.columns})
+        metadata = merge.metadata_by_uid(rows, ["file", "line_no"])
+    else:
+        warnings.warn(f"no {root}/raw/multicultural/*.csv: multicultural entries have no metadata", stacklevel=2)
+    if readers.there(spark, f"{root}/raw/gold.json"):
+        gold = merge.gold_by_pid(readers.gold(spark, f"{root}/raw/gold.json").filter("length(gold) > 0"), ["ord"])
+    else:
+        warnings.warn(f"no {root}/raw/gold.json: commonsense entries have no metadata", stacklevel=2)
+    return metadata, gold
+
+
 def generation_requests(entries: DataFrame, domain: str | None = None) -> DataFrame:
     rows = prompts.generation_prompt(contrast.requests(contrast.candidates(contrast.valid_entries(entries), domain)))
     return rows.withColumn("line", writers.envelope(F.col("custom_id"), F.col("prompt")))
@@ -104,7 +121,7 @@ def main(argv: list[str] | None = None) -> None:
             print(summary.__name__, report.markdown(summary(pairs)), sep="\n")
         return
     if args.step == "merge":
-        writers.json_lines(merged(spark, root), f"{root}/entries")
+        writers.json_lines(merged(spark, root, *lookups(spark, root)), f"{root}/entries")
         return
     entries = readers.entries(spark, f"{root}/entries")
     if args.step == "select":

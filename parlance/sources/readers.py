@@ -20,6 +20,13 @@ PAIR = (
 )
 
 
+def there(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file or folder has a path of this pattern."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, line) of text files, blank lines left out. A line's number is its byte order within its file's splits: unique and ascending."""
     df = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("mono"), F.col("value").alias("line"))

@@ -134,6 +134,23 @@ def test_scores_of_replies_on_one_scale(spark, tmp_path, domain, given):
     assert all(s[n] is None for s in got.values() for n in ALL_DIMS if n not in d.names)
 
 
+def test_merge_step_looks_metadata_up(spark, tmp_path):
+    root = tmp_path / "root"
+    for name, d in DOMAINS.items():
+        ids = [f"{d.prefix}-{i}" for i in range(3)]
+        write(root / "manifest" / name / "m.jsonl", *({"custom_id": i, "content": "Human A: x", "uid": i, "pid": i} for i in ids))
+        write(root / "replies" / name / "batch_1.jsonl", *(reply(f"{i}{s}", json.dumps(dict.fromkeys(d.names, 1))) for i in ids for s in (("-dim", "-dlg") if name == "commonsense" else ("",))))
+    write(root / "raw" / "multicultural" / "a.csv", "uid,conversation,country_1,situation", "mu-0,c,A,one", "mu-1,c,B,", "mu-0,c,C,two", ",c,D,x")
+    write(root / "raw" / "multicultural" / "a-b.csv", "uid,conversation,country_1,situation", "mu-0,c,E,early", "mu-9,c,F,x")
+    write(root / "raw" / "gold.json", json.dumps([{"pid": "cs-0", "gold": ""}, {"pid": "cs-0", "gold": "xWant"}, {"pid": "cs-0", "gold": "xAttr"}, {"pid": "cs-1", "gold": "odd"}]))
+    pipeline.main(["merge", "--root", str(root)])
+    got = {r["source_id"]: r["domain_metadata"] for r in readers.entries(spark, str(root / "entries")).collect()}
+    assert len(got) == 12 and {i for i, m in got.items() if m} == {"mu-0", "mu-1", "cs-0", "cs-1"}
+    assert len(got["mu-0"]) == 15 and (got["mu-0"]["country_1"], got["mu-0"]["situation"], got["mu-0"]["country_2"]) == ("C", "two", "")
+    assert (got["mu-1"]["country_1"], got["mu-1"]["situation"]) == ("B", "")
+    assert got["cs-0"] == {"gold_relation": "xWant", "target_dimension": "desire"} and got["cs-1"] == {"gold_relation": "odd", "target_dimension": ""}
+
+
 def test_prepare(spark, tmp_path, capsys):
     root = tmp_path / "root"
     write(root / "raw" / "coherence" / "c.json", {"dialogue": ["Human A: x\nHuman B: y", " Human A: x\nHuman B: y ", "", "z"], "labels": ["Yes", "No", "No", "Yes"]})
