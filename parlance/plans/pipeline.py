@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import warnings
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from parlance.functions.dims import DOMAINS, SPLIT_SHARES, char_names_of
 from parlance.functions.replies import continuation, evaluation_scores, scored
 from parlance.operators import analytics, contrast, judged, merge, quota, shards
 from parlance.operators.rows import last_wins
+from parlance.session import materialize
 from parlance.sources import readers, writers
 
 from . import prepare as prepare_domain
@@ -36,9 +38,23 @@ def prepare(spark: SparkSession, root: str, domain: str, limit: int | None = Non
     return made
 
 
+def attempts(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Folders of retries' replies, retries/NAME/1 and on, as far as they are there without a gap."""
+    found: list[str] = []
+    while readers.there(spark, path := f"{root}/retries/{name}/{len(found) + 1}"):
+        found.append(path)
+    return found
+
+
+def replies_of(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One reply of each id: the last line of the latest attempt that has the id."""
+    own = lambda path: last_wins(readers.replies(spark, path), ["custom_id"], ["file", "line_no"])
+    return judged.with_retries(own(f"{root}/replies/{name}"), *map(own, attempts(spark, root, name)))
+
+
 def parse(spark: SparkSession, root: str, domain: str) -> tuple[DataFrame, DataFrame]:
     """Parsed rows, with scores on the scale of 0 to 1 as object, and failures of a domain's replies."""
-    replies = readers.replies(spark, f"{root}/replies/{domain}")
+    replies = replies_of(spark, root, domain)
     manifest = readers.manifest(spark, f"{root}/manifest/{domain}")
     if domain == "commonsense":
         out = judged.dual_outcomes(replies, manifest, ["file", "line_no"])
@@ -51,6 +67,28 @@ def parse(spark: SparkSession, root: str, domain: str) -> tuple[DataFrame, DataF
     return out.filter("reason is null"), out.filter("reason is not null").select("custom_id", "reason").unionByName(lost)
 
 
+def failures(spark: SparkSession, root: str, domains: list[str]) -> DataFrame:
+    """(domain, custom_id, reason) of the domains' replies that are no use."""
+    parts = [parse(spark, root, d)[1].select(F.lit(d).alias("domain"), "custom_id", "reason") for d in domains]
+    return materialize(reduce(DataFrame.unionByName, parts), "failures")
+
+
+def retry(spark: SparkSession, root: str, domain: str, failed: DataFrame) -> tuple[int, int]:
+    """Writes the requests to send again for a domain's failures to requests/retry/DOMAIN/K, whose replies belong to retries/DOMAIN/K.
+
+    Gives how many requests these are, and how many failed ids have none.
+    """
+    own = failed.filter(F.col("domain") == domain).select("custom_id", "reason")
+    requests = readers.request_lines(spark, f"{root}/requests/{domain}/*")
+    again = materialize(judged.retry_set(own, requests), "retry")
+    n = again.count()
+    if n:
+        k = len(attempts(spark, root, domain)) + 1
+        name = F.concat(F.lit(f"{DOMAINS[domain].prefix}_retry_{k}_shard_"), F.when(F.col("shard") < 10_000, F.lpad(F.col("shard").cast("string"), 4, "0")).otherwise(F.col("shard").cast("string")))
+        writers.request_shards(shards.shards_by_size(again, "line", ["custom_id"]).withColumn("shard", name), f"{root}/requests/retry/{domain}/{k}")
+    return n, judged.lost_for_retry(own, requests).count()
+
+
 def merged(spark: SparkSession, root: str, metadata: DataFrame | None = None, gold: DataFrame | None = None) -> DataFrame:
     """All domains' entries with their new splits."""
     parts = {}
@@ -106,7 +144,7 @@ def evaluate(variants: DataFrame, entries: DataFrame, backend: JudgeBackend | No
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="parlance", description=__doc__)
-    parser.add_argument("step", choices=("prepare", "merge", "select", "generate", "pairs", "analyze"))
+    parser.add_argument("step", choices=("prepare", "retry", "merge", "select", "generate", "evaluate", "pairs", "analyze"))
     parser.add_argument("--root", required=True)
     parser.add_argument("--domain", choices=tuple(DOMAINS))
     args = parser.parse_args(argv)
@@ -120,7 +158,21 @@ def main(argv: list[str] | None = None) -> None:
         for summary in (analytics.score_shift, analytics.direction_distribution, analytics.variant_types, analytics.margin_sensitivity, analytics.label_rollup):
             print(summary.__name__, report.markdown(summary(pairs)), sep="\n")
         return
+    if args.step == "retry":
+        names = [args.domain] if args.domain else list(DOMAINS)
+        failed = failures(spark, root, names)
+        if judged.within_holdout(failed):
+            print(f"{failed.count()} failures, held out: no retry")
+            return
+        for name in names:
+            print(name, "{} requests to send again, {} failed ids without a request".format(*retry(spark, root, name, failed)))
+        return
     if args.step == "merge":
+        failed = failures(spark, root, list(DOMAINS))
+        writers.json_lines(failed, f"{root}/failures")
+        print(report.markdown(judged.failure_breakdown(failed)))
+        if not judged.within_holdout(failed):
+            warnings.warn(f"more than {judged.HOLDOUT_LIMIT} failures: see {root}/failures and the retry step", stacklevel=2)
         writers.json_lines(merged(spark, root, *lookups(spark, root)), f"{root}/entries")
         return
     entries = readers.entries(spark, f"{root}/entries")
@@ -132,7 +184,12 @@ def main(argv: list[str] | None = None) -> None:
         writers.manifest(rows.select("custom_id", "dialogue_id", "domain", "variant_type", "direction", "turn_count", "target_dimensions", "domain_metadata"), f"{root}/manifest/generation")
     else:
         manifest = spark.read.schema("custom_id string, dialogue_id string, domain string, variant_type string, direction string, turn_count int, target_dimensions array<string>").json(f"{root}/manifest/generation")
-        made = variants(readers.replies(spark, f"{root}/replies/generation"), manifest)
+        made = variants(replies_of(spark, root, "generation"), manifest)
         requests = prompts.evaluation_prompt(contrast.evaluations(made, entries))
-        results = evaluated(requests, readers.replies(spark, f"{root}/replies/evaluation"))
+        if args.step == "evaluate":
+            lines = requests.select("custom_id", writers.envelope(F.col("custom_id"), F.col("prompt")).alias("line"))
+            writers.request_shards(shards.sharded(lines, ["custom_id"], "stage2_eval", first=0), f"{root}/requests/evaluation")
+            writers.manifest(requests.select("custom_id", "variant_id", "candidate_id", "domain", "direction", "variant_type", "target_dimensions", "stage_1_scores"), f"{root}/manifest/evaluation")
+            return
+        results = evaluated(requests, replies_of(spark, root, "evaluation"))
         writers.json_lines(contrast.pairs(made, results, entries), f"{root}/pairs")

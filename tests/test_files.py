@@ -151,6 +151,45 @@ def test_merge_step_looks_metadata_up(spark, tmp_path):
     assert got["cs-0"] == {"gold_relation": "xWant", "target_dimension": "desire"} and got["cs-1"] == {"gold_relation": "odd", "target_dimension": ""}
 
 
+def test_retry_and_evaluate_steps(spark, tmp_path, capsys):
+    root = tmp_path / "root"
+    for name, d in DOMAINS.items():
+        ids = [f"{d.prefix}-{i:03}" for i in range(130 if name in ("empathy", "commonsense") else 3)]
+        parts = ("-dim", "-dlg") if name == "commonsense" else ("",)
+        good = json.dumps({n: 5 if d.scale == "1-5" else 0.9 for n in d.names})
+        write(root / "manifest" / name / "m.jsonl", *({"custom_id": i, "content": "Human A: one\nHuman B: two\nHuman A: three"} for i in ids))
+        write(root / "requests" / name / "shard=x" / "p.txt", *({"custom_id": f"{i}{p}", "body": "b"} for i in ids for p in parts if i != "em-129"))
+        few = name in ("empathy", "commonsense")
+        write(root / "replies" / name / "batch_1.jsonl", *(reply(f"{i}{p}", "no use" if few and i[-3:] >= "060" and p != "-dlg" else good) for i in ids for p in parts), *([reply("em-000", good)] if name == "empathy" else []))
+    step = lambda name: pipeline.main([name, "--root", str(root)])
+    step("retry")
+    said = capsys.readouterr().out
+    assert "empathy 69 requests to send again, 1 failed ids without a request" in said and "commonsense 70 requests" in said and "coherence 0 requests" in said
+    sent = {d: [r["custom_id"] for r in readers.request_lines(spark, str(root / "requests" / "retry" / d / "1" / "*")).collect()] for d in ("empathy", "commonsense")}
+    assert sorted(sent["empathy"]) == [f"em-{i:03}" for i in range(60, 129)] and sorted(sent["commonsense"]) == [f"cs-{i:03}-dim" for i in range(60, 130)]
+    for name, ids in sent.items():
+        d = DOMAINS[name]
+        content = json.dumps({n: 1 if d.scale == "1-5" else 0.1 for n in d.names})
+        write(root / "retries" / name / "1" / "batch_1.jsonl", *(reply(i, content) for i in ids))
+    step("retry")
+    assert "1 failures, held out" in capsys.readouterr().out
+    step("merge")
+    assert [json.loads(x) for f in (root / "failures").glob("*.json") for x in f.read_text().split("\n") if x] == [{"domain": "empathy", "custom_id": "em-129", "reason": "json_parse_error"}]
+    entries = readers.entries(spark, str(root / "entries"))
+    got = {r["source_id"]: r["scores"] for r in entries.collect()}
+    assert entries.count() == len(got) == 129 + 130 + 6
+    assert got["em-000"]["em_emotional_awareness"] == 1.0 and got["em-060"]["em_emotional_awareness"] == 0.0 and got["cs-060"]["cs_desire"] == 0.1 and got["cs-060"]["cs_empathy"] == 0.9
+    step("generate")
+    asked = readers.request_lines(spark, str(root / "requests" / "generation" / "*")).collect()
+    written = json.dumps({"continuation": [{"role": "assistant", "content": "new"}]})
+    write(root / "replies" / "generation" / "batch_1.jsonl", *(reply(r["custom_id"], written) for r in asked for _ in range(2)))
+    step("evaluate")
+    lines = {r["custom_id"]: json.loads(r["line"]) for r in readers.request_lines(spark, str(root / "requests" / "evaluation" / "*")).collect()}
+    manifest = {r["custom_id"]: r for r in spark.read.json(str(root / "manifest" / "evaluation")).collect()}
+    assert lines.keys() == manifest.keys() == {f"s2v-var-{r['custom_id']}" for r in asked} and len(asked) > 100
+    assert all("Score the continuation" in x["body"]["messages"][0]["content"] for x in lines.values()) and all(m["stage_1_scores"] and m["candidate_id"] for m in manifest.values())
+
+
 def test_prepare(spark, tmp_path, capsys):
     root = tmp_path / "root"
     write(root / "raw" / "coherence" / "c.json", {"dialogue": ["Human A: x\nHuman B: y", " Human A: x\nHuman B: y ", "", "z"], "labels": ["Yes", "No", "No", "Yes"]})
