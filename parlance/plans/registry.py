@@ -107,6 +107,12 @@ def stub_scores(spark, sf_dir):
     return t.select("entry_id", "dim", stub_score(F.col("dialogue_id"), F.col("dim")).alias("score"))
 
 
+def stub_scores_all(spark, sf_dir):
+    """Scores of all 23 dimensions, whatever the entry's domain."""
+    t = entries(spark, sf_dir).select("entry_id", "dialogue_id", F.explode(F.array(*map(F.lit, ALL_DIMS))).alias("dim"))
+    return t.select("entry_id", "dim", stub_score(F.col("dialogue_id"), F.col("dim")).alias("score"))
+
+
 def _replies(spark, sf_dir):
     """Replies of every shape for each coherence entry, by its id; the manifest lacks some."""
     e = entries(spark, sf_dir).filter("domain = 'coherence'").select("entry_id", F.concat(F.lit("co-"), "entry_id").alias("custom_id"), (F.pmod("entry_id", F.lit(5)) + 1).alias("s"), F.pmod("entry_id", F.lit(8)).alias("k"))
@@ -271,7 +277,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         turn_count_buckets, dedupe_fingerprint, stratified_sample_quota, stratified_sample_rows, split_assign, split_counts, split_crosstab, dialogue_messages, context_turns, conversation_turns,
-        merge_scores_long, normalize_scores, stub_scores, judge_parse_taxonomy, failure_breakdown, missing_responses, dual_prompt_merge, retry_set, gold_enrich, metadata_enrich, entry_validity,
+        merge_scores_long, normalize_scores, stub_scores, stub_scores_all, judge_parse_taxonomy, failure_breakdown, missing_responses, dual_prompt_merge, retry_set, gold_enrich, metadata_enrich, entry_validity,
         tier_distribution, direction_split, candidates, turn_sample, generation_prompts, judge_prompts, shard_assignment, prefix_continuation, eval_requests, evaluation_prompts, latest_results, eval_labels, label_distribution, pair_outcomes, pairs, pair_difficulty, flagship,
     )
 } | {"score_shift": _of_pairs(analytics.score_shift), "direction_distribution": _of_pairs(analytics.direction_distribution), "variant_type_breakdown": _of_pairs(analytics.variant_types), "margin_sensitivity": _of_pairs(analytics.margin_sensitivity), "label_rollup": _of_pairs(analytics.label_rollup)}
@@ -324,6 +330,7 @@ ORACLES: dict[str, str] = {
     "merge_scores_long": f"SELECT * FROM (SELECT entry_id, unnest([{', '.join(repr(n) for n in ALL_DIMS)}]) dim, unnest([{', '.join('scores.' + n for n in ALL_DIMS)}]) score FROM stage1_entry) WHERE score IS NOT NULL",
     "normalize_scores": "WITH t AS (SELECT l_orderkey, l_linenumber, l_discount * l_quantity + l_tax - 0.5e0 x FROM lineitem), s AS (SELECT *, greatest(1, least(5, round_even(x, 0)))::INT score FROM t) SELECT l_orderkey, l_linenumber, score, format('{:.2f}', (score - 1) / 4.0e0)::DOUBLE from_five, format('{:.2f}', greatest(0.0e0, least(1.0e0, x)))::DOUBLE unit, format('{:.2f}', CASE WHEN x BETWEEN 0 AND 1 THEN x ELSE greatest(0.0e0, least(1.0e0, (x - 1) / 4.0e0)) END)::DOUBLE normalized FROM s",
     "stub_scores": f"SELECT entry_id, dim, (('0x' || substr(md5(dialogue_id || '|' || dim), 1, 4))::BIGINT % 101) / 100.0e0 score FROM (SELECT entry_id, dialogue_id, unnest([{', '.join(repr(n) for n in ALL_DIMS[:6])}]) dim FROM stage1_entry)",
+    "stub_scores_all": f"SELECT entry_id, dim, (('0x' || substr(md5(dialogue_id || '|' || dim), 1, 4))::BIGINT % 101) / 100.0e0 score FROM (SELECT entry_id, dialogue_id, unnest([{', '.join(repr(n) for n in ALL_DIMS)}]) dim FROM stage1_entry)",
     "judge_parse_taxonomy": "SELECT entry_id, reason, CASE WHEN reason IS NULL THEN (entry_id % 5) / 4.0e0 END score FROM (SELECT entry_id, CASE WHEN entry_id % 11 = 0 THEN 'unknown_custom_id' WHEN entry_id % 8 = 6 THEN 'api_error' WHEN entry_id % 8 IN (4, 5, 7) THEN 'json_parse_error' END reason FROM stage1_entry WHERE domain = 'coherence')",
     "failure_breakdown": "SELECT reason, count(*) n, min('co-' || entry_id) first_id FROM (SELECT entry_id, CASE WHEN entry_id % 11 = 0 THEN 'unknown_custom_id' WHEN entry_id % 8 = 6 THEN 'api_error' WHEN entry_id % 8 IN (4, 5, 7) THEN 'json_parse_error' END reason FROM stage1_entry WHERE domain = 'coherence') WHERE reason IS NOT NULL GROUP BY 1",
     "missing_responses": "SELECT DISTINCT custom_id FROM manifest WHERE custom_id NOT IN (SELECT source_id FROM stage1_entry WHERE source_id IS NOT NULL)",

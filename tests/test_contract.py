@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from parlance.functions.dims import ALL_DIMS
 
 DATA = "/root/testdata/sf0.001"
 
@@ -41,3 +42,8 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(n for n in entry.queries() if n not in entry.oracle_sql()))
 def test_query_runs(spark, name):
     assert entry.queries()[name](spark, DATA).count() >= 0
+
+
+def test_stub_scores_of_all_dimensions(spark):
+    dims = {r["dim"] for r in entry.queries()["stub_scores_all"](spark, DATA).select("dim").distinct().collect()}
+    assert dims == set(ALL_DIMS)
