@@ -22,9 +22,9 @@ KINDS = ("wide", "combining", "space", "invisible", "lookalike")
 
 #: Letters of other alphabets that look like a Latin letter, by alphabet, from the public Unicode confusables.
 LOOKALIKES = {
-    "CYRILLIC": dict(zip("аАВсСԁеЕһНіІјЈкКӏмМоОрРԛѕЅтТѵԝхХуУԌ", "aABcCdeEhHiIjJkKlmMoOpPqsStTvwxXyYG")),
-    "GREEK": dict(zip("αΑΒΕΗιΙκΚΜνΝοΟρΡτΤυΥχΧγΖϲϳω", "aABEHiIkKMvNoOpPtTuYxXyZcjw")),
-    "ARMENIAN": dict(zip("օՕսՍհոցգզյլԼաք", "oOuUhngqqjlLwf")),
+    "CYRILLIC": dict(zip("аАВсСԁеЕһНіІјЈкКӏмМоОрРԛѕЅтТѵԝхХуУԌԜԚѴҺӀүҮгьЬѡ", "aABcCdeEhHiIjJkKlmMoOpPqsStTvwxXyYGWQVhlyYrbbw")),
+    "GREEK": dict(zip("αΑΒΕΗιΙκΚΜνΝοΟρΡτΤυΥχΧγΖϲϳωσηϹͿϱϜϺ", "aABEHiIkKMvNoOpPtTuYxXyZcjwonCJpFM")),
+    "ARMENIAN": dict(zip("օՕսՍհոցգզյլԼաքՏռ", "oOuUhngqqjlLwfSn")),
 }
 #: A look-alike class may hold several letters of one alphabet; these further pairs join letters of two other alphabets.
 PROTOTYPE = {c: p for table in LOOKALIKES.values() for c, p in table.items()}

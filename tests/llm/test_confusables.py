@@ -62,3 +62,14 @@ def test_groups_and_empty_tables(spark):
     assert sorted((r["n_docs"], r["n_unformed"], r["first_id"]) for r in C.groups(df).collect()) == [(1, 0, 3), (2, 1, 1)]
     none = df.limit(0)
     assert C.groups(none).count() == C.kinds_found(none).count() == C.normalized(none).filter(F.lit(True)).count() == 0
+
+
+def test_every_look_alike_inside_a_latin_word():
+    seen = 0
+    for table in C.LOOKALIKES.values():
+        for odd, latin in table.items():
+            text, kinds = C.one_form(f"wor{odd}zd and more")
+            assert (text, list(kinds)) == (f"wor{latin}zd and more", ["lookalike"]), odd
+            seen += 1
+    named = {"Ԝ": "W", "Ԛ": "Q", "Ѵ": "V", "Һ": "h", "Ӏ": "l", "ү": "y", "Ү": "Y", "г": "r", "ь": "b", "Ь": "b", "γ": "y", "σ": "o", "η": "n", "Ϲ": "C", "Ϳ": "J", "Տ": "S"}
+    assert {c: C.PROTOTYPE.get(c) for c in named} == named and seen == len(C.PROTOTYPE) == 96
