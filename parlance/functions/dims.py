@@ -33,7 +33,7 @@ DOMAINS: dict[str, Domain] = {
 }
 ALL_DIMS: list[str] = [n for d in DOMAINS.values() for n in d.names]
 #: Which dimension a gold relation speaks to.
-RELATION_DIM = {"HinderedBy": "causality", "IsAfter": "causality", "xAttr": "consistency", "xReact": "reaction", "oReact": "reaction", "xWant": "desire", "oWant": "desire"}
+RELATION_DIM = {"HinderedBy": "cs_causality", "IsAfter": "cs_causality", "xAttr": "cs_consistency", "xReact": "cs_reaction", "oReact": "cs_reaction", "xWant": "cs_desire", "oWant": "cs_desire"}
 #: Turn buckets, sampling weights by bucket, label shares, continuation lengths, split shares.
 TURN_BUCKETS = ((2, 6), (7, 10), (11, 16), (17, 999))
 BUCKET_WEIGHTS = {"coherence": (0.20, 0.25, 0.30, 0.25), "empathy": (0.25, 0.30, 0.30, 0.15)}

@@ -18,7 +18,7 @@ def _literal_udf():
     def literal(texts: pd.Series) -> pd.Series:
         def one(t: str | None) -> str | None:
             try:
-                x = ast.literal_eval(t) if t is not None and len(t) < 1_000_000 else None
+                x = ast.literal_eval(t) if t is not None else None
                 return json.dumps(x, allow_nan=False) if isinstance(x, dict) else None
             except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
                 return None

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.functions import numeric, text
-from parlance.functions.dims import ALL_DIMS, BUCKET_WEIGHTS, DOMAINS, LABEL_SHARES, RELATION_DIM, SPLIT_SHARES, TURN_BUCKETS
+from parlance.functions.dims import ALL_DIMS, BUCKET_WEIGHTS, DOMAINS, LABEL_SHARES, SPLIT_SHARES, TURN_BUCKETS
 from parlance.functions.replies import scored
 from parlance.operators import analytics, contrast, judged, merge, quota, rows, shards
 from parlance.session import table
@@ -15,7 +15,7 @@ from . import prompts
 from .judge import stub_score
 
 SAMPLE_TARGET = 200
-RELATIONS = [*RELATION_DIM, "xNeed"]
+RELATIONS = ["HinderedBy", "IsAfter", "xAttr", "xReact", "oReact", "xWant", "oWant", "xNeed"]
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,7 +334,7 @@ ORACLES: dict[str, str] = {
     "judge_parse_taxonomy": "SELECT entry_id, reason, CASE WHEN reason IS NULL THEN (entry_id % 5) / 4.0e0 END score FROM (SELECT entry_id, CASE WHEN entry_id % 11 = 0 THEN 'unknown_custom_id' WHEN entry_id % 8 = 6 THEN 'api_error' WHEN entry_id % 8 IN (4, 5, 7) THEN 'json_parse_error' END reason FROM stage1_entry WHERE domain = 'coherence')",
     "failure_breakdown": "SELECT reason, count(*) n, min('co-' || entry_id) first_id FROM (SELECT entry_id, CASE WHEN entry_id % 11 = 0 THEN 'unknown_custom_id' WHEN entry_id % 8 = 6 THEN 'api_error' WHEN entry_id % 8 IN (4, 5, 7) THEN 'json_parse_error' END reason FROM stage1_entry WHERE domain = 'coherence') WHERE reason IS NOT NULL GROUP BY 1",
     "missing_responses": "SELECT DISTINCT custom_id FROM manifest WHERE custom_id NOT IN (SELECT source_id FROM stage1_entry WHERE source_id IS NOT NULL)",
-    "gold_enrich": f"WITH m AS (SELECT row_id, pid, [{', '.join(repr(x) for x in RELATIONS)}][row_id % {len(RELATIONS)} + 1] g FROM manifest WHERE pid IS NOT NULL), f AS (SELECT pid, first(g ORDER BY row_id) g FROM m WHERE pid <> '' GROUP BY 1) SELECT m.row_id, f.g gold_relation, CASE {' '.join(f'WHEN f.g = {k!r} THEN {v!r}' for k, v in RELATION_DIM.items())} WHEN f.g IS NOT NULL THEN '' END target_dimension FROM m LEFT JOIN f USING (pid)",
+    "gold_enrich": f"WITH m AS (SELECT row_id, pid, ['HinderedBy', 'IsAfter', 'xAttr', 'xReact', 'oReact', 'xWant', 'oWant', 'xNeed'][row_id % 8 + 1] g FROM manifest WHERE pid IS NOT NULL), f AS (SELECT pid, first(g ORDER BY row_id) g FROM m WHERE pid <> '' GROUP BY 1) SELECT m.row_id, f.g gold_relation, CASE WHEN f.g IN ('HinderedBy', 'IsAfter') THEN 'cs_causality' WHEN f.g = 'xAttr' THEN 'cs_consistency' WHEN f.g IN ('xReact', 'oReact') THEN 'cs_reaction' WHEN f.g IN ('xWant', 'oWant') THEN 'cs_desire' WHEN f.g IS NOT NULL THEN '' END target_dimension FROM m LEFT JOIN f USING (pid)",
     "metadata_enrich": "WITH f AS (SELECT uid, last(coalesce(country_1, '') ORDER BY row_id) a, last(coalesce(country_2, '') ORDER BY row_id) b FROM manifest WHERE uid <> '' GROUP BY 1) SELECT row_id, a country_1, b country_2 FROM manifest LEFT JOIN f USING (uid)",
     "entry_validity": f"SELECT domain, count(*) n_valid FROM stage1_entry WHERE coalesce({', '.join('scores.' + n for n in ALL_DIMS)}) IS NOT NULL AND messages IS NOT NULL AND len([m for m in messages if coalesce(lower(m.role), '') NOT IN ('user', 'assistant')]) = 0 GROUP BY 1",
     "tier_distribution": f"WITH {_tiered.format(src='stage1_entry')} SELECT domain, tier, count(*) n FROM tiered GROUP BY ALL",
@@ -349,7 +349,7 @@ ORACLES: dict[str, str] = {
     "score_shift": f"WITH {_pair_scores}, d AS (SELECT domain, o, v, unnest([x for x in decision if o[x] IS NOT NULL AND v[x] IS NOT NULL]) dim FROM ps) SELECT domain, dim, count(*) n, round(avg(o[dim]), 6) avg_original, round(avg(v[dim]), 6) avg_variant, round(avg(v[dim]) - avg(o[dim]), 6) shift FROM d GROUP BY ALL",
     "direction_distribution": f"WITH {_pair_scores}, d AS (SELECT domain, (direction = 'positive') = followed variant FROM ps) SELECT domain, count(*) FILTER (variant) variant_chosen, count(*) FILTER (NOT variant) original_chosen, count(*) total, round(count(*) FILTER (variant) * 100.0e0 / count(*), 6) variant_pct FROM d GROUP BY 1",
     "variant_type_breakdown": f"WITH {_pair_scores} SELECT domain, count(*) FILTER (scope = 'global' AND direction = 'positive') global_improve, count(*) FILTER (scope = 'global' AND direction = 'negative') global_degrade, count(*) FILTER (scope <> 'global') dimension_targeted, count(*) total FROM ps GROUP BY 1",
-    "margin_sensitivity": f"WITH {_pair_scores}, d AS (SELECT domain, [c[x] - j[x] for x in decision if c[x] IS NOT NULL AND j[x] IS NOT NULL] m FROM ps), g AS (SELECT domain, list_reduce(list_prepend(0.0e0, m), lambda a, b: a + b) / len(m) margin FROM d WHERE len(m) > 0) SELECT domain, threshold, count(*) FILTER (margin <= threshold) lost, count(*) total FROM g, (SELECT unnest([{', '.join(f'{t}e0' for t in analytics.THRESHOLDS)}]) threshold) GROUP BY ALL",
+    "margin_sensitivity": f"WITH {_pair_scores}, d AS (SELECT domain, [c[x] - j[x] for x in decision if c[x] IS NOT NULL AND j[x] IS NOT NULL] m FROM ps), g AS (SELECT domain, list_reduce(list_prepend(0.0e0, m), lambda a, b: a + b) / len(m) margin FROM d WHERE len(m) > 0) SELECT domain, threshold, count(*) FILTER (margin <= threshold) lost, count(*) total FROM g, (SELECT unnest([0.05e0, 0.10e0, 0.15e0, 0.20e0, 0.25e0, 0.30e0, 0.40e0, 0.50e0, 0.60e0]) threshold) GROUP BY ALL",
     "label_rollup": f"WITH {_pair_scores} SELECT domain, label, count(*) n FROM ps GROUP BY GROUPING SETS ((domain, label), (label), ())",
 }
 

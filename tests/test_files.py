@@ -148,7 +148,7 @@ def test_merge_step_looks_metadata_up(spark, tmp_path):
     assert len(got) == 12 and {i for i, m in got.items() if m} == {"mu-0", "mu-1", "cs-0", "cs-1"}
     assert len(got["mu-0"]) == 15 and (got["mu-0"]["country_1"], got["mu-0"]["situation"], got["mu-0"]["country_2"]) == ("C", "two", "")
     assert (got["mu-1"]["country_1"], got["mu-1"]["situation"]) == ("B", "")
-    assert got["cs-0"] == {"gold_relation": "xWant", "target_dimension": "desire"} and got["cs-1"] == {"gold_relation": "odd", "target_dimension": ""}
+    assert got["cs-0"] == {"gold_relation": "xWant", "target_dimension": "cs_desire"} and got["cs-1"] == {"gold_relation": "odd", "target_dimension": ""}
 
 
 def test_retry_and_evaluate_steps(spark, tmp_path, capsys):

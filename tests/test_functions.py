@@ -74,3 +74,9 @@ def test_continuation(spark):
 
 def test_evaluation_scores(spark):
     assert one(spark, replies.evaluation_scores(F.col("x")), '{"scores": {"a": 0.5, "b": 2}}', '{"scores": {"a": "x"}}', "{}", "[", schema="x string")[0] == {"a": 0.5, "b": 2.0}
+
+
+def test_long_literals_are_parsed(spark):
+    long = "{'topic_coherence': 4, 'note': '" + "x" * 1_200_000 + "'}"
+    got = replies.with_object(spark.createDataFrame([(long,)], "reply string"), "reply").first()["object"]
+    assert got is not None and json.loads(got)["topic_coherence"] == 4

@@ -7,8 +7,9 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from parlance.functions.dims import ALL_DIMS, BUCKET_WEIGHTS, DOMAINS, SPLIT_SHARES, char_names_of, registry_table
+from parlance.functions.dims import ALL_DIMS, BUCKET_WEIGHTS, DOMAINS, RELATION_DIM, SPLIT_SHARES, char_names_of, registry_table
 from parlance.operators import analytics, contrast, judged, merge, quota, rows, shards
+from parlance.plans import report
 
 MSG = "array<struct<role string, content string>>"
 SCORES = "struct<" + ", ".join(f"{n}: double" for n in ALL_DIMS) + ">"
@@ -258,10 +259,21 @@ def test_merge(spark):
 def test_lookups(spark):
     gold = spark.createDataFrame([("p", 1, "xWant"), ("p", 2, "xAttr"), ("", 3, "xAttr"), (None, 4, "xAttr"), ("q", 5, "odd"), ("r", 6, None)], "pid string, ord int, gold string")
     got = {r["pid"]: (r["domain_metadata"]["gold_relation"], r["domain_metadata"]["target_dimension"]) for r in merge.gold_by_pid(gold, ["ord"]).collect()}
-    assert got == {"p": ("xWant", "desire"), "q": ("odd", ""), "r": ("", "")}
+    assert got == {"p": ("xWant", "cs_desire"), "q": ("odd", ""), "r": ("", "")}
     meta = spark.createDataFrame([("u", 1, "A"), ("u", 2, None), ("", 3, "B")], "uid string, ord int, country_1 string")
     assert [tuple(r) for r in merge.metadata_by_uid(meta, ["ord"], ("country_1",)).collect()] == [("u", {"country_1": ""})]
 
 
+def test_fixed_values():
+    assert analytics.THRESHOLDS == (0.05, 0.10, 0.15, 0.20, 0.25, 0.30, 0.40, 0.50, 0.60)
+    assert RELATION_DIM == {"HinderedBy": "cs_causality", "IsAfter": "cs_causality", "xAttr": "cs_consistency", "xReact": "cs_reaction", "oReact": "cs_reaction", "xWant": "cs_desire", "oWant": "cs_desire"}
+    assert set(RELATION_DIM.values()) <= set(DOMAINS["commonsense"].names)
+
+
+def test_reports_say_what_they_leave_out(spark):
+    df = spark.range(5)
+    assert report.markdown(df, most=3).endswith("(2 more rows)") and report.markdown(df, most=5).count("\n") == 6
+
+
 def test_unknown_domain_has_no_dims(spark):
     assert spark.createDataFrame([("x",)], "d string").select(char_names_of(F.col("d"))).first()[0] is None
