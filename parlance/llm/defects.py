@@ -3,8 +3,11 @@
 Prompts hold clean dialogue, so a bounded sample of them gives clean pairs (a prompt's beginning and its continuation), and
 from these come synthetic defects: emptied, truncated, copied, swapped with another language's answer, and refused. One
 logistic regression for each defect is fitted on the driver, with a threshold calibrated on pairs held out from fitting.
-All rows are then scored in Arrow batches. What the classifier proposes is confirmed by an exact check of the defect's
-definition, and each answer gets the first of its defects in the order of DEFECTS.
+All rows are then scored in Arrow batches. What the classifier proposes is held against those parts of the defect's
+definition that can be counted, and each answer gets the first of its defects in the order of DEFECTS.
+
+Which wordings refuse, or stand for "nothing", is learnt from the grammar in ``wording``; languages are told apart by the
+classifier of ``languages``. A fitted model can be kept (``save``, ``load``).
 
 Null and empty message arrays, null messages and null contents count as empty. A null prompt can't be copied and has no
 language. Texts of any length are read whole. Repeated rows come out once.
@@ -12,126 +15,52 @@ language. Texts of any length are read whole. Repeated rows come out once.
 
 from __future__ import annotations
 
+import pickle
 import random
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.session import ship
 
+from . import wording
+from .languages import LANGUAGES, SEEDS, Languages, learn
+
 DEFECTS = ("empty", "refusal", "copied", "other_language", "truncated")
-#: Hashed features: of pairs, which every label has, then n-grams of how an answer begins and of how it ends.
-PAIR, BEGIN, END = 1 << 8, 1 << 16, 1 << 18
-DIMENSIONS = PAIR + BEGIN + END
+#: Hashed features: of pairs, which every label has, then n-grams of an answer that is one short message, of how an answer
+#: begins, and of how it ends.
+PAIR, LONE, BEGIN, END = 1 << 8, 1 << 15, 1 << 17, 1 << 18
+DIMENSIONS = PAIR + LONE + BEGIN + END
 #: Most rows whose prompts are taken for fitting, from each table.
 SAMPLE_ROWS = 1_500
+#: Words that a message which stands for "nothing" has at most.
+FEW_WORDS = 5
 
 #: Stands between messages on their way to Python.
 BETWEEN = "\x1e"
 WORD = re.compile(r"[^\W_]+")
+MARKED = re.compile(r"[^\W_]+|[.?!。？！]")
 TOKEN = re.compile(r"[^\W_]+(?:[-'’][^\W_]+)*|[,;:–—-]")
 INVISIBLE = re.compile("[­​-‏⁠﻿️]")
 ENDING = re.compile(r"[.?!…。？！][\s\"'”’»)\]*_|>]*$")
 AFTER_TEXT = re.compile(r"[^\w.?!…。？！\"'”’»)\],;:–—-]+$")
 SENTENCE = re.compile(r"(?<=[.?!…。？！])[\"'”’»)]*\s+|(?<=[。？！])|\n+")
 
-#: What stands for "nothing" when it is all that a message says.
-STAND_INS = {"na", "none", "null", "nil", "nan", "undefined", "empty", "noresponse", "noanswer", "noreply", "nocontent", "nooutput", "tbd", "blank", "void", "nothing", "leer", "keineantwort", "vide", "aucuneréponse", "vacío", "sinrespuesta", "пусто", "нетответа", "なし", "無回答", "deleted", "removed", "missing"}
-
-#: Frequent words that only one of these languages has.
-FUNCTION_WORDS = {
-    "en": "the and was were is my of to for with that this you your it have has had would what when because not but from about did are been she he they will could so at there his her which their who how its i we do does than then gets these those",
-    "de": "der die das und ist nicht ich wir mit für auf ein eine einen einem dem den von zu wie aber auch meine mein meiner hat haben wenn bis nach bei warum wurde sind kann gab mag es weißt ob vor seit danach diese dieser dieses sich sie zur zum im",
-    "fr": "le les des est une dans pour avec je il elle nous vous qui pas sur au aux mais chez même était cette ce avant après quand depuis cet ces mon ma mes ont sont été car où puis si ne dernier",
-    "es": "el los las una por para con mi su está como pero muy cuando hace desde porque y creo al del fue yo nadie también sin gusta después hasta más esta este ese quiere luego lo le días sabes tu eso estoy estás",
-    "it": "il gli che della nel sono perché anche questo quella non più molto ho hai dopo prima",
-    "pt": "não uma você com dos das então também meu minha muito foi isso",
-}
-_LANGUAGE_OF: dict[str, str] = {}
-for _l, _ws in FUNCTION_WORDS.items():
-    for _w in _ws.split():
-        _LANGUAGE_OF[_w] = "" if _w in _LANGUAGE_OF else _l
-_LANGUAGE_OF = {w: l for w, l in _LANGUAGE_OF.items() if l} | {"il": "fr", "le": "fr", "si": "fr"}
-SCRIPTS = (("ru", re.compile("[Ѐ-ӿ]")), ("ja", re.compile("[぀-ヿ一-鿿]")), ("el", re.compile("[Ͱ-Ͽ]")), ("ar", re.compile("[؀-ۿ]")), ("ko", re.compile("[가-힯]")))
 _NOT_LATIN = re.compile("[Ͱ-ӿ؀-ۿ぀-鿿가-힯]")
+BRACKETED = re.compile(r"^\s*[\[({<*\"“_#/-].*[\])}>*\"”_/-]\s*$", re.S)
+LAST_MARK = re.compile(r"([.?!…。？！]+)\s*$")
 
-#: Parts of synthetic refusals (opening, inability, task, tail) and of their look-alikes in ordinary talk.
-REFUSALS = {
-    "en": (
-        ("", "I'm sorry, but ", "Sorry, ", "I apologize, but ", "Apologies, ", "Unfortunately ", "With respect, ", "Thank you for the input, however ", "As an AI language model, ", "As an automated assistant, ", "After reading the instructions, ", "Hmm, ", "Well, ", "Regrettably, "),
-        ("I can't help with", "I cannot assist with", "I am unable to provide", "I am not able to carry out", "I won't be producing", "I will not write", "I must decline", "I have to decline", "I have to pass on", "I'd rather not generate", "I refuse to continue", "it is not possible for me to complete", "my guidelines do not let me continue with", "my guidelines forbid", "I'm not comfortable creating"),
-        ("that request", "this request", "this kind of content", "such content", "the requested continuation", "the requested rewrite", "rewriting this conversation", "rewriting the dialogue", "a degraded version of the dialogue", "the contrastive rewrite", "this task", "the prompt as given", "turns that imitate these speakers", "a continuation of this transcript", "writing this response", "generating that text"),
-        ("", " Please provide a different prompt.", " Let me know if there is something else.", " I can offer general advice instead.", " It could be hurtful.", " The topic falls outside what I may discuss.", " It might be harmful to the people described."),
-    ),
-    "de": (
-        ("", "Es tut mir leid, aber ", "Leider gilt: ", "Entschuldigung, ", "Als automatischer Assistent: "),
-        ("ich kann nicht helfen bei", "ich darf nicht fortfahren mit", "ich lehne ab:", "ich muss ablehnen:", "ich bin nicht in der Lage zu", "ich werde nicht schreiben:", "ich verzichte auf"),
-        ("dieser Anfrage", "solchen Inhalten", "dieser Umschreibung", "diesem Gespräch als Text", "der gewünschten Fortsetzung", "der verlangten Fortsetzung", "diesem Auftrag", "dieser Überarbeitung", "einer Antwort auf diese Eingabe"),
-        ("", " Bitte stelle eine andere Anfrage.", " Bitte gib einen anderen Auftrag."),
-    ),
-    "fr": (
-        ("", "Je suis désolé, mais ", "Malheureusement, ", "Désolé, ", "En tant qu'assistant automatique, "),
-        ("je ne peux pas aider avec", "je ne peux pas produire", "je ne peux pas écrire", "je dois refuser", "il m'est impossible d'écrire", "il m'est impossible de compléter", "je ne suis pas en mesure de produire", "je préfère ne pas générer"),
-        ("cette demande", "ce type de contenu", "cette réécriture", "la suite demandée", "la continuation demandée", "ce dialogue réécrit", "cette conversation modifiée"),
-        ("", " Merci de proposer une autre demande.", " Veuillez envoyer une autre demande."),
-    ),
-    "es": (
-        ("", "Lo siento, pero ", "Lamentablemente ", "Como asistente automático, ", "Disculpa, "),
-        ("no puedo ayudar con", "no puedo producir", "no puedo escribir", "debo rechazar", "no me es posible escribir", "no me es posible completar", "no estoy en condiciones de producir", "prefiero no generar"),
-        ("esta petición", "esta solicitud", "este tipo de contenido", "esta reescritura", "la continuación pedida", "la continuación solicitada", "la conversación modificada", "el texto solicitado"),
-        ("", " Por favor, envía otra petición.", " Por favor, haz otra solicitud."),
-    ),
-    "ru": (
-        ("", "Извините, но ", "К сожалению, ", "Как автоматический помощник, ", "Простите, "),
-        ("я не могу помочь с", "я не могу выполнить", "я не могу написать", "я вынужден отклонить", "мне нельзя продолжать", "я не буду писать", "я отказываюсь создавать"),
-        ("этот запрос", "такой текст", "это переписывание", "эту переработку", "таким содержанием", "этим запросом", "такое задание", "этим заданием", "продолжение диалога", "запрошенное продолжение", "запрошенный текст", "требуемое продолжение", "эту просьбу"),
-        ("", " Пожалуйста, пришлите другой запрос.", " Пожалуйста, дайте другое задание."),
-    ),
-    "ja": (("", "申し訳ありませんが、", "残念ながら、"), ("このリクエストには", "この依頼には", "この会話の書き換えには", "そのような内容には"), ("お応えできません。", "お手伝いできません。", "対応できません。"), ("", "別の依頼をお願いします。")),
-}
-#: Refusals that name no task: an opening, then one of these.
-BARE_REFUSALS = {
-    "en": ("I can't help with that", "I can't assist with this", "I cannot comply", "I cannot do that", "I am unable to do this", "I'm unable to help with this", "I'm not able to do that", "I won't do that", "I will not do this", "I must decline", "I have to decline", "I must refuse", "I must decline to write that", "I can't provide that", "I cannot fulfill this", "I can't continue with this", "I am not comfortable doing this", "I'm not allowed to do that", "this is not something I can do", "that is something I cannot provide"),
-    "de": ("ich kann dabei nicht helfen", "damit kann ich nicht helfen", "das kann ich nicht tun", "ich kann das nicht machen", "das darf ich nicht", "ich muss das ablehnen", "dazu bin ich nicht in der Lage", "das werde ich nicht schreiben"),
-    "fr": ("je ne peux pas vous aider", "je ne peux pas faire cela", "je ne peux pas vous aider avec cela", "je dois refuser", "je ne suis pas en mesure de le faire", "cela m'est impossible", "je refuse de faire cela"),
-    "es": ("no puedo ayudar con eso", "no puedo ayudarte con esto", "no puedo hacer eso", "no puedo hacerlo", "debo negarme", "no me es posible hacerlo", "me niego a hacer eso"),
-    "ru": ("я не могу с этим помочь", "я не могу этого сделать", "я не могу вам помочь", "я вынужден отказаться", "мне нельзя это делать", "я не буду этого делать"),
-    "ja": ("お手伝いできません", "お応えできません", "それはできません", "対応できません"),
-}
-#: Ordinary talk that begins as refusals do.
-SMALL_TALK = {
-    "en": ("I'm sorry to hear that.", "Sorry, I can't make it tonight.", "I can't believe it.", "I can't wait to see that.", "I'm sorry, I was late.", "I'm sorry, but I don't agree with that.", "I cannot say that I liked it.", "I can't stand that.", "I can't stop thinking about this.", "Unfortunately, that is true.", "I will not forget that.", "I won't be there.", "I am not sure about that.", "Sorry, what did you say?", "I can't come.", "I cannot sleep.", "I don't know, I can't remember that.", "Unfortunately it rained."),
-    "de": ("Das tut mir leid.", "Leider ist das so.", "Ich kann nicht schlafen.", "Das kann ich nicht glauben.", "Ich kann leider nicht kommen."),
-    "fr": ("Je suis désolé pour toi.", "Malheureusement, c'est vrai.", "Je ne peux pas dormir.", "Je ne peux pas le croire.", "Je ne peux pas venir."),
-    "es": ("Lo siento mucho.", "Lamentablemente es verdad.", "No puedo dormir.", "No puedo creerlo.", "No puedo ir."),
-    "ru": ("Мне очень жаль.", "К сожалению, это правда.", "Я не могу уснуть.", "Я не могу в это поверить.", "Я не могу прийти."),
-    "ja": ("それは残念です。", "申し訳ありません、遅れました。"),
-}
-DECLINED_THINGS = {
-    "en": ("{o} I have to decline the {n}, my flat is too small.", "{o} I can't help with the {n} today. Ask my {m}, there is more time.", "{o} I won't be able to bring the {n}, my car is in for repairs.", "{o} my request for the {n} was declined at the shop.", "{o} I must say no to the {n}, my guidelines at work forbid gifts.", "{o} I cannot come, because the {n} needs repairs.", "{o} it is not possible for me to carry the {n} alone.", "{o} I'd rather not sell the {n}.", "{o} my {m} refused to discuss the {n}.", "{o} I am not able to lift the {n}.", "{o} the shop won't be producing any {n} this year.", "{o} I can't lend you the {n} this week.", "{o} I cannot give you the {n} before Monday.", "{o} I am unable to fix the {n}.", "I'm sorry, but I can't find the {n}.", "{o} I will not paint the {n} again.", "{o} I must decline, my {m} has the {n}.", "Unfortunately my {m} and I can't come for the {n}.", "I am sorry, I cannot come to {c}, because {c} needs help with the {n}.", "Sorry to hear that your {m} is sad about the {n}."),
-    "de": ("Leider kann ich die {n} nicht bringen.", "{o} ich muss das Fest absagen, meine {m} ist krank.", "Es tut mir leid, aber {c} kann heute nicht helfen."),
-    "fr": ("Malheureusement, je ne peux pas apporter {n} ce soir.", "Désolé, je dois refuser le dessert, je suis au régime.", "Je suis désolé, mais {c} ne peut pas venir."),
-    "es": ("Lo siento, pero no puedo llevar {n} esta noche.", "Lamentablemente debo rechazar el postre.", "No puedo ayudar con la mesa, pregunta a {c}."),
-    "ru": ("К сожалению, я не могу принести {n} сегодня.", "Извините, но {c} не может прийти.", "Я вынужден отказаться от пирога."),
-}
-#: Words of the writing task, from the parts above: one that names them declines no thing of the dialogue.
-TASK_WORDS = {w for l, r in REFUSALS.items() for t in (*r[2], *r[3]) for w in WORD.findall(t.lower()) if len(w) > 4 and w not in _LANGUAGE_OF}
-#: All words that refusing takes.
-REFUSING_WORDS = {w for r in REFUSALS.values() for p in r for t in p for w in WORD.findall(t.lower())} | {w for r in BARE_REFUSALS.values() for t in r for w in WORD.findall(t.lower())}
-#: What stands before the name of a thing.
-DETERMINERS = set("the a an my your our his her their der die das den dem ein eine einen einem einer mein meine meinen meiner dein deine le la les l un une mon ma mes ton ta el los las una mi tu su".split())
 INTRODUCTIONS = ("You said: ", "To repeat: ", "The question was: ", "So, ", "Well, ", "Oh! ", "Okay. ", "Right: ", "I repeat: ", "As you said, ", "You asked: ", "Here it is again: ", "Hmm, ")
-REPLIES = ("When you say “{q}”, I understand you well. ", "You asked “{q}”. ", "“{q}”, you say. ", "About “{q}”: ")
-DANGLING = (" – and then my", ", because the", " – which is why", " and then my", ", but", " so that", ", and the", " which", ": the")
+REPLIES = ("You mention “{q}”. ", "“{q}” – I had not thought of it that way. ", "Why do you say “{q}”? ", "As for “{q}”: ", "“{q}”? ")
+DANGLING = (" – and then my", ", because the", " – which is why", " and then my", ", but", " so that", ", and the", " which", ": the", " when we", ", although it")
 
 
 class Model(NamedTuple):
@@ -139,6 +68,7 @@ class Model(NamedTuple):
     thresholds: np.ndarray
     vocabulary: frozenset[str]
     template: frozenset[str]
+    languages: Languages
 
 
 def texts(messages) -> list[str]:
@@ -153,56 +83,53 @@ def visible_words(text: str) -> list[str]:
     return WORD.findall((text if text.isascii() else INVISIBLE.sub("", text)).lower())
 
 
-def says_nothing(text: str) -> bool:
-    """Blank, invisible, mere marks, or a stand-in."""
-    bare = "".join(visible_words(text))
-    return not bare or bare in STAND_INS
-
+class Foreign(NamedTuple):
+    """share: of an answer's letters, those in sentences of another language than the prompt's, among those that can be told. lead: by how much per letter the best other language is ahead."""
 
-def language(text: str) -> Counter:
-    """Words of evidence for each language."""
-    return evidence(text, WORD.findall(text.lower()))
+    share: float = 0.0
+    lead: float = 0.0
 
 
-def evidence(text: str, words: list[str]) -> Counter:
-    """The same of a text whose words are known."""
-    found = Counter(map(_LANGUAGE_OF.get, words))
-    found.pop(None, None)
-    if _NOT_LATIN.search(text):
-        for name, script in SCRIPTS:
-            n = len(script.findall(text))
-            if n:
-                found[name] += n // 5 + 1
-    return found
-
+def _told(ahead: float, letters: int) -> bool:
+    return ahead >= max(25.0, 0.5 * letters)
 
-def main_language(found: Counter) -> str | None:
-    if not found:
-        return None
-    (a, n), *rest = found.most_common(2)
-    return a if not rest or n > rest[0][1] else None
 
+def foreign(prompts: list[list[str]], answers: list[list[str]], said: list[list[list[str]]], m: Languages) -> list[Foreign]:
+    """For each pair how foreign the answer is; ``said``: the words of its messages.
 
-@lru_cache(256)
-def home_language(prompt: tuple[str, ...]) -> str | None:
-    """The language of most words of a prompt; prompts of several answers follow each other."""
-    return main_language(language("\n".join(prompt)))
-
-
-def foreign_share(answer: list[str], home: str | None, found: list[Counter] | None = None) -> float:
-    """Share of the answer's letters in sentences of another language than ``home``, among those of a known language.
-
-    ``found``: evidence of each message; sentences are only looked at where some message shows another language.
+    Messages in which the prompt's language is far ahead are taken whole; sentences are looked at where another is near.
     """
-    if home is None or found is not None and not any(f.keys() - {home} for f in found):
-        return 0.0
-    known = other = 0
-    for m in answer:
-        for s in SENTENCE.split(m):
-            if s and (l := main_language(language(s))) is not None:
-                known += len(s)
-                other += len(s) * (l != home)
-    return other / known if known else 0.0
+    homes: dict[str, int | None] = {}
+    keys = [BETWEEN.join(p) for p in prompts]
+    fresh = list(dict.fromkeys(keys))
+    for key, s in zip(fresh, m.scores([WORD.findall(k.lower()) for k in fresh])):
+        second, top = np.sort(s)[-2:]
+        homes[key] = int(s.argmax()) if _told(float(top - second), 0) else None
+    where = [(r, i) for r, ws in enumerate(said) for i in range(len(ws)) if homes[keys[r]] is not None]
+    got = m.scores([said[r][i] for r, i in where])
+    known, other, lead, letters = (np.zeros(len(said)) for _ in range(4))
+    near: list[tuple[int, str]] = []
+    for (r, i), s in zip(where, got):
+        home = homes[keys[r]]
+        size = sum(map(len, said[r][i]))
+        rest = s.copy()
+        rest[home] = -np.inf
+        ahead = float(s[home] - rest.max())
+        letters[r] += size
+        lead[r] -= ahead
+        if ahead >= 1.5 * size:
+            known[r] += size
+        else:
+            near += [(r, x) for x in SENTENCE.split(answers[r][i]) if x]
+    for (r, x), s in zip(near, m.scores([WORD.findall(x.lower()) for _, x in near])):
+        home, size = homes[keys[r]], len(x)
+        rest = s.copy()
+        rest[home] = -np.inf
+        ahead = float(s[home] - rest.max())
+        if _told(abs(ahead), size):
+            known[r] += size
+            other[r] += size * (ahead < 0)
+    return [Foreign(o / k if k else 0.0, x / n if n else 0.0) for o, k, x, n in zip(other, known, lead, letters)]
 
 
 def copy_distance(prompt: list[str], answer_words: list[str]) -> tuple[float, int]:
@@ -248,42 +175,39 @@ def unended(text: str) -> str | None:
     return SENTENCE.split(t)[-1].lstrip("“\"'([«")
 
 
-def declines_a_thing(prompt: list[str], first: str, vocabulary: frozenset[str]) -> bool:
-    """Whether a message that names no writing task names a thing or a person of ordinary dialogue.
-
-    A thing is a word of the dialogues after a determiner, or one of this prompt's own longer words; a person is a
-    capitalized word within a sentence that the dialogues have.
-    """
-    raw = WORD.findall(INVISIBLE.sub("", first))
-    low = [w.lower() for w in raw]
-    if any(w in TASK_WORDS for w in low) or len(low) < 8 and _NOT_LATIN.search(first):
-        return False
-    own = {w for t in prompt for w in visible_words(t) if len(w) > 4}
-    begins = {(WORD.findall(t) or [""])[0] for t in SENTENCE.split(first)}
-    for before, w, as_said in zip(["", *low], low, raw):
-        if w in REFUSING_WORDS or w in _LANGUAGE_OF or len(w) < 3:
-            continue
-        if w in own or w in vocabulary and (before in DETERMINERS or as_said[0].isupper() and as_said not in begins):
-            return True
-    return False
-
-
 def _h(s: str) -> int:
     return zlib.crc32(s.encode("utf-8", "surrogatepass")) % PAIR
 
 
-def _b(s: str) -> int:
-    return PAIR + zlib.crc32(s.encode("utf-8", "surrogatepass")) % BEGIN
+def _l(s: str) -> int:
+    return PAIR + zlib.crc32(s.encode("utf-8", "surrogatepass")) % LONE
 
 
 def _e(s: str) -> int:
-    return PAIR + BEGIN + zlib.crc32(s.encode("utf-8", "surrogatepass")) % END
+    return PAIR + LONE + BEGIN + zlib.crc32(s.encode("utf-8", "surrogatepass")) % END
+
+
+#: Which n-grams a label has beside the pair features.
+OWN = {"empty": (PAIR, PAIR + LONE), "refusal": (PAIR + LONE, PAIR + LONE + BEGIN), "truncated": (PAIR + LONE + BEGIN, DIMENSIONS)}
+
+#: Of the n-grams of beginnings, longer ones count less, so that wordings which were not learnt are told by their words.
+VALUES = {"r2": 0.6, "rs": 0.4}
+#: Weight decay beside the default: refusals are to be told by many of their words, not by rare turns of phrase.
+DECAY = {"refusal": 4e-5}
+#: How far a rarer label's examples are weighed up.
+MOST_WEIGHT = {"refusal": 4.0}
+#: Share of the n-grams that are taken from half of the beginnings in fitting.
+LOST = 0.3
 
 
 def counts_for(defect: str, idx: np.ndarray) -> np.ndarray:
-    """Which features a label has: beginnings tell refusals, endings tell truncation, pair features tell all."""
-    low, high = {"refusal": (PAIR, PAIR + BEGIN), "truncated": (PAIR + BEGIN, DIMENSIONS)}.get(defect, (0, 0))
-    return (idx < PAIR) | ((idx >= low) & (idx < high))
+    """Which features a label has: short messages tell stand-ins, beginnings refusals, endings truncation, pair features tell all.
+
+    A refusal may be in any language and of any length, so it is told by how it begins alone.
+    """
+    low, high = OWN.get(defect, (0, 0))
+    pair = idx == _h("bias") if defect == "refusal" else idx < PAIR
+    return pair | ((idx >= low) & (idx < high))
 
 
 def ending_features(tail: str | None, m: Model) -> list[tuple[int, float]]:
@@ -308,56 +232,83 @@ def ending_features(tail: str | None, m: Model) -> list[tuple[int, float]]:
     return f
 
 
-def features(prompt: list[str], answer: list[str], m: Model) -> tuple[list[tuple[int, float]], dict]:
-    """Hashed n-grams and pair features, and what the exact checks need."""
-    f = [(_h("bias"), 1.0)]
-    said = [visible_words(a) for a in answer]
-    nothing = all(not ws or len(ws) < 4 and "".join(ws) in STAND_INS for ws in said)
-    f.append((_h(f"empty:{nothing}"), 3.0))
-    if nothing:
-        return f, {"nothing": True, "share": 0.0, "distance": (1.0, 0), "tail": None}
-    first = said[0]
-    f.extend((_b(x), 1.0) for x in {*(f"r1:{w}" for w in first), *(f"r2:{a} {b}" for a, b in zip(first, first[1:])), *(f"r3:{a} {b} {c}" for a, b, c in zip(first, first[1:], first[2:]))})
-    if len(first) < 4 and _NOT_LATIN.search(answer[0]):
+def lone_features(text: str, words: list[str], asked: bool) -> list[str]:
+    """A short message by itself: its words and letters, its case, brackets and end mark, and whether a question stands before it."""
+    core = " ".join(words)
+    bare = "".join(c for c in text if c.isalpha())
+    case = "none" if bare.lower() == bare.upper() else "lower" if bare == bare.lower() else "upper" if bare == bare.upper() and len(bare) > 1 else "first" if bare[1:] == bare[1:].lower() else "mixed"
+    mark = LAST_MARK.search(text)
+    form = f"{'b' if BRACKETED.match(text) else '-'}|{mark[1][0] if mark else '-'}|{case}|{asked}"
+    grams = {f"w:{w}" for w in words} | {f"v:{a} {b}" for a, b in zip(words, words[1:])} | {f"c:{x[i : i + n]}" for x in (f"^{''.join(words)}$",) for n in (2, 3, 4) for i in range(len(x) - n + 1)}
+    return [f"={core}", f"={core}|{bool(mark)}", f"n:{len(words)}|{bool(mark)}", f"f:{form}", f"m:{bool(mark)}", f"b:{bool(BRACKETED.match(text))}", f"s:{'_' in text or '/' in text}", *grams]
+
+
+def opening_features(first: list[str], text: str, prompt_words: set[str], m: Model) -> list[str]:
+    """How an answer begins: n-grams of its first message, and how many of its words are of the data's dialogues or of this one."""
+    marked = MARKED.findall((text if text.isascii() else INVISIBLE.sub("", text)).lower())
+    f = [f"r1:{w}" for w in first]
+    f += [f"rp:{w[:6]}" for w in first]
+    f += [f"r2:{a} {b}" for a, b in zip(marked, marked[1:])]
+    f += [f"rs:{a} {c}" for a, c in zip(marked, marked[2:])]
+    if _NOT_LATIN.search(text):
         t = "".join(first)
-        f.extend((_b(f"rc:{t[i : i + 4]}"), 1.0) for i in range(max(0, len(t) - 3)))
+        f += [f"rc:{t[i : i + n]}" for n in (2, 3, 4) for i in range(len(t) - n + 1)]
+    content = [w for w in first if len(w) > 3 and w not in m.template]
+    things, own = sum(w in m.vocabulary for w in content), sum(w in prompt_words for w in content)
+    f += [f"things:{min(things, 4)}", f"own:{min(own, 3)}", f"length:{min(len(first) // 4, 8)}", f"t|o:{min(things, 2)}|{min(own, 2)}"]
+    return list(dict.fromkeys(f))
+
+
+def features(prompt: list[str], answer: list[str], said: list[list[str]], far: Foreign, m: Model, prompt_words: set[str]) -> tuple[list[tuple[int, float]], dict]:
+    """Hashed n-grams and pair features, and what the counted parts of the definitions need."""
+    f = [(_h("bias"), 1.0)]
+    talk = [i for i, ws in enumerate(said) if ws]
+    few = all(len(ws) <= FEW_WORDS for ws in said)
+    if not talk:
+        f.append((_h("blank"), 4.0))
+        return f, {"talks": False, "few": True, "share": 0.0, "distance": (1.0, 0), "tail": None}
+    f.append((_h(f"few:{few}"), 2.0))
+    if few:
+        asked = bool(prompt) and AFTER_TEXT.sub("", prompt[-1])[-1:] in ("?", "？")
+        k = max(talk, key=lambda i: (len(said[i]), sum(map(len, said[i])), -i))  # if it says nothing, no shorter one does
+        f.extend((_l(x), 1.0) for x in lone_features(answer[k], said[k], asked))
+    f.append((_h(f"messages:{min(len(answer), 3)}"), 1.0))
+    first = said[talk[0]]
+    f += [(PAIR + LONE + zlib.crc32(x.encode("utf-8", "surrogatepass")) % BEGIN, VALUES.get(x[:2], 1.0)) for x in opening_features(first, answer[talk[0]], prompt_words, m)]
     distance = copy_distance(prompt, [w for ws in said for w in ws])
     f.append((_h("copy"), 4 * max(0.0, 1 - distance[0] / 0.3)))
     f.append((_h(f"copied:{min(int(distance[0] * 20), 8)}"), 2.0))
-    share = foreign_share(answer, home_language(tuple(prompt)), [evidence(a, ws) for a, ws in zip(answer, said)])
-    f.append((_h("foreign"), 4 * share))
-    f.append((_h(f"foreign:{int(share * 10)}"), 2.0))
+    f.append((_h("foreign"), 4 * far.share))
+    f.append((_h(f"foreign:{int(far.share * 10)}"), 2.0))
+    f.append((_h("lead"), max(-2.0, min(2.0, far.lead))))
     tail = unended(answer[-1])
     f.extend(ending_features(tail, m))
-    return f, {"nothing": False, "share": share, "distance": distance, "tail": tail}
+    return f, {"talks": True, "few": few, "share": far.share, "distance": distance, "tail": tail}
 
 
-def confirmed(defect: str, facts: dict, prompt: list[str], answer: list[str], m: Model) -> bool:
-    """The exact check of a defect's definition. Of refusals the score decides, but for things of the dialogue that are declined."""
+def confirmed(defect: str, facts: dict) -> bool:
+    """What of a defect's definition can be counted. Of refusals, and of which short messages stand for "nothing", the score decides."""
     if defect == "empty":
-        return facts["nothing"]
+        return facts["few"]
     if defect == "copied":
         return facts["distance"][0] <= 0.15 or facts["distance"][1] <= 1
     if defect == "other_language":
         return facts["share"] > 0.5
     if defect == "truncated":
         return facts["tail"] is not None
-    return not facts["nothing"] and not declines_a_thing(prompt, answer[0], m.vocabulary)
-
-
-def _refusal(rng: random.Random, lang: str) -> str:
-    return "".join(rng.choice(p) + (" " if i == 1 and lang != "ja" else "." if i == 2 and lang != "ja" else "") for i, p in enumerate(REFUSALS[lang])).strip()
-
-
-def _bare_refusal(rng: random.Random, lang: str) -> str:
-    s = rng.choice(REFUSALS[lang][0]) + rng.choice(BARE_REFUSALS[lang])
-    return s[:1].upper() + s[1:] + ("。" if lang == "ja" else ".")
-
-
-def _declined(rng: random.Random, lang: str, nouns: list[str]) -> str:
-    lang = lang if lang in DECLINED_THINGS else "en"
-    s = rng.choice(DECLINED_THINGS[lang]).format(o=rng.choice(REFUSALS[lang][0]).strip(), n=rng.choice(nouns), m=rng.choice(("brother", "sister", "boss", "friend")), c=rng.choice(nouns).title())
-    return s.strip()[:1].upper() + s.strip()[1:]
+    return facts["talks"]
+
+
+def all_features(prompts: list[list[str]], answers: list[list[str]], m: Model) -> list[tuple[list[tuple[int, float]], dict]]:
+    said = [[visible_words(t) for t in a] for a in answers]
+    far = foreign(prompts, answers, said, m.languages)
+    before, words = None, set()
+    out = []
+    for p, a, ws, x in zip(prompts, answers, said, far):
+        if p != before:
+            before, words = p, {w for t in p for w in visible_words(t) if len(w) > 3}
+        out.append(features(p, a, ws, x, m, words))
+    return out
 
 
 def _reformatted(rng: random.Random, text: str) -> str:
@@ -395,37 +346,56 @@ def _cut(rng: random.Random, text: str) -> str | None:
     return " ".join(parts[:-1] + [last[:at].rstrip()])
 
 
-def synthetic(prompts: list[list[str]], seed: int, blank: Model) -> tuple[list, np.ndarray, np.ndarray, Model]:
-    """Features, labels, which labels count, and the vocabulary, from clean prompts."""
+def synthetic(prompts: list[list[str]], seed: int) -> tuple[list, np.ndarray, np.ndarray, Model]:
+    """Features, labels, which labels count, and the model without weights, from clean prompts.
+
+    The vocabulary holds the words of two prompts or more, so that words of one prompt alone are as unknown as words of
+    rows that are not in the sample.
+    """
     rng = random.Random(seed)
+    tongue = learn([" ".join(p) for p in prompts])
+    heard = tongue.scores([WORD.findall(" ".join(p).lower()) for p in prompts])
     by_language: dict[str, list[list[str]]] = {}
     counts: dict[str, Counter] = {}
     sentences: dict[str, list[str]] = {}
-    vocabulary: set[str] = set()
+    met: Counter = Counter()
+    named: Counter = Counter()
     langs = []
-    for p in prompts:
-        found: Counter = Counter()
-        for t in p:
-            found.update(language(t))
-        lang = main_language(found) or "?"
+    for p, s in zip(prompts, heard):
+        second, top = np.sort(s)[-2:]
+        lang = LANGUAGES[int(s.argmax())] if _told(float(top - second), 0) else "?"
         langs.append(lang)
         by_language.setdefault(lang, []).append(p)
+        here = set()
         for t in p:
-            for s in SENTENCE.split(t):
-                toks = TOKEN.findall(s)
+            for x in SENTENCE.split(t):
+                toks = TOKEN.findall(x)
                 if toks:
-                    sentences.setdefault(lang, []).append(s)
+                    sentences.setdefault(lang, []).append(x)
                     counts.setdefault(lang, Counter()).update({w.lower() for i, w in enumerate(toks) if not i or not w[0].isupper()})
-                    vocabulary.update(w.lower() for w in toks)
+                    here.update(w.lower() for w in toks)
+                    named.update(w for i, w in enumerate(toks) if i and w[0].isupper() and w.isalpha())
+        met.update(here)
     template = {w for lang, c in counts.items() for w, n in c.items() if n >= max(4, 0.012 * len(sentences[lang]))} | {",", ";", ":", "–", "—", "-"}
-    m = blank._replace(vocabulary=frozenset(vocabulary), template=frozenset(template))
-    nouns = sorted({w for w in vocabulary if w.isalpha() and len(w) > 4}) or ["table"]
-    rows, labels, masks = [], [], []
+    vocabulary = {w for w, n in met.items() if n > 1}
+    m = Model(np.zeros((DIMENSIONS, len(DEFECTS))), np.full(len(DEFECTS), 0.5), frozenset(vocabulary), frozenset(template), tongue)
+    lower = Counter({w: n for c in counts.values() for w, n in c.items()})
+    names = sorted(w for w, n in named.items() if lower[w.lower()] == 0)[:2_000]
+    things = sorted(w for w in vocabulary if w.isalpha() and w.isascii() and len(w) > 4 and w not in template and lower[w] > 1)
+    seeds = {lang: [x for x in SENTENCE.split(t) if x] for lang, t in SEEDS.items()}
+    seed_clauses = {lang: [c.strip().rstrip(".?!。？！ ") for c in re.split(r"[,;，、،]|(?<=[.?!。？！])", t) if c.strip()] for lang, t in SEEDS.items()}
+    made: list[tuple[list[str], list[str], str | None, tuple[int, ...]]] = []
 
     def add(prompt: list[str], answer: list[str], defect: str | None, mask: tuple[int, ...] = (1, 1, 1, 1, 1)) -> None:
-        rows.append(features(prompt, answer, m)[0])
-        labels.append([d == defect for d in DEFECTS])
-        masks.append(mask)
+        made.append((prompt, answer, defect, mask))
+
+    def some(xs: list[str], most: int) -> list[str]:
+        return rng.sample(xs, min(len(xs), rng.randrange(1, most + 1)))
+
+    def clauses(lang: str) -> list[str]:
+        """Ordinary talk in a language, put together anew from the clauses of its seed."""
+        said = some(seed_clauses[lang], 3)
+        return [", ".join(said).capitalize() + ("。" if lang in wording.SPACELESS else ".")] + some(seeds[lang], 2)[:-1]
 
     others = {lang: [q for l2, ps in by_language.items() if l2 not in (lang, "?") for q in ps] for lang in by_language}
     for p, lang in zip(prompts, langs):
@@ -435,9 +405,15 @@ def synthetic(prompts: list[list[str]], seed: int, blank: Model) -> tuple[list,
         prompt = p[:cut]
         answer = p[cut:] or rng.choice(by_language[lang])[-1:]
         add(prompt, answer, None)
-        add(prompt, [answer[-1].rstrip(".?!。… ")] if rng.random() < 0.5 else answer[:-1] + [answer[-1].rstrip(".?!。… ")], None)
-        k = rng.randrange(3)
-        add(prompt, [rng.choice(("", " ", "\n", "...", "—", "N/A", "null", "[no response]", '""', "​", "<empty>", "None"))] * (k + 1) if k < 2 else [], "empty")
+        bare = answer[-1].rstrip(".?!。… ")
+        if bare:
+            add(prompt, [bare] if rng.random() < 0.5 else answer[:-1] + [bare], None)
+        k = rng.randrange(4)
+        add(prompt, [wording.stand_in(rng)] * (k + 1) if k < 2 else [rng.choice(wording.MARKS)] * rng.randrange(2) + [wording.stand_in(rng)], "empty", (1, 1, 1, 0, 0))
+        add(prompt, [wording.short_reply(rng, names)], None, (1, 1, 1, 0, 0))
+        own = [t for t in p if 0 < len(visible_words(t)) <= FEW_WORDS]
+        if own:
+            add(prompt, [rng.choice(own)], None, (1, 1, 0, 0, 1))
         for _ in range(2):
             t = _cut(rng, answer[-1])
             if t:
@@ -448,8 +424,11 @@ def synthetic(prompts: list[list[str]], seed: int, blank: Model) -> tuple[list,
         if prompt[-1]:
             quote = " ".join(prompt[-1].split()[: rng.randrange(3, 8)])
             add(prompt, [rng.choice(REPLIES).format(q=quote) + answer[0]] + answer[1:], None)
-        if lang != "?" and others[lang]:
-            q = rng.choice(others[lang])
+        if lang != "?":
+            if others[lang] and rng.random() < 0.6:
+                q = rng.choice(others[lang])
+            else:
+                q = some(seeds[rng.choice([x for x in LANGUAGES if x != lang])], 5)
             add(prompt, q[-rng.randrange(1, 6) :], "other_language")
             mixed = [rng.choice(q) if rng.random() < 0.5 else t for t in answer + [rng.choice(p)]]
             theirs = sum(len(t) for t in mixed if t in q) / max(1, sum(map(len, mixed)))
@@ -457,19 +436,31 @@ def synthetic(prompts: list[list[str]], seed: int, blank: Model) -> tuple[list,
                 add(prompt, mixed, "other_language" if theirs > 0.5 else None, (1, 1, 0, 1, 0))
             if len(q[-1]) < 200:
                 add(prompt, answer + p + [rng.choice(p) + f" “{q[-1]}”"], None, (1, 1, 0, 1, 0))
-        r = lang if lang in REFUSALS and rng.random() < 0.5 else rng.choice(("en", "en", "en", "de", "fr", "es", "ru", "ja"))
-        add(prompt, [_refusal(rng, r)] + (answer if rng.random() < 0.15 else []), "refusal", (1, 1, 1, 0, 1))
-        add(prompt, [_bare_refusal(rng, r)], "refusal", (1, 1, 1, 0, 1))
-        if rng.random() < 0.15:  # broken off
-            add(prompt, [(rng.choice(REFUSALS[r][0]) + rng.choice(REFUSALS[r][1])).strip()], "refusal", (1, 1, 1, 0, 0))
-        add(prompt, [rng.choice(SMALL_TALK[r])] + (answer if rng.random() < 0.5 else []), None, (1, 1, 1, 0, 1))
-        add(prompt, [_declined(rng, r if r != "ja" else "en", nouns)] + (answer if rng.random() < 0.5 else []), None, (1, 1, 1, 0, 1))
+        r = lang if lang in wording.REFUSAL_LANGUAGES and rng.random() < 0.4 else "en" if rng.random() < 0.3 else rng.choice(wording.REFUSAL_LANGUAGES)
+        rest = answer if rng.random() < 0.15 else []
+        for _ in range(3):
+            add(prompt, [wording.refusal(rng, r), *rest], "refusal", (1, 1, 1, 0, 1))
+        if rng.random() < 0.1:  # broken off
+            said = wording.refusal(rng, r, 0.0).split(" ")
+            if len(said) > 7:
+                add(prompt, [" ".join(said[: rng.randrange(6, len(said))])], "refusal", (1, 1, 1, 0, 0))
+        for _ in range(2):
+            add(prompt, [wording.declined(rng, r, things, names)] + (answer if rng.random() < 0.5 else []), None, (1, 1, 1, 0, 1))
+        add(prompt, [wording.in_passing(rng, r, sentences.get(r) or seeds[r], names)] + (answer if rng.random() < 0.5 else []), None, (1, 1, 1, 0, 1))
+        for _ in range(5):
+            add(prompt, clauses(rng.choice(LANGUAGES if rng.random() < 0.4 else wording.REFUSAL_LANGUAGES)), None, (1, 1, 1, 0, 0))
+    rows = [f for f, _ in all_features([x[0] for x in made], [x[1] for x in made], m)]
+    # half of the beginnings lose some of their n-grams, as wordings do that were not learnt; so thresholds are calibrated for them, too
+    low, high = OWN["refusal"]
+    rows = [[x for x in f if not low <= x[0] < high or rng.random() > LOST] if rng.random() < 0.5 else f for f in rows]
+    labels = [[d == x[2] for d in DEFECTS] for x in made]
+    masks = [x[3] for x in made]
     for lang, ss in sentences.items():  # endings alone, for the truncated label
         for s in rng.sample(ss, min(len(ss), 4_000 if lang == "en" else 2_500)):
             end = s.rstrip(".?!。… \"”)")
             for t, y in ((end, False), (_cut(rng, s), True), (_cut(rng, s), True), (_cut(rng, s), True)):
                 if t and unended(t) is not None:
-                    rows.append([(_h("bias"), 1.0), (_h("empty:False"), 3.0), *ending_features(unended(t), m)])
+                    rows.append([(_h("bias"), 1.0), (_h("few:False"), 2.0), *ending_features(unended(t), m)])
                     labels.append([False] * 4 + [y])
                     masks.append((0, 0, 0, 0, 1))
     return rows, np.array(labels, float), np.array(masks, float), m
@@ -478,8 +469,8 @@ def synthetic(prompts: list[list[str]], seed: int, blank: Model) -> tuple[list,
 def _flat(rows: list[list[tuple[int, float]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts = np.zeros(len(rows), np.int64)
     np.cumsum([len(r) for r in rows[:-1]], out=starts[1:])
-    flat = [x for r in rows for x in r]
-    return np.array([i for i, _ in flat], np.int64), np.array([v for _, v in flat], np.float64), starts
+    flat = np.array([x for r in rows for x in r], np.float64).reshape(-1, 2)
+    return flat[:, 0].astype(np.int64), np.ascontiguousarray(flat[:, 1]), starts
 
 
 def scores(rows: list[list[tuple[int, float]]], weights: np.ndarray) -> np.ndarray:
@@ -488,31 +479,38 @@ def scores(rows: list[list[tuple[int, float]]], weights: np.ndarray) -> np.ndarr
     return 1 / (1 + np.exp(-np.clip(np.add.reduceat(weights[idx] * val[:, None], starts, axis=0), -30, 30)))
 
 
+def _logistic(idx: np.ndarray, val: np.ndarray, owner: np.ndarray, y: np.ndarray, on: np.ndarray, steps: int, rate: float, decay: float) -> tuple[np.ndarray, np.ndarray]:
+    """(features, weights) of a logistic regression by Adagrad over all examples, those with ``on`` > 0."""
+    kept = on[owner] > 0
+    used, at = np.unique(idx[kept], return_inverse=True)
+    row, owner = np.unique(owner[kept], return_inverse=True)
+    v, y, on = val[kept], y[row], on[row]
+    w, g2 = np.zeros(len(used)), np.full(len(used), 1e-8)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(owner, w[at] * v, len(row)), -30, 30)))
+        g = np.bincount(at, ((p - y) * on)[owner] * v, len(used)) + decay * w
+        g2 += g * g
+        w -= rate * g / np.sqrt(g2)
+    return used, w
+
+
 def fit(prompts: list[list[str]], seed: int = 42, steps: int = 120, rate: float = 0.5, decay: float = 1e-5) -> Model:
-    """Logistic regression of every defect by Adagrad over all examples, and the threshold of best F1 on every fifth prompt, held out."""
-    blank = Model(np.zeros((DIMENSIONS, len(DEFECTS))), np.full(len(DEFECTS), 0.5), frozenset(), frozenset())
-    prompts = [p for p in prompts if any(not says_nothing(t) for t in p)]
+    """Logistic regression of every defect, and the threshold of best F1 on every fifth example, held out. Prompts without words are left out."""
+    prompts = [p for p in prompts if any(visible_words(t) for t in p)]
     if not prompts:
-        # no score tells refusals then, and no exact check does
-        return blank._replace(weights=np.zeros((DIMENSIONS, len(DEFECTS)), np.float32), thresholds=np.array([1.1 if d == "refusal" else 0.5 for d in DEFECTS]))
-    rows, y, mask, m = synthetic(prompts, seed, blank)
+        prompts = [[x for x in SENTENCE.split(SEEDS["en"]) if x]]
+    rows, y, mask, m = synthetic(prompts, seed)
     held = np.arange(len(rows)) % 5 == 4
     train = [r for r, h in zip(rows, held) if not h] or rows
     yt, mt = (y[~held], mask[~held]) if (~held).any() else (y, mask)
     idx, val, starts = _flat(train)
     owner = np.repeat(np.arange(len(train)), np.diff(np.append(starts, len(idx))))
-    used, at = np.unique(idx, return_inverse=True)
     weights = np.zeros((DIMENSIONS, len(DEFECTS)))
-    for d in range(len(DEFECTS)):
-        w, g2 = np.zeros(len(used)), np.full(len(used), 1e-8)
-        v = val * counts_for(DEFECTS[d], idx)
-        on = mt[:, d] * np.where(yt[:, d] > 0, min(8.0, max(1.0, (mt[:, d] * (1 - yt[:, d])).sum() / max(1, (mt[:, d] * yt[:, d]).sum()))), 1.0)
-        on /= max(on.sum(), 1)
-        for _ in range(steps):
-            p = 1 / (1 + np.exp(-np.clip(np.bincount(owner, w[at] * v, len(train)), -30, 30)))
-            g = np.bincount(at, ((p - yt[:, d]) * on)[owner] * v, len(used)) + decay * w
-            g2 += g * g
-            w -= rate * g / np.sqrt(g2)
+    for d, defect in enumerate(DEFECTS):
+        own = counts_for(defect, idx)
+        most = MOST_WEIGHT.get(defect, 8.0)
+        on = mt[:, d] * np.where(yt[:, d] > 0, min(most, max(1.0, (mt[:, d] * (1 - yt[:, d])).sum() / max(1, (mt[:, d] * yt[:, d]).sum()))), 1.0)
+        used, w = _logistic(idx[own], val[own], owner[own], yt[:, d], on / max(on.sum(), 1), steps, rate, DECAY.get(defect, decay))
         weights[used, d] = w
     thresholds = np.full(len(DEFECTS), 0.5)
     if held.any():
@@ -529,15 +527,25 @@ def fit(prompts: list[list[str]], seed: int = 42, steps: int = 120, rate: float
     return m._replace(weights=weights.astype(np.float32), thresholds=thresholds)
 
 
+def save(spark: SparkSession, model: Model, path: str) -> None:
+    """Keeps a fitted model in a folder, to score further rows with the same weights."""
+    spark.createDataFrame([(bytearray(pickle.dumps(model)),)], "model binary").coalesce(1).write.parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> Model:
+    """A model that ``save`` kept. The folder must be one's own: what is in it is unpickled."""
+    return pickle.loads(bytes(spark.read.parquet(path).first()["model"]))
+
+
 def judge(prompts: list[list[str]], answers: list[list[str]], m: Model) -> list[str | None]:
     """The defect of each answer, or None."""
-    both = [features(p, a, m) for p, a in zip(prompts, answers)]
+    both = all_features(prompts, answers, m)
     if not both:
         return []
     p = scores([f for f, _ in both], m.weights)
     out: list[str | None] = []
-    for (_, facts), q, prompt, answer in zip(both, p, prompts, answers):
-        out.append(next((d for i, d in enumerate(DEFECTS) if q[i] >= m.thresholds[i] and confirmed(d, facts, prompt, answer, m)), None))
+    for (_, facts), q in zip(both, p):
+        out.append(next((d for i, d in enumerate(DEFECTS) if q[i] >= m.thresholds[i] and confirmed(d, facts)), None))
     return out
 
 

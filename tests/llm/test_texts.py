@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parlance.llm import defects as D
-from parlance.llm import leaks
+from parlance.llm import leaks, wording
 
 # --- 8: leaks
 
@@ -132,10 +132,14 @@ def dialogue(rng, lang, n):
     return [rng.choice(TEMPLATES[lang]).format(a=rng.choice(NAMES), b=rng.choice(NAMES), t=rng.choice(THINGS)) for _ in range(n)]
 
 
+def some_prompts(seed=2, n=1_200):
+    rng = random.Random(seed)
+    return [dialogue(rng, rng.choice(("en", "en", "en", "de", "fr")), rng.randrange(2, 7)) for _ in range(n)]
+
+
 @pytest.fixture(scope="module")
 def model():
-    rng = random.Random(2)
-    return D.fit([dialogue(rng, rng.choice(("en", "en", "en", "de", "fr")), rng.randrange(2, 7)) for _ in range(400)])
+    return D.fit(some_prompts())
 
 
 def test_held_out_accuracy(model):
@@ -181,9 +185,109 @@ def test_refusals_that_name_no_task(model):
     assert not wrong
 
 
+def apart(parts):
+    """Two thirds of the parts of each language, and the others."""
+    return tuple({lang: tuple(x for i, x in enumerate(xs) if (i % 3 == 1) == held) or xs for lang, xs in parts.items()} for held in (False, True))
+
+
+def test_refusals_in_parts_that_were_not_learnt(monkeypatch):
+    """Fitted on two thirds of the grammar's parts, and held against refusals and declined things made of the others alone."""
+    learnt, other = {}, {}
+    for name in ("OPENINGS", "UNWILLING", "ASKED_FOR", "OUTRIGHT", "ENDINGS", "DECLINED", "EVERYDAY", "SMALL_TALK", "THINGS"):
+        learnt[name], other[name] = apart(getattr(wording, name))
+    for name, parts in learnt.items():
+        monkeypatch.setattr(wording, name, parts)
+    m = D.fit(some_prompts())
+    for name, parts in other.items():
+        monkeypatch.setattr(wording, name, parts)
+    rng = random.Random(6)
+    refused = [wording.refusal(rng, "en") for _ in range(400)]
+    talk = [wording.declined(rng, "en", THINGS, NAMES) for _ in range(200)] + [wording.small_talk(rng, "en", NAMES) for _ in range(100)] + [dialogue(rng, "en", 1)[0] for _ in range(900)]
+    prompts = [dialogue(rng, "en", 3) for _ in refused + talk]
+    found = [d == "refusal" for d in D.judge(prompts, [[x] for x in refused + talk], m)]
+    hits, wrong = sum(found[: len(refused)]), sum(found[len(refused) :])
+    assert hits / len(refused) >= 0.9 and hits / (hits + wrong) >= 0.9, (hits, wrong)
+    # of the shorter lists of other languages less is left to learn from
+    refused = [wording.refusal(rng, rng.choice(("de", "fr", "es", "ru"))) for _ in range(200)]
+    hits = D.judge([dialogue(rng, "en", 3) for _ in refused], [[x] for x in refused], m).count("refusal")
+    assert hits / len(refused) >= 0.6, hits
+
+
+#: Written for this test: none of them is a sentence of the grammar.
+FRESH = (
+    "I don't think it's a good idea for me to script those lines.", "This lies outside the scope of what I'm meant to output.", "My developers have barred me from composing such passages.", "Writing in that style isn't permitted under our terms.",
+    "Answering would break the rules I operate under.", "We are unable to generate a completion for that.", "It's against policy for me to draft this.", "Producing that would conflict with my values.", "I am restricted from outputting such lines.",
+    "Sorry, that is not content I generate.", "I'm sorry, I can't assist with that.", "As an AI developed to be helpful, I can't pretend to be these people.", "I won't write hurtful lines.", "I can't make this dialogue less coherent.", "I'm not going to write a worse answer on purpose.",
+    "Sorry, but I will not degrade this conversation.", "I'm afraid I can't comply with that.", "I cannot do that.", "I'm not able to help with this.", "My safety rules prevent me from answering.",
+)
+
+
+def test_refusals_in_fresh_words(model):
+    rng = random.Random(9)
+    found = D.judge([dialogue(rng, "en", 3) for _ in FRESH], [[x] for x in FRESH], model)
+    assert found.count("refusal") >= 0.9 * len(FRESH), [x for x, d in zip(FRESH, found) if d != "refusal"]
+
+
+OTHER_TONGUES = {
+    "nl": "Dat had ik nooit gedacht. Misschien kunnen we later nog even langsgaan.",
+    "pl": "Tego się nie spodziewałem. Może później jeszcze do niego zadzwonimy.",
+    "sv": "Det hade jag inte trott. Kanske kan vi ringa honom lite senare.",
+    "tr": "Bunu hiç beklemiyordum. Belki onu biraz sonra ararız.",
+    "pt": "Nossa, eu não esperava por essa. Talvez a gente possa ligar mais tarde.",
+    "zh": "真没想到会这样。也许我们晚点可以给他打个电话。",
+    "it": "Questa non me l'aspettavo. Forse possiamo chiamarlo più tardi.",
+    "de": "Das hätte ich nicht gedacht. Vielleicht rufen wir ihn später an.",
+    "fr": "Je ne m'y attendais pas. On pourrait peut-être l'appeler plus tard.",
+    "es": "Esto sí que me sorprende. Quizás podamos llamarlo más tarde.",
+    "ru": "Вот так новость. Может быть, позвоним ему позже.",
+    "ja": "それは意外ですね。後で電話してみましょうか。",
+    "ko": "그건 생각도 못 했네요. 나중에 전화해 볼까요?",
+    "el": "Δεν το περίμενα αυτό. Ίσως μπορούμε να τον πάρουμε αργότερα.",
+    "ar": "لم أكن أتوقع ذلك. ربما نتصل به لاحقا.",
+    "hu": "Erre nem számítottam. Talán később felhívhatjuk.",
+    "fi": "Tätä en odottanut. Ehkä voimme soittaa hänelle myöhemmin.",
+    "ro": "Nu mă așteptam la asta. Poate îl sunăm mai târziu.",
+    "cs": "To jsem nečekal. Možná mu můžeme zavolat později.",
+    "hi": "मैंने ऐसा नहीं सोचा था। शायद हम उसे बाद में बुला सकते हैं।",
+}
+
+
+def test_languages_of_sentences_that_were_not_learnt(model):
+    rng = random.Random(7)
+    own = ["Well, that is a surprise. Maybe we could ring him a bit later.", "Honestly? Never saw it coming.", "He says “hasta luego” whenever he goes.", "Great idea, Velmor!", "Café au lait for me, please.", "Okidoki, see you Friday at noon, bring snacks."]
+    got = dict(zip(OTHER_TONGUES, D.judge([dialogue(rng, "en", 3) for _ in OTHER_TONGUES], [[t] for t in OTHER_TONGUES.values()], model)))
+    missed = [lang for lang, d in got.items() if d != "other_language"]
+    assert len(missed) <= 0.1 * len(got), missed
+    assert "other_language" not in D.judge([dialogue(rng, "en", 3) for _ in own], [[t] for t in own], model)
+    # the other way round, and half and half
+    assert D.judge([dialogue(rng, "de", 4)], [["We could ring him a bit later, if that is fine with you."]], model) == ["other_language"]
+    assert D.judge([dialogue(rng, "en", 3)], [[OTHER_TONGUES["nl"], *dialogue(rng, "en", 3)]], model) == [None]
+
+
+def test_words_for_nothing_and_short_replies(model):
+    nothing = ["(no answer provided)", "NULL", "[blank]", "keine Antwort", "sin respuesta", "aucune réponse", "[REDACTED]", "undefined", "<no reply>", "回答なし", "нет ответа", "(leer)", "[content removed]", "No content", "no_output", "NaN", "{response missing}", "*empty message*"]
+    said = ["Nothing.", "No.", "None of them.", "Nobody knows.", "Yes.", "I deleted it.", "No answer yet.", "Okay, sure.", "Thanks!", "Korsa did.", "In the garden.", "Only the lamp.", "Who, me?", "Not a word.", "Fine by me."]
+    found = D.judge([["What did you find in the drawer?"]] * len(nothing + said), [[x] for x in nothing + said], model)
+    hits, wrong = found[: len(nothing)].count("empty"), found[len(nothing) :].count("empty")
+    assert hits >= 0.9 * len(nothing) and wrong <= 0.1 * hits, list(zip(nothing + said, found))
+
+
+def test_a_model_is_kept(spark, model, tmp_path):
+    D.save(spark, model, str(tmp_path / "model"))
+    again = D.load(spark, str(tmp_path / "model"))
+    rng = random.Random(8)
+    prompts, answers = [dialogue(rng, "en", 3) for _ in range(40)], [rng.choice((dialogue(rng, "en", 1), ["N/A"], ["I can't write that."], [OTHER_TONGUES["pl"]])) for _ in range(40)]
+    assert D.judge(prompts, answers, again) == D.judge(prompts, answers, model)
+
+
+def test_answers_that_say_nothing(model):
+    found = lambda xs: D.judge([["Did you find the lamp?"]] * len(xs), [[x] for x in xs], model)
+    assert set(found(["", " \n", "​", "...", "N/A", "[no response]", "<empty>", '""', "null"])) == {"empty"}
+    assert "empty" not in found(["No.", "N/A is what the form said.", "Null and void, as my uncle says.", "是"])
+    assert D.judge([["What did you find?"]] * 2, [["N/A", "Korsa has the lamp."], ["", "N/A", "​"]], model) == [None, "empty"]
+
+
 def test_exact_checks():
-    assert all(map(D.says_nothing, ("", " \n", "​", "...", "N/A", "[no response]", "<empty>", '""', "null")))
-    assert not any(map(D.says_nothing, ("No.", "N/A is what the form said.", "Null and void, as my uncle says.", "是")))
     p = ["one two three four five six", "seven eight nine ten eleven twelve thirteen"]
     assert D.copy_distance(p, "seven eight nine ten eleven twelve thirteen".split())[1] == 0
     assert D.copy_distance(p, "you said seven eight nine ten eleven twelve thirteen".split())[1] == 0
@@ -206,5 +310,5 @@ def test_any_rows_are_judged(spark, model):
 
 def test_fitting_on_nothing():
     blank = D.fit([])
-    assert D.judge([["a"]], [["b c d."]], blank) == [None]
+    assert D.judge([["a"]], [["b c d."]], blank) == [None] and D.judge([["a b"]], [[""]], blank) == ["empty"]
     assert D.fit([["only one message here."]]).weights.shape[1] == len(D.DEFECTS)
