@@ -18,11 +18,11 @@ from __future__ import annotations
 import pickle
 import random
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -37,10 +37,10 @@ from .languages import LANGUAGES, SEEDS, Languages, learn
 DEFECTS = ("empty", "refusal", "copied", "other_language", "truncated")
 #: Hashed features: of pairs, which every label has, then n-grams of an answer that is one short message, of how an answer
 #: begins, and of how it ends.
-PAIR, LONE, BEGIN, END = 1 << 8, 1 << 15, 1 << 17, 1 << 18
+PAIR, LONE, BEGIN, END = 1 << 8, 1 << 15, 1 << 17, 1 << 18  # BEGIN: see opening_features
 DIMENSIONS = PAIR + LONE + BEGIN + END
 #: Most rows whose prompts are taken for fitting, from each table.
-SAMPLE_ROWS = 1_500
+SAMPLE_ROWS = 800
 #: Words that a message which stands for "nothing" has at most.
 FEW_WORDS = 5
 
@@ -83,6 +83,27 @@ def visible_words(text: str) -> list[str]:
     return WORD.findall((text if text.isascii() else INVISIBLE.sub("", text)).lower())
 
 
+class Prompt(NamedTuple):
+    """A prompt's messages, the words of each, and its longer words."""
+
+    messages: list[str]
+    said: list[list[str]]
+    words: set[str]
+
+
+def read_prompts(prompts: list[list[str]]) -> list[Prompt]:
+    """Prompts of several answers are read once."""
+    known: dict[str, Prompt] = {}
+    out = []
+    for p in prompts:
+        key = BETWEEN.join(p)
+        if key not in known:
+            said = [visible_words(t) for t in p]
+            known[key] = Prompt(p, said, {w for ws in said for w in ws if len(w) > 3})
+        out.append(known[key])
+    return out
+
+
 class Foreign(NamedTuple):
     """share: of an answer's letters, those in sentences of another language than the prompt's, among those that can be told. lead: by how much per letter the best other language is ahead."""
 
@@ -94,15 +115,15 @@ def _told(ahead: float, letters: int) -> bool:
     return ahead >= max(25.0, 0.5 * letters)
 
 
-def foreign(prompts: list[list[str]], answers: list[list[str]], said: list[list[list[str]]], m: Languages) -> list[Foreign]:
+def foreign(prompts: list[Prompt], answers: list[list[str]], said: list[list[list[str]]], m: Languages) -> list[Foreign]:
     """For each pair how foreign the answer is; ``said``: the words of its messages.
 
     Messages in which the prompt's language is far ahead are taken whole; sentences are looked at where another is near.
     """
-    homes: dict[str, int | None] = {}
-    keys = [BETWEEN.join(p) for p in prompts]
-    fresh = list(dict.fromkeys(keys))
-    for key, s in zip(fresh, m.scores([WORD.findall(k.lower()) for k in fresh])):
+    homes: dict[int, int | None] = {}
+    keys = list(map(id, prompts))
+    fresh = dict(zip(keys, prompts))
+    for key, s in zip(fresh, m.scores([[w for ws in p.said for w in ws] for p in fresh.values()])):
         second, top = np.sort(s)[-2:]
         homes[key] = int(s.argmax()) if _told(float(top - second), 0) else None
     where = [(r, i) for r, ws in enumerate(said) for i in range(len(ws)) if homes[keys[r]] is not None]
@@ -132,7 +153,7 @@ def foreign(prompts: list[list[str]], answers: list[list[str]], said: list[list[
     return [Foreign(o / k if k else 0.0, x / n if n else 0.0) for o, k, x, n in zip(other, known, lead, letters)]
 
 
-def copy_distance(prompt: list[str], answer_words: list[str]) -> tuple[float, int]:
+def copy_distance(prompt: Prompt, answer_words: list[str]) -> tuple[float, int]:
     """Least share of words that differ between the answer and the last messages of the prompt, and how many differ.
 
     Words at the answer's beginning that introduce the copy, up to four, aren't counted, if the copy has more than they.
@@ -143,8 +164,8 @@ def copy_distance(prompt: list[str], answer_words: list[str]) -> tuple[float, in
         return best
     tail: list[str] = []
     have = set(answer_words)
-    for m in reversed(prompt):
-        tail = visible_words(m) + tail
+    for ws in reversed(prompt.said):
+        tail = ws + tail
         t = len(tail)
         if t > n + 2:
             break
@@ -159,8 +180,8 @@ def copy_distance(prompt: list[str], answer_words: list[str]) -> tuple[float, in
             i, j = b.a + b.size, b.b + b.size
         if differ / max(t, 1) < best[0]:
             best = (differ / max(t, 1), differ)
-    if best[0] == 1.0 and n <= 3 and prompt and _NOT_LATIN.search(prompt[-1]):  # scripts without spaces
-        a, b = "".join(answer_words), "".join(WORD.findall(prompt[-1].lower()))
+    if best[0] == 1.0 and n <= 3 and prompt.messages and _NOT_LATIN.search(prompt.messages[-1]):  # scripts without spaces
+        a, b = "".join(answer_words), "".join(prompt.said[-1])
         if b and 0.6 < len(a) / len(b) < 1.6:
             same = sum(x.size for x in SequenceMatcher(None, b, a, autojunk=False).get_matching_blocks())
             best = (1 - same / max(len(a), len(b)), round((max(len(a), len(b)) - same) / 5))
@@ -176,22 +197,20 @@ def unended(text: str) -> str | None:
 
 
 def _h(s: str) -> int:
-    return zlib.crc32(s.encode("utf-8", "surrogatepass")) % PAIR
+    return crc32(s.encode("utf-8", "surrogatepass")) % PAIR
 
 
 def _l(s: str) -> int:
-    return PAIR + zlib.crc32(s.encode("utf-8", "surrogatepass")) % LONE
+    return PAIR + crc32(s.encode("utf-8", "surrogatepass")) % LONE
 
 
 def _e(s: str) -> int:
-    return PAIR + LONE + BEGIN + zlib.crc32(s.encode("utf-8", "surrogatepass")) % END
+    return PAIR + LONE + BEGIN + crc32(s.encode("utf-8", "surrogatepass")) % END
 
 
 #: Which n-grams a label has beside the pair features.
 OWN = {"empty": (PAIR, PAIR + LONE), "refusal": (PAIR + LONE, PAIR + LONE + BEGIN), "truncated": (PAIR + LONE + BEGIN, DIMENSIONS)}
 
-#: Of the n-grams of beginnings, longer ones count less, so that wordings which were not learnt are told by their words.
-VALUES = {"r2": 0.6, "rs": 0.4}
 #: Weight decay beside the default: refusals are to be told by many of their words, not by rare turns of phrase.
 DECAY = {"refusal": 4e-5}
 #: How far a rarer label's examples are weighed up.
@@ -243,38 +262,66 @@ def lone_features(text: str, words: list[str], asked: bool) -> list[str]:
     return [f"={core}", f"={core}|{bool(mark)}", f"n:{len(words)}|{bool(mark)}", f"f:{form}", f"m:{bool(mark)}", f"b:{bool(BRACKETED.match(text))}", f"s:{'_' in text or '/' in text}", *grams]
 
 
-def opening_features(first: list[str], text: str, prompt_words: set[str], m: Model) -> list[str]:
-    """How an answer begins: n-grams of its first message, and how many of its words are of the data's dialogues or of this one."""
-    marked = MARKED.findall((text if text.isascii() else INVISIBLE.sub("", text)).lower())
-    f = [f"r1:{w}" for w in first]
-    f += [f"rp:{w[:6]}" for w in first]
-    f += [f"r2:{a} {b}" for a, b in zip(marked, marked[1:])]
-    f += [f"rs:{a} {c}" for a, c in zip(marked, marked[2:])]
+def _row(f: list[tuple[int, float]], more: np.ndarray | None = None, values: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Features of an example, 8 bytes each."""
+    idx, val = zip(*f)
+    idx, val = np.array(idx, np.int32), np.array(val, np.float32)
+    return (idx, val) if more is None else (np.concatenate((idx, more)), np.concatenate((val, values)))
+
+
+class _Hashes(dict):
+    """A text's 64-bit hash, for n-grams of words; emptied when it grows past its bound."""
+
+    def __missing__(self, x: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        raw = x.encode("utf-8", "surrogatepass")
+        h = self[x] = crc32(raw) << 32 | crc32(raw[::-1])
+        return h
+
+
+_HASHES = _Hashes()
+_ODD_NUMBERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+
+
+def _hashed(xs: list[str]) -> np.ndarray:
+    return np.fromiter(map(_HASHES.__getitem__, xs), np.uint64, len(xs))
+
+
+def opening_features(first: list[str], text: str, prompt_words: set[str], m: Model) -> tuple[np.ndarray, np.ndarray]:
+    """How an answer begins: n-grams of its first message, and how many of its words are of the data's dialogues or of this one.
+
+    Longer n-grams count less, so that wordings which were not learnt are told by their words.
+    """
+    own = [f"rp:{w[:6]}" for w in first]
     if _NOT_LATIN.search(text):
         t = "".join(first)
-        f += [f"rc:{t[i : i + n]}" for n in (2, 3, 4) for i in range(len(t) - n + 1)]
+        own += [f"rc:{t[i : i + n]}" for n in (2, 3, 4) for i in range(len(t) - n + 1)]
     content = [w for w in first if len(w) > 3 and w not in m.template]
-    things, own = sum(w in m.vocabulary for w in content), sum(w in prompt_words for w in content)
-    f += [f"things:{min(things, 4)}", f"own:{min(own, 3)}", f"length:{min(len(first) // 4, 8)}", f"t|o:{min(things, 2)}|{min(own, 2)}"]
-    return list(dict.fromkeys(f))
+    things, mine = len(m.vocabulary.intersection(content)), len(prompt_words.intersection(content))
+    own += [f"things:{min(things, 4)}", f"own:{min(mine, 3)}", f"length:{min(len(first) // 4, 8)}", f"t|o:{min(things, 2)}|{min(mine, 2)}"]
+    h = _hashed(MARKED.findall((text if text.isascii() else INVISIBLE.sub("", text)).lower()))
+    grams = (h, _hashed(own), h[:-1] * _ODD_NUMBERS[0] + h[1:], h[:-2] * _ODD_NUMBERS[1] + h[2:])
+    idx = (np.concatenate(grams) * _ODD_NUMBERS[2] >> np.uint64(64 - 17)).astype(np.int32) + np.int32(PAIR + LONE)
+    return idx, np.repeat(np.array([1.0, 1.0, 0.6, 0.4], np.float32), list(map(len, grams)))
 
 
-def features(prompt: list[str], answer: list[str], said: list[list[str]], far: Foreign, m: Model, prompt_words: set[str]) -> tuple[list[tuple[int, float]], dict]:
+def features(prompt: Prompt, answer: list[str], said: list[list[str]], far: Foreign, m: Model) -> tuple[tuple[np.ndarray, np.ndarray], dict]:
     """Hashed n-grams and pair features, and what the counted parts of the definitions need."""
     f = [(_h("bias"), 1.0)]
     talk = [i for i, ws in enumerate(said) if ws]
     few = all(len(ws) <= FEW_WORDS for ws in said)
     if not talk:
         f.append((_h("blank"), 4.0))
-        return f, {"talks": False, "few": True, "share": 0.0, "distance": (1.0, 0), "tail": None}
+        return _row(f), {"talks": False, "few": True, "share": 0.0, "distance": (1.0, 0), "tail": None}
     f.append((_h(f"few:{few}"), 2.0))
     if few:
-        asked = bool(prompt) and AFTER_TEXT.sub("", prompt[-1])[-1:] in ("?", "？")
+        asked = bool(prompt.messages) and AFTER_TEXT.sub("", prompt.messages[-1])[-1:] in ("?", "？")
         k = max(talk, key=lambda i: (len(said[i]), sum(map(len, said[i])), -i))  # if it says nothing, no shorter one does
         f.extend((_l(x), 1.0) for x in lone_features(answer[k], said[k], asked))
     f.append((_h(f"messages:{min(len(answer), 3)}"), 1.0))
     first = said[talk[0]]
-    f += [(PAIR + LONE + zlib.crc32(x.encode("utf-8", "surrogatepass")) % BEGIN, VALUES.get(x[:2], 1.0)) for x in opening_features(first, answer[talk[0]], prompt_words, m)]
+    opening = opening_features(first, answer[talk[0]], prompt.words, m)
     distance = copy_distance(prompt, [w for ws in said for w in ws])
     f.append((_h("copy"), 4 * max(0.0, 1 - distance[0] / 0.3)))
     f.append((_h(f"copied:{min(int(distance[0] * 20), 8)}"), 2.0))
@@ -283,7 +330,7 @@ def features(prompt: list[str], answer: list[str], said: list[list[str]], far: F
     f.append((_h("lead"), max(-2.0, min(2.0, far.lead))))
     tail = unended(answer[-1])
     f.extend(ending_features(tail, m))
-    return f, {"talks": True, "few": few, "share": far.share, "distance": distance, "tail": tail}
+    return _row(f, *opening), {"talks": True, "few": few, "share": far.share, "distance": distance, "tail": tail}
 
 
 def confirmed(defect: str, facts: dict) -> bool:
@@ -299,16 +346,10 @@ def confirmed(defect: str, facts: dict) -> bool:
     return facts["talks"]
 
 
-def all_features(prompts: list[list[str]], answers: list[list[str]], m: Model) -> list[tuple[list[tuple[int, float]], dict]]:
+def all_features(prompts: list[list[str]], answers: list[list[str]], m: Model) -> list[tuple[tuple[np.ndarray, np.ndarray], dict]]:
     said = [[visible_words(t) for t in a] for a in answers]
-    far = foreign(prompts, answers, said, m.languages)
-    before, words = None, set()
-    out = []
-    for p, a, ws, x in zip(prompts, answers, said, far):
-        if p != before:
-            before, words = p, {w for t in p for w in visible_words(t) if len(w) > 3}
-        out.append(features(p, a, ws, x, m, words))
-    return out
+    read = read_prompts(prompts)
+    return [features(p, a, ws, x, m) for p, a, ws, x in zip(read, answers, said, foreign(read, answers, said, m.languages))]
 
 
 def _reformatted(rng: random.Random, text: str) -> str:
@@ -444,15 +485,21 @@ def synthetic(prompts: list[list[str]], seed: int) -> tuple[list, np.ndarray, np
             said = wording.refusal(rng, r, 0.0).split(" ")
             if len(said) > 7:
                 add(prompt, [" ".join(said[: rng.randrange(6, len(said))])], "refusal", (1, 1, 1, 0, 0))
-        for _ in range(2):
+        for _ in range(4):
             add(prompt, [wording.declined(rng, r, things, names)] + (answer if rng.random() < 0.5 else []), None, (1, 1, 1, 0, 1))
-        add(prompt, [wording.in_passing(rng, r, sentences.get(r) or seeds[r], names)] + (answer if rng.random() < 0.5 else []), None, (1, 1, 1, 0, 1))
+        for _ in range(2):
+            add(prompt, [wording.in_passing(rng, r, sentences.get(r) or seeds[r], names)] + (answer if rng.random() < 0.5 else []), None, (1, 1, 1, 0, 1))
         for _ in range(5):
             add(prompt, clauses(rng.choice(LANGUAGES if rng.random() < 0.4 else wording.REFUSAL_LANGUAGES)), None, (1, 1, 1, 0, 0))
-    rows = [f for f, _ in all_features([x[0] for x in made], [x[1] for x in made], m)]
     # half of the beginnings lose some of their n-grams, as wordings do that were not learnt; so thresholds are calibrated for them, too
     low, high = OWN["refusal"]
-    rows = [[x for x in f if not low <= x[0] < high or rng.random() > LOST] if rng.random() < 0.5 else f for f in rows]
+    rows, shake = [], np.random.default_rng(seed)
+    for k in range(0, len(made), 500):
+        for idx, val in (f for f, _ in all_features([x[0] for x in made[k : k + 500]], [x[1] for x in made[k : k + 500]], m)):
+            if shake.random() < 0.5:
+                kept = (idx < low) | (idx >= high) | (shake.random(len(idx)) > LOST)
+                idx, val = idx[kept], val[kept]
+            rows.append((idx, val))
     labels = [[d == x[2] for d in DEFECTS] for x in made]
     masks = [x[3] for x in made]
     for lang, ss in sentences.items():  # endings alone, for the truncated label
@@ -460,20 +507,19 @@ def synthetic(prompts: list[list[str]], seed: int) -> tuple[list, np.ndarray, np
             end = s.rstrip(".?!。… \"”)")
             for t, y in ((end, False), (_cut(rng, s), True), (_cut(rng, s), True), (_cut(rng, s), True)):
                 if t and unended(t) is not None:
-                    rows.append([(_h("bias"), 1.0), (_h("few:False"), 2.0), *ending_features(unended(t), m)])
+                    rows.append(_row([(_h("bias"), 1.0), (_h("few:False"), 2.0), *ending_features(unended(t), m)]))
                     labels.append([False] * 4 + [y])
                     masks.append((0, 0, 0, 0, 1))
     return rows, np.array(labels, float), np.array(masks, float), m
 
 
-def _flat(rows: list[list[tuple[int, float]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _flat(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts = np.zeros(len(rows), np.int64)
-    np.cumsum([len(r) for r in rows[:-1]], out=starts[1:])
-    flat = np.array([x for r in rows for x in r], np.float64).reshape(-1, 2)
-    return flat[:, 0].astype(np.int64), np.ascontiguousarray(flat[:, 1]), starts
+    np.cumsum([len(i) for i, _ in rows[:-1]], out=starts[1:])
+    return np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows]), starts
 
 
-def scores(rows: list[list[tuple[int, float]]], weights: np.ndarray) -> np.ndarray:
+def scores(rows: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarray) -> np.ndarray:
     """Probability of each defect."""
     idx, val, starts = _flat(rows)
     return 1 / (1 + np.exp(-np.clip(np.add.reduceat(weights[idx] * val[:, None], starts, axis=0), -30, 30)))
@@ -504,7 +550,7 @@ def fit(prompts: list[list[str]], seed: int = 42, steps: int = 120, rate: float
     train = [r for r, h in zip(rows, held) if not h] or rows
     yt, mt = (y[~held], mask[~held]) if (~held).any() else (y, mask)
     idx, val, starts = _flat(train)
-    owner = np.repeat(np.arange(len(train)), np.diff(np.append(starts, len(idx))))
+    owner = np.repeat(np.arange(len(train), dtype=np.int32), np.diff(np.append(starts, len(idx))))
     weights = np.zeros((DIMENSIONS, len(DEFECTS)))
     for d, defect in enumerate(DEFECTS):
         own = counts_for(defect, idx)

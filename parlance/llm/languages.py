@@ -74,17 +74,18 @@ class Languages:
     def __reduce__(self):
         return Languages, (self.weights,)
 
-    def word_ids(self, words: Iterable[str]) -> list[int]:
-        """Where the weights of each word are in ``vectors``, valid until the next call that meets new words beyond the bound."""
-        known, out = self._words, []
-        for w in words:
-            i = known.get(w)
-            if i is None:
-                i = known[w] = len(known)
-                if i == len(self._vectors):
-                    self._vectors = np.concatenate((self._vectors, np.zeros_like(self._vectors)))
-                self._vectors[i] = self.weights[ngrams(w)].sum(axis=0)
-            out.append(i)
+    def word_ids(self, words: list[str]) -> list[int]:
+        """Where the sum of each word's weights is in ``_vectors``."""
+        known = self._words
+        out = list(map(known.get, words))
+        if None in out:
+            for w in words:
+                if w not in known:
+                    i = known[w] = len(known)
+                    if i == len(self._vectors):
+                        self._vectors = np.concatenate((self._vectors, np.zeros_like(self._vectors)))
+                    self._vectors[i] = self.weights[ngrams(w)].sum(axis=0)
+            out = list(map(known.get, words))
         return out
 
     def forget(self, most: int = 200_000) -> None:

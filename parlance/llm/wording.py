@@ -110,7 +110,7 @@ THINGS = {
     "ru": "праздник ужин суп велосипед лестницу кухню счёт школу соседку письмо лампу чемодан куртку встречу квартиру".split(),
 }
 DECLINED = {
-    "en": ("I can't come to the {t}", "I can't make it to the {t} tonight", "I won't be at the {t}", "I cannot afford the {t}", "I can't bring the {t} today", "I couldn't find the {t} anywhere", "I can't find my {t}", "I can't lend you my {t} this week", "I'm not able to lift the {t}", "I am unable to fix the {t} before Friday", "I can't help you with the {t}, ask {n}", "I can't help {n} move the {t}", "I won't help with the {t} this time", "I must decline the {t}, it is too late for me", "I have to decline the {t}, thank you", "I'd rather not sell the {t}", "I would rather not go to the {t}", "I refuse to pay for the {t}", "I refuse to eat the {t}", "I will not clean the {t} again", "I'm not going to the {t} with {n}", "I can't write the {t} without my glasses", "I can't answer the {t} right now, I am driving", "I can't finish the {t} alone", "I cannot continue with the {t}, my back hurts", "I can't give you the {t}, it belongs to {n}", "I'm not allowed to drive the {t}", "I am not permitted to leave the {t} before six", "I don't think I can carry the {t}", "I'm not comfortable with the {t} at night", "I can't stand the {t}", "I can't believe the {t} is over", "I can't wait for the {t}", "it is not possible to open the {t}", "my {t} won't let me sleep", "my boss doesn't allow me to take the {t} home", "the doctor said I must not lift the {t}", "{n} refused to talk about the {t}", "{n} cannot come, because of the {t}", "{n} declined the {t}", "the bank declined my request for the {t}", "I can't do that to {n}", "I can't talk to {n} about it", "I can't help it, the {t} makes me sad", "I can't say the {t} was good", "I can't create a {t} out of nothing", "I can't provide for a {t} and a family", "the rules at the {t} don't allow dogs", "that {t} is not appropriate for a child"),
+    "en": ("I can't come to the {t}", "I can't make it to the {t} tonight", "I won't be at the {t}", "I cannot afford the {t}", "I can't bring the {t} today", "I couldn't find the {t} anywhere", "I can't find my {t}", "I can't lend you my {t} this week", "I'm not able to lift the {t}", "I am unable to fix the {t} before Friday", "I can't help you with the {t}, ask {n}", "I can't help {n} move the {t}", "I won't help with the {t} this time", "I must decline the {t}, it is too late for me", "I have to decline the {t}, thank you", "I'd rather not sell the {t}", "I would rather not go to the {t}", "I refuse to pay for the {t}", "I refuse to eat the {t}", "I will not clean the {t} again", "I'm not going to the {t} with {n}", "I can't write the {t} without my glasses", "I can't answer the {t} right now, I am driving", "I can't finish the {t} alone", "I cannot continue with the {t}, my back hurts", "I can't give you the {t}, it belongs to {n}", "I'm not allowed to drive the {t}", "I am not permitted to leave the {t} before six", "I don't think I can carry the {t}", "I'm not comfortable with the {t} at night", "I can't stand the {t}", "I can't believe the {t} is over", "I can't wait for the {t}", "it is not possible to open the {t}", "my {t} won't let me sleep", "my boss doesn't allow me to take the {t} home", "the doctor said I must not lift the {t}", "{n} refused to talk about the {t}", "{n} cannot come", "{n} can't come tonight", "{n} won't be there", "{n} and I cannot come", "{n} is not able to bring the {t}", "{n} cannot come, because of the {t}", "{n} declined the {t}", "the bank declined my request for the {t}", "I can't do that to {n}", "I can't talk to {n} about it", "I can't help it, the {t} makes me sad", "I can't say the {t} was good", "I can't create a {t} out of nothing", "I can't provide for a {t} and a family", "the rules at the {t} don't allow dogs", "that {t} is not appropriate for a child"),
     "de": ("ich kann nicht zur {t} kommen", "ich kann die {t} heute nicht bringen", "{n} kann leider nicht kommen", "ich muss die {t} absagen", "ich kann dir die {t} nicht leihen", "ich finde meine {t} nicht", "ich darf nach der {t} kein Auto fahren", "ich kann {n} bei der {t} nicht helfen", "ich will die {t} nicht verkaufen"),
     "fr": ("je ne peux pas venir à la {t}", "je ne peux pas apporter la {t} ce soir", "{n} ne peut pas venir", "je dois annuler la {t}", "je ne peux pas te prêter la {t}", "je ne trouve pas ma {t}", "je refuse de payer la {t}", "je ne peux pas aider {n} avec la {t}"),
     "es": ("no puedo ir a la {t}", "no puedo llevar la {t} esta noche", "{n} no puede venir", "tengo que cancelar la {t}", "no puedo prestarte la {t}", "no encuentro mi {t}", "me niego a pagar la {t}", "no puedo ayudar a {n} con la {t}"),
@@ -152,13 +152,14 @@ BECAUSE = {
 }
 SMALL_TALK = {
     "en": ("I'm sorry to hear that", "I'm so sorry, how is {n} now", "Sorry I'm late", "Sorry, what did you say", "I am sorry for your loss", "I apologize for yesterday", "Unfortunately it rained all day", "I'm afraid of dogs", "I can't sleep", "I can't remember", "I can't wait to see you", "I can't believe it", "I can't complain", "I cannot agree more", "I don't know", "I don't think so", "No, thank you", "No, not yet", "I will not forget that", "I won't tell anyone", "I understand", "I understand how you feel, but {n} means well", "Thank you for asking, I am fine", "I appreciate your help", "That is not fair", "It's not my fault", "That isn't what {n} meant", "I would rather stay home", "I have to go now"),
-    "de": ("Das tut mir leid", "Tut mir leid, ich bin zu spät", "Leider hat es geregnet", "Ich kann nicht schlafen", "Das kann ich nicht glauben", "Nein danke", "Ich weiß es nicht", "Ich verstehe dich"),
-    "fr": ("Je suis désolé pour toi", "Désolé d'être en retard", "Malheureusement il pleuvait", "Je ne peux pas dormir", "Je n'y crois pas", "Non merci", "Je ne sais pas", "Je te comprends"),
-    "es": ("Lo siento mucho", "Perdón por llegar tarde", "Por desgracia llovió", "No puedo dormir", "No puedo creerlo", "No, gracias", "No lo sé", "Te entiendo"),
-    "it": ("Mi dispiace tanto", "Non riesco a dormire", "No, grazie", "Non lo so"),
-    "pt": ("Sinto muito por isso", "Não consigo dormir", "Não, obrigado", "Não sei"),
-    "nl": ("Wat erg voor je", "Ik kan niet slapen", "Nee, dank je", "Ik weet het niet"),
-    "ru": ("Мне очень жаль", "Извините за опоздание", "К сожалению, шёл дождь", "Я не могу уснуть", "Не могу поверить", "Нет, спасибо", "Я не знаю", "Я тебя понимаю"),
+    "de": ("Das tut mir leid", "Tut mir leid, ich bin zu spät", "Leider hat es geregnet", "Ich kann nicht schlafen", "Das kann ich nicht glauben", "Nein danke", "Ich weiß es nicht", "Ich verstehe dich", "Das war nicht so gemeint", "Darauf wäre ich nie gekommen", "Er hat nie davon erzählt", "Vielleicht morgen, heute passt es nicht", "Niemand hat mich gefragt", "Damit habe ich nicht gerechnet", "Sie mag keinen Kaffee", "Ruf ihn doch später an", "Das wusste ich noch gar nicht", "Mir fällt dazu nichts ein"),
+    "fr": ("Je suis désolé pour toi", "Désolé d'être en retard", "Malheureusement il pleuvait", "Je ne peux pas dormir", "Je n'y crois pas", "Non merci", "Je ne sais pas", "Je te comprends", "Ce n'est pas grave", "Je n'y avais jamais pensé", "Il ne m'en a rien dit", "Peut-être demain, aujourd'hui ça ne va pas", "Personne ne m'a demandé", "Je ne m'en souviens plus", "Elle n'aime pas le café", "Appelle-le plus tard", "Je n'en savais rien", "On verra bien ce soir"),
+    "es": ("Lo siento mucho", "Perdón por llegar tarde", "Por desgracia llovió", "No puedo dormir", "No puedo creerlo", "No, gracias", "No lo sé", "Te entiendo", "No pasa nada", "Nunca lo había pensado", "No me dijo nada", "Quizás mañana, hoy no me viene bien", "Nadie me preguntó", "Ya no me acuerdo", "No le gusta el café", "Llámalo más tarde", "No tenía ni idea", "Ya veremos esta noche"),
+    "it": ("Mi dispiace tanto", "Non riesco a dormire", "No, grazie", "Non lo so", "Non importa", "Non ci avevo mai pensato", "Non mi ha detto niente", "Forse domani, oggi non va bene", "Nessuno me lo ha chiesto", "Non le piace il caffè", "Chiamalo più tardi", "Non ne sapevo nulla", "Vediamo stasera"),
+    "pt": ("Sinto muito por isso", "Não consigo dormir", "Não, obrigado", "Não sei", "Não faz mal", "Nunca tinha pensado nisso", "Ele não me disse nada", "Talvez amanhã, hoje não dá", "Ninguém me perguntou", "Ela não gosta de café", "Ligue para ele depois", "Eu não fazia ideia", "Vamos ver hoje à noite"),
+    "nl": ("Wat erg voor je", "Ik kan niet slapen", "Nee, dank je", "Ik weet het niet", "Dat geeft niet", "Daar had ik nooit aan gedacht", "Hij heeft er niets over gezegd", "Misschien morgen, vandaag komt het niet uit", "Niemand heeft het me gevraagd", "Ze houdt niet van koffie", "Bel hem later nog eens", "Dat wist ik helemaal niet", "We zien vanavond wel"),
+    "pl": ("Przykro mi to słyszeć", "Nie mogę spać", "Nie, dziękuję", "Nie wiem", "Nic się nie stało", "Nigdy o tym nie myślałem", "Nic mi nie powiedział", "Może jutro, dzisiaj mi nie pasuje", "Nikt mnie nie pytał", "Ona nie lubi kawy", "Zadzwoń do niego później", "Zobaczymy wieczorem"),
+    "ru": ("Мне очень жаль", "Извините за опоздание", "К сожалению, шёл дождь", "Я не могу уснуть", "Не могу поверить", "Нет, спасибо", "Я не знаю", "Я тебя понимаю", "Ничего страшного", "Я никогда об этом не думал", "Он мне ничего не сказал", "Может быть завтра, сегодня не получится", "Никто меня не спросил", "Она не любит кофе", "Позвони ему позже", "Я об этом не слышал", "Посмотрим вечером"),
     "ja": ("それは残念ですね", "遅れてすみません", "眠れません", "信じられません", "いいえ、結構です", "分かりません", "行けません", "覚えていません"),
     "zh": ("真遗憾", "对不起，我迟到了", "我睡不着", "我不知道", "我不能来", "谢谢，不用了"),
     "ko": ("정말 안타깝네요", "늦어서 미안해요", "잠이 안 와요", "모르겠어요"),
@@ -183,7 +184,7 @@ def refusal(rng: random.Random, lang: str, outright: float = 0.35) -> str:
         if rng.random() < 0.25:  # the first ones only point
             objects = objects[: 5 if lang == "en" else 2]
         said = rng.choice(UNWILLING[lang]).format(v=plain, g=going or plain, o=rng.choice(objects))
-    text = _sentence(lang, rng.choice(OPENINGS[lang]) + said) + rng.choice(ENDINGS[lang])
+    text = _sentence(lang, ("" if rng.random() < 0.3 else rng.choice(OPENINGS[lang])) + said) + rng.choice(ENDINGS[lang])
     return text.replace("'", "’") if rng.random() < 0.3 else text
 
 
@@ -192,7 +193,7 @@ def declined(rng: random.Random, lang: str, things: list[str], names: list[str])
     thing = rng.choice(things) if things and lang == "en" and rng.random() < 0.5 else rng.choice(THINGS.get(lang, THINGS["en"]))
     of = dict(t=thing, n=rng.choice(names or ["Sam"]))
     opening = rng.choice(OPENINGS[lang]) if rng.random() < 0.6 else ""
-    if lang in DECLINED and rng.random() < 0.4:
+    if lang in DECLINED and rng.random() < 0.55:
         said = rng.choice(DECLINED[lang]).format(**of)
     else:
         plain, _, going = rng.choice(EVERYDAY[lang]).format(**of).partition("|")
@@ -203,7 +204,9 @@ def declined(rng: random.Random, lang: str, things: list[str], names: list[str])
 
 def in_passing(rng: random.Random, lang: str, sentences: list[str], names: list[str]) -> str:
     """Ordinary talk after an opening that refusals have, too."""
-    return _sentence(lang, rng.choice(OPENINGS[lang]) + rng.choice(sentences)) if rng.random() < 0.5 else small_talk(rng, lang, names)
+    if rng.random() < 0.35:
+        return _sentence(lang, rng.choice(OPENINGS[lang]) + rng.choice(sentences))
+    return " ".join(small_talk(rng, lang, names) for _ in range(rng.randrange(1, 3)))
 
 
 def small_talk(rng: random.Random, lang: str, names: list[str]) -> str:

@@ -288,7 +288,7 @@ def test_answers_that_say_nothing(model):
 
 
 def test_exact_checks():
-    p = ["one two three four five six", "seven eight nine ten eleven twelve thirteen"]
+    p = D.read_prompts([["one two three four five six", "seven eight nine ten eleven twelve thirteen"]])[0]
     assert D.copy_distance(p, "seven eight nine ten eleven twelve thirteen".split())[1] == 0
     assert D.copy_distance(p, "you said seven eight nine ten eleven twelve thirteen".split())[1] == 0
     assert D.copy_distance(p, "one two three four five six seven eight nine ten eleven twelve thirteen".split())[1] == 0
