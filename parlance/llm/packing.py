@@ -2,8 +2,10 @@
 
 Texts are sized in tokens of a public tokenizer. A text beyond the capacity gives as many full containers as it holds and
 a remainder; nothing else is cut. Each task packs its pieces best-fit in decreasing order and emits its nearly full bins.
-Its underfull bins become items of the next round, where fewer tasks pack the bins of several former ones, up to a single
-task. What a task hands on is bounded, so the last task is too: of more underfull bins than that, the fullest are emitted.
+Its underfull bins become items of the next round, where fewer tasks pack the bins of several former ones, mixed anew, down
+to a single task. All underfull bins are handed on that could still take another one; only a bin's number and fill travel
+from round to round, and where a text is in the end is found by following these numbers. Where so many bins stay open that
+one task would be too large for them, the tasks don't become fewer, and rounds go on while they still close bins.
 """
 
 from __future__ import annotations
@@ -67,69 +69,86 @@ def best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-_PIECE = "pack_id int, capacity bigint, part int, bin string, doc_id bigint, piece bigint, tokens bigint"
+_PLACED = "pack_id int, item bigint, bin bigint, fill bigint"
 
 
-def _packer(round_no: int, last: bool, nearly_full: float, carry: int):
+def _packer(round_no: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        capacity, pack, part = int(pdf["capacity"].iloc[0]), int(pdf["pack_id"].iloc[0]), int(pdf["part"].iloc[0])
-        pdf = pdf.sort_values(["bin", "doc_id", "piece"], kind="stable", ignore_index=True)
-        item = pd.factorize(pdf["bin"])[0]
-        sizes = np.bincount(item, pdf["tokens"]).astype(np.int64)
+        capacity, part = int(pdf["capacity"].iloc[0]), int(pdf["part"].iloc[0])
+        pdf = pdf.sort_values("item", kind="stable", ignore_index=True)
+        sizes = pdf["size"].to_numpy(np.int64)
         bins = best_fit(sizes, capacity)
         fill = np.bincount(bins, sizes).astype(np.int64)
-        open_ = fill < nearly_full * capacity
-        if last:
-            open_[:] = False
-        elif open_.sum() > carry:
-            emptiest = np.argsort(fill, kind="stable")[:carry]
-            keep = np.zeros(len(fill), bool)
-            keep[emptiest] = True
-            open_ &= keep
-        own = bins[item]
-        names = np.array([f"{pack}-{round_no}-{part}-{b}" for b in range(len(fill))], object)
-        return pdf.assign(bin=names[own], open=open_[own])[["pack_id", "capacity", "part", "bin", "doc_id", "piece", "tokens", "open"]]
+        number = (round_no << 56) + (part << 32) + bins
+        return pd.DataFrame({"pack_id": pdf["pack_id"], "item": pdf["item"], "bin": number, "fill": fill[bins]})
 
     return run
 
 
-def pack(sized: DataFrame, capacities: DataFrame, per_task: int = 20_000, fan_in: int = 8, nearly_full: float = 0.99, carry: int = 5_000, max_parts: int = 1 << 20) -> DataFrame:
+def _round(items: DataFrame, round_no: int, parts: int) -> DataFrame:
+    """(pack_id, item, bin, fill): the bin of each of ``items``(pack_id, capacity, item, size), packed in so many tasks for each capacity."""
+    part = F.pmod(F.xxhash64("item", F.lit(round_no)), F.lit(parts)).cast("int")
+    placed = items.withColumn("part", part).groupBy("pack_id", "part").applyInPandas(_packer(round_no), _PLACED)
+    return materialize(placed, f"packed-{round_no}")
+
+
+def _open(placed: DataFrame, capacities: DataFrame, nearly_full: float) -> DataFrame:
+    """(pack_id, capacity, item, size): bins that are underfull, and have room for the emptiest bin of their capacity."""
+    bins = placed.groupBy("pack_id", "bin").agg(F.first("fill").alias("size")).join(F.broadcast(capacities), "pack_id")
+    bins = materialize(bins.filter(F.col("size") < F.col("capacity") * nearly_full), "open")
+    least = F.broadcast(bins.groupBy("pack_id").agg(F.min("size").alias("least")))  # a row for each capacity
+    return bins.join(least, "pack_id").filter("capacity - size >= least").select("pack_id", "capacity", F.col("bin").alias("item"), "size")
+
+
+def pack(sized: DataFrame, capacities: DataFrame, per_task: int = 2_000, fan_in: int = 8, nearly_full: float = 0.99, max_parts: int = 1 << 20) -> DataFrame:
     """(pack_id, doc_id, piece, tokens, sequence_id): where each piece of each text of ``sized``(doc_id, n_tokens) goes.
 
     ``capacities``(pack_id, capacity_tokens) applies to every text, so the work grows with their number. A text without
     tokens takes no room and has no sequence. Containers never hold more than their capacity. Capacities below 1 are left
     out. Repeated rows are packed as often as they stand; rows without an id can't be told where they are and are left out.
+
+    ``per_task``: items that a task packs, about. A round has an ``fan_in``-th of the tasks of the one before.
     """
-    ship(sized.sparkSession)
+    spark = sized.sparkSession
+    ship(spark)
     sized = materialize(sized.select("doc_id", F.coalesce("n_tokens", F.lit(0)).alias("n_tokens")).filter("doc_id is not null"), "sized")
     n = sized.count()
     wanted = capacities.filter("capacity_tokens >= 1").select("pack_id", "capacity_tokens").limit(MOST_CAPACITIES + 1).collect()
     if len(wanted) > MOST_CAPACITIES:
         raise ValueError(f"more than {MOST_CAPACITIES} capacities; pack them in several calls")
+    own = spark.createDataFrame([(int(r["pack_id"]), int(r["capacity_tokens"])) for r in wanted], "pack_id int, capacity bigint")
     each = F.array(*[F.struct(F.lit(r["pack_id"]).cast("int").alias("pack_id"), F.lit(r["capacity_tokens"]).cast("bigint").alias("capacity")) for r in wanted])
     pairs = sized.select("doc_id", "n_tokens", F.explode(each.cast("array<struct<pack_id:int,capacity:bigint>>")).alias("p")).select("p.pack_id", "p.capacity", "doc_id", "n_tokens")
     empty = pairs.filter("n_tokens = 0").select("pack_id", "doc_id", F.lit(0).cast("bigint").alias("piece"), F.lit(0).cast("bigint").alias("tokens"), F.lit(None).cast("string").alias("sequence_id"))
     cut = pairs.filter("n_tokens > 0").withColumns({"whole": F.expr("n_tokens div capacity"), "rest": F.expr("n_tokens % capacity")})
     full = cut.filter("whole > 0").select("pack_id", "capacity", "doc_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("whole") - 1)).alias("piece"))
     full = full.select("pack_id", "doc_id", "piece", F.col("capacity").alias("tokens"), F.format_string("%d-full-%d-%d", "pack_id", "doc_id", "piece").alias("sequence_id"))
+    # numbered once and written, so that an item keeps its number
+    pieces = materialize(cut.filter("rest > 0").select("pack_id", "capacity", "doc_id", F.col("whole").alias("piece"), F.col("rest").alias("tokens"), F.monotonically_increasing_id().alias("item")), "pieces")
+
     parts = max(1, min(max_parts, -(-n // per_task)))
-    items = cut.filter("rest > 0").select(
-        "pack_id", "capacity", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("part"), F.concat_ws("-", F.lit("i"), F.col("doc_id"), F.col("whole"), F.monotonically_increasing_id()).alias("bin"), "doc_id", F.col("whole").alias("piece"), F.col("rest").alias("tokens"),
-    )
-    done = [empty, full]
-    round_no = 0
-    while True:
-        packed = items.groupBy("pack_id", "part").applyInPandas(_packer(round_no, parts == 1, nearly_full, carry), _PIECE + ", open boolean")
-        packed = materialize(packed, f"packed-{round_no}")
-        done.append(packed.filter("not open").select("pack_id", "doc_id", "piece", "tokens", F.col("bin").alias("sequence_id")))
-        if parts == 1:
+    rounds = [_round(pieces.select("pack_id", "capacity", "item", F.col("tokens").alias("size")), 0, parts)]
+    before = None
+    while parts > 1 or (before or 0) > per_task:
+        left = materialize(_open(rounds[-1], own, nearly_full), "left")
+        n_left = left.groupBy("pack_id").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+        parts = max(1, -(-parts // fan_in), -(-n_left // per_task)) if n_left else 1
+        if n_left < 2 or before is not None and parts > 1 and n_left > 0.999 * before:
             break
-        parts, round_no = -(-parts // fan_in), round_no + 1
-        items = packed.filter("open").drop("open").withColumn("part", F.pmod("part", F.lit(parts)).cast("int"))
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
+        rounds.append(_round(left, len(rounds), min(parts, max_parts)))
+        before = n_left if parts > 1 else None
+    # the last bin of each bin that was an item again, from the last round back
+    last = None
+    for placed in reversed(rounds[1:]):
+        step = placed.select("pack_id", F.col("item").alias("bin"), F.col("bin").alias("next"))
+        if last is not None:
+            step = step.join(last.select("pack_id", F.col("bin").alias("next"), F.col("next").alias("then")), ["pack_id", "next"], "left").select("pack_id", "bin", F.coalesce("then", "next").alias("next"))
+        last = materialize(step, "last")
+    packed = rounds[0].select("pack_id", "item", "bin")
+    if last is not None:
+        packed = packed.join(last, ["pack_id", "bin"], "left").select("pack_id", "item", F.coalesce("next", "bin").alias("bin"))
+    packed = pieces.select("pack_id", "item", "doc_id", "piece", "tokens").join(packed, ["pack_id", "item"]).select("pack_id", "doc_id", "piece", "tokens", F.format_string("%d-%d", "pack_id", "bin").alias("sequence_id"))
+    return empty.unionByName(full).unionByName(packed)
 
 
 def fill_report(packed: DataFrame, capacities: DataFrame) -> DataFrame:

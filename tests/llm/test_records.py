@@ -174,7 +174,7 @@ def test_pack(spark):
     sized = spark.createDataFrame(list(sizes.items()) + [(None, 5), (2**62 + 1, None)], "doc_id bigint, n_tokens bigint").withColumn("bin", F.lit(1))
     capacities = {1: 512, 2: 100}
     caps = spark.createDataFrame([(k, v) for k, v in capacities.items()] + [(9, 0), (10, None)], "pack_id int, capacity_tokens int")
-    for options in ({}, {"per_task": 200, "fan_in": 3, "carry": 20}):
+    for options in ({}, {"per_task": 200, "fan_in": 3}):
         rows = [tuple(r) for r in packing.pack(sized, caps, **options).select("pack_id", "doc_id", "piece", "tokens", "sequence_id").collect()]
         fill = check_packing(rows, sizes, capacities)
         for pack, cap in capacities.items():
@@ -192,10 +192,27 @@ def test_pack_of_nothing(spark):
 
 def test_items_that_never_fit_together(spark):
     sized = spark.createDataFrame([(i, 60) for i in range(500)], "doc_id bigint, n_tokens bigint")
-    rows = packing.pack(sized, spark.createDataFrame([(1, 100)], "pack_id int, capacity_tokens int"), per_task=50, carry=5).collect()
+    rows = packing.pack(sized, spark.createDataFrame([(1, 100)], "pack_id int, capacity_tokens int"), per_task=50).collect()
     assert len({r["sequence_id"] for r in rows}) == 500
 
 
+def best_fit_of(sizes, capacity):
+    return len(set(packing.best_fit(np.array([s for s in sizes if s]), capacity).tolist()))
+
+
+@pytest.mark.parametrize("low, high", [(0.4, 0.95), (0.02, 0.6), (0.3, 0.5)])
+def test_many_open_bins_over_rounds_are_packed_as_by_one_best_fit(spark, low, high):
+    """No bin is emitted for want of room in a task: within 1 % of a single best-fit over everything."""
+    rng = random.Random(11)
+    capacity = 1000
+    sizes = {i: rng.randrange(int(low * capacity), int(high * capacity)) for i in range(6000)}
+    sized = spark.createDataFrame(list(sizes.items()), "doc_id bigint, n_tokens bigint")
+    rows = [tuple(r) for r in packing.pack(sized, spark.createDataFrame([(1, capacity)], "pack_id int, capacity_tokens int"), per_task=600, fan_in=4).collect()]
+    fill = check_packing(rows, sizes, {1: capacity})
+    once = best_fit_of(sizes.values(), capacity)
+    assert len(fill) <= 1.01 * once + 1, (len(fill), once)
+
+
 def test_best_fit_is_within_capacity():
     rng = np.random.default_rng(9)
     sizes = rng.integers(1, 100, 2000)
