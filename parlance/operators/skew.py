@@ -13,11 +13,12 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], weight: str
 
     Keys of ``hot_rows`` rows or more go to a broadcast table and their rows stay where they are. There are at most
     rows / hot_rows such keys, which bounds the broadcast. All other keys are joined by a shuffle in which no key has
-    more than ``hot_rows`` rows but the null key of a left join, which joins nothing.
+    more than ``hot_rows`` rows but the null key of a left join, which joins nothing. That shuffle is asked for, since the
+    lookup grows with the data and the size of its files says little of its size in memory.
     """
     heavy = F.broadcast(lookup.filter(F.col(weight) >= hot_rows))
     light = lookup.filter(F.col(weight) < hot_rows)
-    cold = rows.join(heavy.select(*keys), keys, "left_anti").join(light, keys, how)
+    cold = rows.join(heavy.select(*keys), keys, "left_anti").join(light.hint("merge"), keys, how)
     return rows.join(heavy, keys).unionByName(cold)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
@@ -14,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _OWN_SCRATCH: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_RUN = uuid.uuid4().hex[:12]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def scratch_root(spark: SparkSession) -> str:
     return _OWN_SCRATCH[app]
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """Of this application and no other: process ids may be equal in containers."""
+    return f"parlance-{spark.sparkContext.applicationId}-{_RUN}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
@@ -44,15 +49,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     :func:`release`.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/parlance-{os.getpid()}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> None:
-    """Delete the tables that this process materialized."""
+    """Delete the tables that this application materialized."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/parlance-{os.getpid()}")
+    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{_own_folder(spark)}")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
