@@ -54,6 +54,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lasting_folder(spark: SparkSession, name: str) -> str:
+    """Where a table is kept from run to run: under ``parlance.store.dir`` if that is set, else in a new scratch folder."""
+    store = spark.conf.get("parlance.store.dir", None)
+    return f"{store.rstrip('/')}/{name}" if store else f"{scratch_root(spark)}/{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def release(spark: SparkSession) -> None:
     """Delete the tables that this application materialized."""
     jvm = spark.sparkContext._jvm
