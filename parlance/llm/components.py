@@ -1,16 +1,17 @@
 """Problem 4: splits that keep related records together, over an incremental table of components.
 
 Sources are nodes, a key that they share (a pid) ties them. Components come from hub labels and pointer jumping, each
-round written to the shared folder. A component table that was kept from earlier data is contracted first: its components
-are single nodes of the new graph, so a batch costs what its own ties cost. Components with one split keep it, those
-without get one by filling the deficits of the targets, those that merged different splits are set apart.
+round written to the shared folder. The component table and the splits of its components are kept in a ``Store``, version
+by version. A batch of new ties contracts the stored table first: its components are single nodes of the new graph, so a
+batch costs what its own ties cost. Components that have a split keep it, new ones get one by filling the deficits of the
+targets, and merges of components with different splits are quarantined.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -18,7 +19,9 @@ from parlance.functions.text import fold, strip
 from parlance.operators.skew import HOT_ROWS, lookup_join
 from parlance.session import materialize
 
+#: Shares of the splits.
 TARGETS = {"train": 0.75, "val": 0.10, "test": 0.15}
+#: Hash buckets of the running sum: the first ten bits.
 BUCKETS = 1 << 10
 
 
@@ -45,9 +48,9 @@ def connect(edges: DataFrame, hot_rows: int = HOT_ROWS, max_rounds: int = 60) ->
         labelled = lookup_join(edges, labels, ["node"], "degree", hot_rows)
         of_key = materialize(labelled.groupBy("key").agg(F.min("label").alias("least"), F.count("*").alias("nodes")), "keys")
         of_node = lookup_join(edges, of_key, ["key"], "nodes", hot_rows).groupBy("node").agg(F.min("least").alias("least"))
-        step = materialize(labels.join(of_node, "node").select("node", "degree", "label", "least"), "step")
+        step = materialize(labels.join(of_node.hint("merge"), "node").select("node", "degree", "label", "least"), "step")
         pointing = step.groupBy("least").agg(F.count("*").alias("pointing"))
-        target = step.select(F.col("node").alias("least"), F.col("least").alias("jump")).join(pointing, "least")
+        target = step.select(F.col("node").alias("least"), F.col("least").alias("jump")).join(pointing.hint("merge"), "least")
         jumped = lookup_join(step, target, ["least"], "pointing", hot_rows)
         labels = materialize(jumped.select("node", "degree", F.least("least", "jump").alias("new"), "label"), f"labels-{i + 1}")
         changed = labels.filter("new <> label").limit(1).count()
@@ -83,16 +86,71 @@ def of_nodes(components: DataFrame) -> DataFrame:
     return components.filter("not is_key").select(F.col("name").alias("node"), "component")
 
 
-def source_groups(entries: DataFrame, components: DataFrame) -> DataFrame:
-    """(source_id, group_key, rows, group_rows, low, high): one row for each source of ``entries``(source_id, split).
+class Store:
+    """Versions of a component table and of its components' splits in a lasting folder.
+
+    A version is a folder of its own, seen once it is written whole, so readers and later batches never meet half of one.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def version(self) -> int:
+        """The latest version that is whole; 0 if there is none."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/v*/splits/_SUCCESS")
+        found = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+        return max((int(f.getPath().getParent().getParent().getName()[1:]) for f in found), default=0)
+
+    def components(self) -> DataFrame | None:
+        """(name, is_key, component) of the latest version."""
+        v = self.version()
+        return self.spark.read.parquet(f"{self.folder}/v{v}/components") if v else None
+
+    def splits(self) -> DataFrame | None:
+        """(component, split, status) of the latest version."""
+        v = self.version()
+        return self.spark.read.parquet(f"{self.folder}/v{v}/splits") if v else None
+
+    def add(self, edges: DataFrame, entries: DataFrame | None = None, targets: dict[str, float] | None = None) -> DataFrame:
+        """The next version: ``edges``(node, key) tied in, and splits for the components of ``entries``(source_id, split), if given. Gives the splits."""
+        v, held = self.version() + 1, self.splits()
+        update_components(self.components(), edges).write.parquet(f"{self.folder}/v{v}/components")
+        now = self.spark.read.parquet(f"{self.folder}/v{v}/components")
+        if entries is not None:
+            out = assign(with_splits(component_groups(entries, now), now, held), targets).select("component", "split", "status")
+        else:
+            out = held if held is not None else self.spark.createDataFrame([], "component string, split string, status string")
+        out.write.parquet(f"{self.folder}/v{v}/splits")
+        return self.splits()
+
+
+def _sources(entries: DataFrame, components: DataFrame) -> DataFrame:
+    """(source_id, component, rows, and rows of each split) of ``entries``(source_id, split). Sources in no component are one of their own."""
+    counts = [F.count_if(F.col("split") == s).alias(f"n_{s}") for s in TARGETS]
+    sources = entries.filter("source_id is not null").groupBy("source_id").agg(F.count("*").alias("rows"), F.min("split").alias("s_low"), F.max("split").alias("s_high"), *counts)
+    known = of_nodes(components).withColumnRenamed("node", "source_id").hint("merge")
+    return materialize(sources.join(known, "source_id", "left").withColumn("component", F.coalesce("component", "source_id")), "sources")
+
+
+def _by_component(sources: DataFrame) -> DataFrame:
+    counts = [F.sum(f"n_{s}").alias(f"n_{s}") for s in TARGETS]
+    return sources.groupBy("component").agg(F.min("source_id").alias("group_key"), F.sum("rows").alias("group_rows"), F.count("*").alias("sources"), F.min("s_low").alias("low"), F.max("s_high").alias("high"), *counts)
+
+
+def component_groups(entries: DataFrame, components: DataFrame) -> DataFrame:
+    """(component, group_key, group_rows, sources, low, high, n_train, n_val, n_test): one row for each group of ``entries``.
 
     group_key: least source_id among the entries of its group; low and high: least and greatest non-null split there.
-    Sources in no component are a group of their own. Null sources are related to nothing and left out.
+    Null sources are related to nothing and left out.
     """
-    sources = entries.filter("source_id is not null").groupBy("source_id").agg(F.count("*").alias("rows"), F.min("split").alias("s_low"), F.max("split").alias("s_high"))
-    sources = materialize(sources.join(of_nodes(components).withColumnRenamed("node", "source_id"), "source_id", "left").withColumn("component", F.coalesce("component", "source_id")), "sources")
-    groups = sources.groupBy("component").agg(F.min("source_id").alias("group_key"), F.sum("rows").alias("group_rows"), F.count("*").alias("sources"), F.min("s_low").alias("low"), F.max("s_high").alias("high"))
-    return lookup_join(sources.select("source_id", "component", "rows"), materialize(groups, "source-groups"), ["component"], "sources").select("source_id", "group_key", "rows", "group_rows", "low", "high")
+    return materialize(_by_component(_sources(entries, components)), "groups")
+
+
+def source_groups(entries: DataFrame, components: DataFrame) -> DataFrame:
+    """(source_id, group_key, rows, group_rows, low, high): one row for each source, with what ``component_groups`` says of its group."""
+    sources = _sources(entries, components)
+    groups = materialize(_by_component(sources).select("component", "group_key", "group_rows", "sources", "low", "high"), "source-groups")
+    return lookup_join(sources.select("source_id", "component", "rows"), groups, ["component"], "sources").select("source_id", "group_key", "rows", "group_rows", "low", "high")
 
 
 def spread_rows(entries: DataFrame, components: DataFrame) -> DataFrame:
@@ -101,17 +159,41 @@ def spread_rows(entries: DataFrame, components: DataFrame) -> DataFrame:
     return lookup_join(entries.select("entry_id", "source_id"), materialize(split, "spread"), ["source_id"], "rows").select("entry_id", "group_key")
 
 
+def with_splits(groups: DataFrame, components: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """``groups`` of ``component_groups`` with split and status.
+
+    kept: the split that the store holds for all of its components that have one, or else the one split that its rows are in.
+    quarantined: the store holds different splits for components that are one now, or held one of them as quarantined; it
+    has none. settled: the store holds nothing and its rows are in several splits; it gets the one that most of them are in,
+    the first of equals. new: no row has a split. ``held``(component, split, status): the store's splits so far.
+    """
+    most = F.greatest(*[F.col(f"n_{s}") for s in TARGETS])
+    majority = F.coalesce(*[F.when(F.col(f"n_{s}") == most, s) for s in TARGETS])
+    first = F.when(F.col("low") == F.col("high"), F.col("low")).when(F.col("low").isNotNull(), majority)
+    status = F.when(F.col("low").isNull(), "new").when(F.col("low") != F.col("high"), "settled").otherwise("kept")
+    if held is None:
+        return groups.withColumns({"split": first, "status": status})
+    # where each component that the store knows has gone
+    now = of_nodes(components).select(F.col("node").alias("component"), F.col("component").alias("now")).hint("merge")
+    moved = held.join(now, "component", "left").select(F.coalesce("now", "component").alias("component"), "split", (F.col("status") == "quarantined").alias("apart"))
+    moved = moved.groupBy("component").agg(F.min("split").alias("held_low"), F.max("split").alias("held_high"), F.max("apart").alias("apart"))
+    out = groups.join(moved.hint("merge"), "component", "left")
+    clash = F.coalesce(F.col("apart"), F.lit(False)) | F.coalesce(F.col("held_low") != F.col("held_high"), F.lit(False))
+    out = out.withColumns({"split": F.when(clash, F.lit(None)).otherwise(F.coalesce("held_low", first)), "status": F.when(clash, "quarantined").when(F.col("held_low").isNotNull(), "kept").otherwise(status)})
+    return out.drop("held_low", "held_high", "apart")
+
+
 def assign(groups: DataFrame, targets: dict[str, float] | None = None, seed: int = 42) -> DataFrame:
-    """(group_key, group_rows, split, status) of ``groups``(group_key, group_rows, low, high).
+    """``groups``(component, group_key, group_rows, split, status) with a split for the new ones: (component, group_key, group_rows, split, status).
 
-    kept: the group's one split. conflict: the group has several, is set apart, and has none. new: assigned in hash order
-    to fill what each split lacks of its share of all rows that aren't in conflict. The running sum over new groups is
-    taken in two levels of hash buckets, so no task orders all of them.
+    New groups fill, in hash order, what each split lacks of its share of all rows that aren't quarantined. The running sum
+    over them is taken in two levels of hash buckets, so no task orders all of them.
     """
     targets = targets or TARGETS
-    groups = groups.select("group_key", "group_rows", "low", "high", F.when(F.col("low") != F.col("high"), "conflict").when(F.col("low").isNotNull(), "kept").otherwise("new").alias("status"))
-    groups = materialize(groups.withColumns({"h": F.xxhash64(F.lit(seed), "group_key"), "b": F.pmod(F.xxhash64(F.lit(seed), "group_key"), F.lit(BUCKETS)).cast("int")}), "groups")
-    held = {r["low"]: r["n"] for r in groups.filter("status = 'kept'").groupBy("low").agg(F.sum("group_rows").alias("n")).filter(F.col("low").isin(*targets)).collect()}
+    h = F.md5(F.concat(F.lit(f"{seed}|"), F.col("group_key")))
+    groups = groups.select("component", "group_key", "group_rows", "split", "status", h.alias("h"), F.shiftright(F.conv(F.substring(h, 1, 3), 16, 10).cast("int"), 2).alias("b"))
+    groups = materialize(groups, "unassigned")
+    held = {r["split"]: r["n"] for r in groups.filter("status <> 'new'").groupBy("split").agg(F.sum("group_rows").alias("n")).filter(F.col("split").isin(*targets)).collect()}
     fresh = groups.filter("status = 'new'")
     buckets = fresh.groupBy("b").agg(F.sum("group_rows").alias("n"))
     total_new = buckets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -126,6 +208,6 @@ def assign(groups: DataFrame, targets: dict[str, float] | None = None, seed: int
     inside = F.sum("group_rows").over(Window.partitionBy("b").orderBy("h", "group_key").rowsBetween(Window.unboundedPreceding, -1))
     middle = F.col("ahead") + F.coalesce(inside, F.lit(0)) + F.col("group_rows") / 2
     choice = reduce(lambda c, x: c.when(middle <= x[1], x[0]), bounds[:-1], F.when(F.lit(False), "")).otherwise(bounds[-1][0])
-    new = fresh.join(F.broadcast(ahead), "b").select("group_key", "group_rows", choice.alias("split"), "status")
-    old = groups.filter("status <> 'new'").select("group_key", "group_rows", F.when(F.col("status") == "kept", F.col("low")).alias("split"), "status")
-    return old.unionByName(new)
+    # at most BUCKETS rows
+    new = fresh.join(F.broadcast(ahead), "b").select("component", "group_key", "group_rows", choice.alias("split"), "status")
+    return groups.filter("status <> 'new'").select("component", "group_key", "group_rows", "split", "status").unionByName(new)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.functions.text import contents, strip
-from parlance.session import materialize, table
+from parlance.session import lasting_folder, table
 
 from . import components, confusables, defects, formatting, leaks, near, packing, sampling
 
@@ -108,19 +108,36 @@ def p2_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample(_populations(spark, sf_dir), table(spark, sf_dir, "sampling_target"))
 
 
-def _components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(components.update_components(None, components.ties(table(spark, sf_dir, "manifest"))), "components")
+def _stored(spark: SparkSession, sf_dir: str, entries: DataFrame | None = None) -> components.Store:
+    """A stored component table, brought up to date by two batches of the manifest, the earlier and the later half of its rows.
+
+    Rows without a time come late. With ``entries``, splits are stored at both batches; else none.
+    """
+    manifest = table(spark, sf_dir, "manifest")
+    middle = manifest.agg(F.percentile_approx("loaded_at", 0.5)).first()[0]
+    rows = manifest.select("custom_id", "pid", F.coalesce(F.col("loaded_at") <= F.lit(middle), F.lit(False)).alias("early"))
+    store = components.Store(spark, lasting_folder(spark, "components"))
+    for early in (True, False):
+        store.add(components.ties(rows.filter(F.col("early") == early)), entries)
+    return store
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = table(spark, sf_dir, "stage1_entry").select("entry_id", "source_id", "split")
-    return components.spread_rows(entries, _components(spark, sf_dir))
+    return components.spread_rows(entries, _stored(spark, sf_dir).components())
 
 
 def p4_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = table(spark, sf_dir, "stage1_entry").select("entry_id", "source_id", "split")
-    groups = components.source_groups(entries, _components(spark, sf_dir)).groupBy("group_key").agg(F.max("group_rows").alias("group_rows"), F.max("low").alias("low"), F.max("high").alias("high"))
-    return components.assign(groups)
+    """A new split for every group, over the whole stored table."""
+    entries = table(spark, sf_dir, "stage1_entry").select("source_id", "split")
+    known = _stored(spark, sf_dir).components()
+    return components.assign(components.with_splits(components.component_groups(entries, known), known)).drop("component")
+
+
+def p4_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(split, status, n_groups): what the second batch makes of the splits that the store holds since the first."""
+    entries = table(spark, sf_dir, "stage1_entry").select("source_id", "split")
+    return _stored(spark, sf_dir, entries).splits().groupBy("split", "status").agg(F.count("*").alias("n_groups"))
 
 
 def _prints(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -165,7 +182,7 @@ def p8_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p2_found, p2_report, p2_sample, p3_found, p3_groups, p4_found, p4_assignment, p5_found, p5_report,
+        p1_found, p2_found, p2_report, p2_sample, p3_found, p3_groups, p4_found, p4_assignment, p4_update, p5_found, p5_report,
         p6_found, p6_kept, p7_sequences, p7_fill, p8_found, p8_proximity, p9_found, p9_forms, p9_groups,
     )
 }
@@ -193,11 +210,20 @@ r(a, b) AS (SELECT node, node FROM e UNION SELECT r.a, y.node FROM r JOIN e x ON
 c AS (SELECT a node, min(b) component FROM r GROUP BY 1),
 s AS (SELECT entry_id, source_id, split, coalesce(component, source_id) component FROM stage1_entry LEFT JOIN c ON node = source_id WHERE source_id IS NOT NULL),
 g AS (SELECT component, min(source_id) group_key FROM s GROUP BY 1 HAVING count(DISTINCT split) > 1)"""
+_SPREAD_ALL = _SPREAD[: _SPREAD.rindex(",\ng AS")]
+_ASSIGNED = """, g AS (SELECT min(source_id) group_key, count(*) group_rows, count(DISTINCT split) k, count(*) FILTER (split = 'train') a, count(*) FILTER (split = 'val') b, count(*) FILTER (split = 'test') c FROM s GROUP BY component),
+f AS (SELECT group_key, group_rows, CASE k WHEN 0 THEN 'new' WHEN 1 THEN 'kept' ELSE 'settled' END status, CASE WHEN k = 0 THEN NULL WHEN a >= b AND a >= c THEN 'train' WHEN b >= c THEN 'val' ELSE 'test' END split FROM g),
+t AS (SELECT sum(group_rows) n, sum(group_rows) FILTER (split = 'train') h1, sum(group_rows) FILTER (split = 'val') h2, sum(group_rows) FILTER (split = 'test') h3, sum(group_rows) FILTER (status = 'new') m FROM f),
+l AS (SELECT coalesce(m, 0) m, greatest(0e0, 0.75e0 * n - coalesce(h1, 0)) l1, greatest(0e0, 0.1e0 * n - coalesce(h2, 0)) l2, greatest(0e0, 0.15e0 * n - coalesce(h3, 0)) l3 FROM t),
+q AS (SELECT l1 * (m / (l1 + l2 + l3)) b1, l1 * (m / (l1 + l2 + l3)) + l2 * (m / (l1 + l2 + l3)) b2 FROM l),
+placed AS (SELECT *, sum(group_rows) OVER (ORDER BY md5('42|' || group_key), group_key) - group_rows / 2e0 middle FROM f WHERE status = 'new')
+SELECT group_key, group_rows, CASE WHEN middle <= b1 THEN 'train' WHEN middle <= b2 THEN 'val' ELSE 'test' END split, status FROM placed, q UNION ALL SELECT group_key, group_rows, split, status FROM f WHERE status <> 'new'"""
 ORACLES: dict[str, str] = {
     "p2_found": f"{_REPORT} SELECT plan, category FROM r WHERE available < required",
     "p2_report": f"{_REPORT} SELECT plan, category, population, available, required, least(available, required) taken FROM r",
     "p3_found": f"{_PAIRS} SELECT t table_name, ia id_a, ib id_b FROM found",
     "p4_found": f"{_SPREAD} SELECT entry_id, group_key FROM s JOIN g USING (component)",
+    "p4_assignment": f"{_SPREAD_ALL} {_ASSIGNED}",
     "p5_found": f"{_CROSS} SELECT ia entry_id_a, ib entry_id_b FROM crossing",
     "p5_report": f"{_CROSS}, held AS (SELECT CASE WHEN sa = 'train' THEN ib ELSE ia END id, CASE WHEN sa = 'train' THEN sb ELSE sa END split, CASE WHEN sa = 'train' THEN cb ELSE ca END source_id FROM crossing) SELECT split, source_id, count(DISTINCT id) n_rows, count(*) n_pairs FROM held GROUP BY ALL",
     "p6_found": f"{_FORMS} SELECT t table_name, id record_id, first_id FROM g WHERE n > 1",

@@ -100,20 +100,44 @@ def test_spread_rows(spark):
 
 
 def test_assignment_fills_deficits(spark):
-    groups = [(f"g{i}", 1 + i % 3, None, None) for i in range(3000)] + [(f"k{i}", 2, "train", "train") for i in range(300)] + [("bad", 5, "test", "train")]
-    df = spark.createDataFrame(groups, "group_key string, group_rows bigint, low string, high string")
+    groups = [(f"g{i}", f"g{i}", 1 + i % 3, None, "new") for i in range(3000)] + [(f"k{i}", f"k{i}", 2, "train", "kept") for i in range(300)] + [("bad", "bad", 5, None, "quarantined")]
+    df = spark.createDataFrame(groups, "component string, group_key string, group_rows bigint, split string, status string").withColumn("h", F.lit("clash"))
     out = components.assign(df).collect()
     assert len(out) == len(groups)
     by = {}
     for r in out:
         by[r["split"]] = by.get(r["split"], 0) + r["group_rows"]
-        assert r["status"] == {"g": "new", "k": "kept", "b": "conflict"}[r["group_key"][0]]
     assert by.pop(None) == 5
     total = sum(by.values())
     assert abs(by["train"] / total - 0.75) < 0.01 and abs(by["val"] / total - 0.10) < 0.01 and abs(by["test"] / total - 0.15) < 0.01
     assert components.assign(df.limit(0)).count() == 0
 
 
+def test_store_keeps_splits_from_batch_to_batch(spark, tmp_path):
+    entries = spark.createDataFrame([("a", "train"), ("a", None), ("b", None), ("c", "val"), ("c", "val"), ("c", "train"), ("d", None), ("e", "test"), ("f", None), (None, "val")], "source_id string, split string")
+    edges = lambda *e: spark.createDataFrame(e, "node string, key string")
+    store = components.Store(spark, str(tmp_path / "store"))
+    assert store.version() == 0 and store.components() is None and store.splits() is None
+    got = lambda: {r["component"]: (r["split"], r["status"]) for r in store.splits().collect()}
+    store.add(edges(("a", "p1"), ("b", "p1"), ("e", "p2"), ("x", "p3")), entries)
+    first = got()
+    assert (first["a"], first["c"], first["e"]) == (("train", "kept"), ("val", "settled"), ("test", "kept")) and first["d"][1] == first["f"][1] == "new" and "x" not in first
+    # d joins a: both keep a's split only if d had the same one; c and e are one now, with different splits
+    store.add(edges(("c", "p4"), ("e", "p4"), ("x", "p5"), ("a", "p5")), entries)
+    again = got()
+    assert store.version() == 2 and again["a"] == ("train", "kept") and again["c"] == (None, "quarantined") and "e" not in again
+    assert again["d"] == (first["d"][0], "kept") and again["f"] == (first["f"][0], "kept")
+    # what is quarantined stays so
+    store.add(edges(("c", "p6"), ("d", "p6")), entries)
+    assert got()["c"] == (None, "quarantined")
+    whole = components.Store(spark, str(tmp_path / "once"))
+    whole.add(edges(("a", "p1"), ("b", "p1"), ("e", "p2"), ("x", "p3"), ("c", "p4"), ("e", "p4"), ("x", "p5"), ("a", "p5"), ("c", "p6"), ("d", "p6")))
+    assert sorted(map(tuple, store.components().collect())) == sorted(map(tuple, whole.components().collect()))
+    # half a version is not seen
+    (tmp_path / "store" / "v9" / "components").mkdir(parents=True)
+    assert store.version() == 3
+
+
 def test_hot_keys_are_joined_alike(spark):
     rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(300)] + [(999, None)], "id bigint, k string")
     lookup = rows.groupBy("k").agg(F.count("*").alias("w"), F.min("id").alias("first"))
