@@ -92,8 +92,15 @@ def _populations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label.unionByName(entry.select(F.explode(kinds).alias("k"), F.col("entry_id").alias("id")).select("k.plan", "k.category", "id"))
 
 
+def _reservoirs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The reservoirs of one pass over all plans' populations, and the targets. The tables' footers tell how many rows a plan can have."""
+    targets = table(spark, sf_dir, "sampling_target")
+    upper = max(table(spark, sf_dir, t).count() for t in ("manifest", "stage1_entry"))
+    return sampling.reservoirs(_populations(spark, sf_dir), targets, upper), targets
+
+
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.report(sampling.reservoirs(_populations(spark, sf_dir)), table(spark, sf_dir, "sampling_target"))
+    return sampling.report(*_reservoirs(spark, sf_dir))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,8 +111,13 @@ def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir).select("plan", "category", "population", "available", "required", "taken")
 
 
+def p2_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sample's shares are from the targets."""
+    return _report(spark, sf_dir).select("plan", "category", "target_pct", "achieved_pct", "exhausted")
+
+
 def p2_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.sample(_populations(spark, sf_dir), table(spark, sf_dir, "sampling_target"))
+    return sampling.sample(*_reservoirs(spark, sf_dir))
 
 
 def _stored(spark: SparkSession, sf_dir: str, entries: DataFrame | None = None) -> components.Store:
@@ -182,7 +194,7 @@ def p8_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_found, p2_found, p2_report, p2_sample, p3_found, p3_groups, p4_found, p4_assignment, p4_update, p5_found, p5_report,
+        p1_found, p2_found, p2_report, p2_shares, p2_sample, p3_found, p3_groups, p4_found, p4_assignment, p4_update, p5_found, p5_report,
         p6_found, p6_kept, p7_sequences, p7_fill, p8_found, p8_proximity, p9_found, p9_forms, p9_groups,
     )
 }
@@ -221,6 +233,8 @@ SELECT group_key, group_rows, CASE WHEN middle <= b1 THEN 'train' WHEN middle <=
 ORACLES: dict[str, str] = {
     "p2_found": f"{_REPORT} SELECT plan, category FROM r WHERE available < required",
     "p2_report": f"{_REPORT} SELECT plan, category, population, available, required, least(available, required) taken FROM r",
+    "p2_shares": f"{_REPORT} SELECT plan, category, target_pct, round(least(available, required) * 100e0 / sum(least(available, required)) OVER (PARTITION BY plan), 6) achieved_pct, available < required exhausted FROM r JOIN sampling_target USING (plan, category)",
+    "p2_sample": f"{_REPORT}, ids AS (SELECT 'manifest_label' plan, lower(regexp_replace(label, '^\\s+|\\s+$', '', 'g')) category, row_id id FROM manifest WHERE label IS NOT NULL UNION ALL SELECT 'entry_domain', domain, entry_id FROM stage1_entry UNION ALL SELECT 'entry_turns', domain || '/' || {_BUCKET}, entry_id FROM stage1_entry), ranked AS (SELECT *, row_number() OVER (PARTITION BY plan, category ORDER BY ('0x' || substr(md5('42|' || plan || '|' || id), 1, 15))::BIGINT, id) k FROM ids) SELECT plan, category, id FROM ranked JOIN r USING (plan, category) WHERE k <= least(available, required)",
     "p3_found": f"{_PAIRS} SELECT t table_name, ia id_a, ib id_b FROM found",
     "p4_found": f"{_SPREAD} SELECT entry_id, group_key FROM s JOIN g USING (component)",
     "p4_assignment": f"{_SPREAD_ALL} {_ASSIGNED}",

@@ -16,39 +16,47 @@ ROWS = "plan string, category string, id bigint"
 TARGETS = "plan string, category string, sample_pct int, target_pct int, min_rows int"
 
 
-def test_sample_meets_feasible_quotas(spark):
+@pytest.mark.parametrize("upper", [None, 4000])
+def test_sample_meets_feasible_quotas(spark, upper):
     rows = [("p", "big", i) for i in range(3000)] + [("p", "small", i) for i in range(4)] + [("p", None, i) for i in range(996)] + [("q", "x", 1)] * 3
     targets = [("p", "big", 50, 60, 1), ("p", "small", 50, 1, 2), ("p", "none", 50, 10, 5), ("q", "x", 100, 50, 2), ("r", "y", 10, 10, 0)]
-    df, t = spark.createDataFrame(rows, ROWS).withColumn("n", F.lit("clash")), spark.createDataFrame(targets, TARGETS)
-    report = {(r["plan"], r["category"]): r for r in sampling.report(sampling.reservoirs(df), t).collect()}
+    df, t = spark.createDataFrame(rows, ROWS).repartition(3).withColumn("n", F.lit("clash")), spark.createDataFrame(targets, TARGETS)
+    held = sampling.reservoirs(df, t, upper)
+    report = {(r["plan"], r["category"]): r for r in sampling.report(held, t).collect()}
     assert (report["p", "big"]["required"], report["p", "big"]["taken"], report["p", "big"]["exhausted"]) == (1200, 1200, False)
     assert (report["p", "small"]["required"], report["p", "small"]["taken"]) == (20, 4) and report["p", "small"]["exhausted"]
     assert report["p", "none"]["available"] == 0 and report["p", "none"]["exhausted"]
-    assert not report["r", "y"]["exhausted"]
-    got = [tuple(r) for r in sampling.sample(df, t).collect()]
+    assert not report["r", "y"]["exhausted"] and report["p", "big"]["achieved_pct"] == round(120000 / 1204, 6)
+    got = [tuple(r) for r in sampling.sample(held, t).collect()]
     counts = {k: sum(1 for x in got if x[:2] == k) for k in {x[:2] for x in got}}
     assert counts == {("p", "big"): 1200, ("p", "small"): 4, ("q", "x"): 2}
     assert len({x for x in got if x[1] == "big"}) == 1200
-    assert got == [tuple(r) for r in sampling.sample(df, t).collect()] or sorted(got) == sorted(tuple(r) for r in sampling.sample(df, t).collect())
+    # however the rows are spread over tasks, and with bounded reservoirs or whole ones, the sample is the same
+    assert sorted(got) == sorted(tuple(r) for r in sampling.sample(sampling.reservoirs(df.repartition(1), t), t).collect())
 
 
-def test_reservoirs_merge(spark):
-    a = spark.createDataFrame([("p", "x", i) for i in range(50)], ROWS)
-    b = spark.createDataFrame([("p", "x", i) for i in range(50, 90)], ROWS)
-    once = sampling.reservoirs(a.union(b))
-    assert sorted(map(tuple, sampling.merged(sampling.reservoirs(a), sampling.reservoirs(b)).collect())) == sorted(map(tuple, once.collect()))
+def test_reservoirs_are_bounded_and_merge(spark):
+    t = spark.createDataFrame([("p", "x", 10, 10, 5)], TARGETS)
+    df = spark.createDataFrame([("p", "x" if i % 2 else "y", i) for i in range(90_000)], ROWS)
+    a, b = (sampling.reservoirs(df.filter(f"id % 3 {c} 0").repartition(2), t, 90_000) for c in ("=", "<>"))
+    assert a.filter("priority is not null").count() <= 2 * 900 and a.filter("category = 'y' and priority is not null").count() == 0
+    once = sampling.reservoirs(df.repartition(4), t)
+    both = sampling.merged(a, b)
+    assert sorted(map(tuple, sampling.sample(both, t).collect())) == sorted(map(tuple, sampling.sample(once, t).collect()))
+    assert sampling.report(both, t).collect() == sampling.report(once, t).collect() and sampling.report(both, t).first()["taken"] == 900
 
 
 def test_sample_is_uniform(spark):
-    df = spark.createDataFrame([("p", "x", i) for i in range(4000)], ROWS)
-    ids = [r["id"] for r in sampling.sample(df, spark.createDataFrame([("p", "x", 100, 25, 0)], TARGETS)).collect()]
+    df, t = spark.createDataFrame([("p", "x", i) for i in range(4000)], ROWS), spark.createDataFrame([("p", "x", 100, 25, 0)], TARGETS)
+    ids = [r["id"] for r in sampling.sample(sampling.reservoirs(df, t, 4000), t).collect()]
     assert len(ids) == 1000 and abs(np.mean(ids) - 2000) < 150
 
 
 def test_sample_of_nothing(spark):
     none, t = spark.createDataFrame([], ROWS), spark.createDataFrame([("p", "x", 100, 25, 3)], TARGETS)
-    assert sampling.sample(none, t).count() == 0 and sampling.sample(none, t.limit(0)).count() == 0
-    assert sampling.report(sampling.reservoirs(none), t).first()["exhausted"]
+    held = sampling.reservoirs(none, t, 0)
+    assert sampling.sample(held, t).count() == 0 and sampling.sample(held, t.limit(0)).count() == 0
+    assert sampling.report(held, t).first()["exhausted"]
 
 
 # --- 4: components and splits
