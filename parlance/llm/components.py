@@ -71,13 +71,13 @@ def update_components(previous: DataFrame | None, edges: DataFrame, hot_rows: in
     edges = materialize(edges, "new-edges")
     nodes = previous.filter("not is_key").select(F.col("name").alias("node"), "component")
     keys = previous.filter("is_key").select(F.col("name").alias("key"), F.col("component").alias("node"))
-    mapped = edges.join(nodes, "node", "left").select(F.coalesce("component", "node").alias("node"), "key")
-    known = edges.select("key").distinct().join(keys, "key").select("node", "key")
+    mapped = edges.join(nodes.hint("merge"), "node", "left").select(F.coalesce("component", "node").alias("node"), "key")
+    known = edges.select("key").distinct().join(keys.hint("merge"), "key").select("node", "key")
     merged = connect(mapped.unionByName(known).distinct(), hot_rows)
     merged = materialize(merged, "merged")
     now = merged.filter("not is_key").select(F.col("name").alias("component"), F.col("component").alias("now"))
-    old = previous.join(now, "component", "left").select("name", "is_key", F.coalesce("now", "component").alias("component"))
-    new = merged.join(previous.select("name", "is_key"), ["name", "is_key"], "left_anti").select("name", "is_key", "component")
+    old = previous.join(now.hint("merge"), "component", "left").select("name", "is_key", F.coalesce("now", "component").alias("component"))
+    new = merged.join(previous.select("name", "is_key").hint("merge"), ["name", "is_key"], "left_anti").select("name", "is_key", "component")
     return old.unionByName(new)
 
 

@@ -79,7 +79,7 @@ def reservoirs(rows: DataFrame, targets: DataFrame, upper: int | None = None, se
             both = least(key, most[key] if most is not None else None)
             for i in range(0, len(both), 50_000):
                 part = both[i : i + 50_000]
-                yield pd.DataFrame({"plan": key[0], "category": key[1], "id": pd.array(part[:, 1], "Int64"), "priority": pd.array(part[:, 0], "Int64"), "n": 0})
+                yield pd.DataFrame({"plan": np.full(len(part), key[0], object), "category": np.full(len(part), key[1], object), "id": pd.array(part[:, 1], "Int64"), "priority": pd.array(part[:, 0], "Int64"), "n": 0})
             del held[key]
 
     return materialize(keyed.mapInPandas(fill, _RESERVOIR), "reservoirs")
