@@ -223,37 +223,98 @@ def _buckets(sketched: DataFrame, p: Params, sided: bool) -> DataFrame:
     return marked.filter(border).select("key", "c", "side")
 
 
-def near(rows: DataFrame, p: Params, sided: bool = False) -> Near:
-    """Links between classes of ``rows``(id bigint, text string, side tinyint), and membership.
+class _Sketched(NamedTuple):
+    """The rows as they are read, their sketches, and one row for each class: c, id, number of shingles, first registers."""
 
-    ``sided``: only links between a class with a row of side 0 and one with a row of side 1 (a: side 0, b: side 1).
-    """
+    rows: DataFrame
+    sketches: DataFrame
+    classes: DataFrame
+
+
+def _sketched(rows: DataFrame, p: Params) -> _Sketched:
     rows = rows.select("id", "text", F.col("side") if "side" in rows.columns else F.lit(0).cast("tinyint").alias("side")).filter("id is not null and side is not null")
     spark = rows.sparkSession
     ship(spark)
     spread = rows.repartition(tasks_for(rows)) if rows.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism else rows
-    sketched = materialize(spread.mapInPandas(_sketcher(p), _ROW), "sketches")
+    sketches = materialize(spread.mapInPandas(_sketcher(p), _ROW), "sketches")
+    classes = sketches.groupBy("c1", "c2").agg(F.min("id").alias("class_id"), F.count("*").alias("n_rows"), F.min("n").alias("n"), F.min(F.substring("registers", 1, 2 * p.estimate_registers)).alias("r"))
+    return _Sketched(spread, sketches, classes)
 
-    kept = materialize(_buckets(sketched, p, sided), "buckets")
-    pairs = bucket_pairs(kept, p.hot_bucket, sided)
 
-    size = 2 * p.estimate_registers
-    classes = sketched.groupBy("c1", "c2").agg(F.min("id").alias("class_id"), F.count("*").alias("n_rows"), F.min("n").alias("n"), F.min(F.substring("registers", 1, size)).alias("r"))
-    side = lambda s: classes.select(F.col("c1").alias(f"c{s}"), F.col("class_id").alias(s), F.col("n").alias(f"n{s}"), F.col("r").alias(f"r{s}"))
+def _verified(made: _Sketched, pairs: DataFrame, p: Params) -> DataFrame:
+    """(a, b, inter, total): those of ``pairs``(ca, cb) that are as similar as asked for, by estimate and then by their shingles."""
+    side = lambda s: made.classes.select(F.col("c1").alias(f"c{s}"), F.col("class_id").alias(s), F.col("n").alias(f"n{s}"), F.col("r").alias(f"r{s}")).hint("merge")
     likely = pairs.join(side("a"), "ca").drop("ca").join(side("b"), "cb").drop("cb")
     likely = materialize(likely.mapInPandas(_estimator(p), "a bigint, b bigint"), "likely")
+    ends = likely.select(F.explode(F.array("a", "b")).alias("id"))
+    sets = made.rows.select("id", "text").mapInPandas(_packer(p, _bits_of(ends, p)), "id bigint, shingles binary").dropDuplicates(["id"])
+    # with how many links a set is wanted for on either side: that of a hub is not joined by one task
+    sets = sets.join(likely.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("as_a")).hint("merge"), "id", "left").join(likely.groupBy(F.col("b").alias("id")).agg(F.count("*").alias("as_b")).hint("merge"), "id", "left")
+    sets = materialize(sets.filter("as_a is not null or as_b is not null"), "sets")
+    both = likely
+    for s in ("a", "b"):
+        both = lookup_join(both, sets.filter(f"as_{s} is not null").select(F.col("id").alias(s), F.col("shingles").alias(f"s{s}"), F.col(f"as_{s}").alias("links")), [s], "links").drop("links")
+    return materialize(both.mapInPandas(_verifier(p), "a bigint, b bigint, inter int, total int"), "links")
+
+
+def _members(made: _Sketched) -> DataFrame:
+    named = materialize(made.classes.select("c1", "c2", "class_id", "n_rows"), "classes")
+    return lookup_join(made.sketches.select("id", "side", "c1", "c2"), named, ["c1", "c2"], "n_rows").select("id", "side", "class_id", "n_rows")
+
+
+def near(rows: DataFrame, p: Params, sided: bool = False) -> Near:
+    """Links between classes of ``rows``(id bigint, text string, side tinyint), and membership.
 
-    bitmap = _bits_of(likely.select(F.explode(F.array("a", "b")).alias("id")), p)
-    sets = spread.select("id", "text").mapInPandas(_packer(p, bitmap), "id bigint, shingles binary").dropDuplicates(["id"])
-    sets = materialize(sets.join(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi"), "sets")
-    both = likely.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-    links = materialize(both.mapInPandas(_verifier(p), "a bigint, b bigint, inter int, total int"), "links")
+    ``sided``: only links between a class with a row of side 0 and one with a row of side 1 (a: side 0, b: side 1).
+    """
+    made = _sketched(rows, p)
+    kept = materialize(_buckets(made.sketches, p, sided), "buckets")
+    links = _verified(made, bucket_pairs(kept, p.hot_bucket, sided), p)
     if not sided:
         links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "inter", "total")
+    return Near(links, _members(made))
+
 
-    named = materialize(sketched.groupBy("c1", "c2").agg(F.min("id").alias("class_id"), F.count("*").alias("n_rows")), "classes")
-    members = lookup_join(sketched.select("id", "side", "c1", "c2"), named, ["c1", "c2"], "n_rows").select("id", "side", "class_id", "n_rows")
-    return Near(links, members)
+def _tied(links: DataFrame) -> DataFrame:
+    """(class_id, group_id): the least class of all that ``links``(a, b) tie together, for each class that has a link."""
+    offset = F.lit(str(1 << 63)).cast("decimal(20,0)")
+    name = lambda c: F.lpad((F.col(c).cast("decimal(20,0)") + offset).cast("string"), 20, "0")  # noqa: E731  in the order of ids, negative ones too
+    number = lambda c: (F.col(c).cast("decimal(20,0)") - offset).cast("bigint")
+    ends = links.select(F.concat_ws("|", "a", "b").alias("key"), F.explode(F.array(name("a"), name("b"))).alias("node"))
+    return of_nodes(connect(ends.select("node", "key"))).select(number("node").alias("class_id"), number("component").alias("group_id"))
+
+
+def grouped(rows: DataFrame, p: Params) -> DataFrame:
+    """(id, class_id, group_id) of every row that has copies or linked texts, without a pair for each two texts of a group.
+
+    class_id: least id of the row's copies. group_id: least class of all that links tie together. First each class of a
+    bucket is held against the bucket's least one. After that only classes of one bucket that are in different groups
+    so far can change anything: those outside of the bucket's largest group are held against all of it. So a family of m
+    texts that are all near each other costs m pairs, not m * m / 2, and no link between groups is lost.
+    """
+    made = _sketched(rows, p)
+    kept = materialize(_buckets(made.sketches, p, False).select("key", "c").distinct(), "buckets")
+    hubs = kept.groupBy("key").agg(F.min("c").alias("ca"), F.count("*").alias("m"))
+    stars = lookup_join(kept, hubs, ["key"], "m").filter("c <> ca").select(F.least("c", "ca").alias("ca"), F.greatest("c", "ca").alias("cb")).distinct()
+    links = _verified(made, stars, p).select("a", "b")
+    so_far = materialize(_tied(links), "groups-so-far")
+    named = made.classes.select(F.col("c1").alias("c"), "class_id")
+    own = named.join(so_far.hint("merge"), "class_id", "left").select("c", F.coalesce("group_id", "class_id").alias("g"))
+    held = materialize(kept.join(own.hint("merge"), "c").select("key", "c", "g"), "bucket-groups")
+    sizes = held.groupBy("key", "g").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("g", F.struct("n", "g")).alias("largest"), F.sum("n").alias("m"), F.count("*").alias("groups")).filter("groups > 1")
+    mixed = materialize(lookup_join(held, sizes, ["key"], "m").select("key", "c", "g", "m", (F.col("g") != F.col("largest")).alias("outside")), "mixed")
+    more = _verified(made, _across(mixed, p.hot_bucket), p).select("a", "b")
+    tied = _tied(links.unionByName(more))
+    found = _members(made).join(tied.hint("merge"), "class_id", "left").filter("n_rows > 1 or group_id is not null")
+    return found.select("id", "class_id", F.coalesce("group_id", "class_id").alias("group_id"))
+
+
+def _across(mixed: DataFrame, hot: int) -> DataFrame:
+    """Distinct pairs (ca, cb) of classes of different groups of each bucket of ``mixed``(key, c, g, m, outside), one of them outside of the largest; buckets are cut into blocks as in cell_pairs."""
+    cut = mixed.withColumn("blocks", F.ceil(F.col("m") / F.lit(hot)).cast("int")).withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks").cast("bigint")).cast("int"))
+    left = cut.filter("outside").select("key", F.col("c").alias("x"), F.col("g").alias("gx"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    right = cut.select("key", F.col("c").alias("y"), F.col("g").alias("gy"), "block")
+    return left.join(right, ["key", "block"]).filter("gx <> gy").select(F.least("x", "y").alias("ca"), F.greatest("x", "y").alias("cb")).distinct()
 
 
 def row_pairs(found: Near, hot: int = 20_000) -> DataFrame:
@@ -278,16 +339,3 @@ def sided_pairs(found: Near, hot: int = 20_000) -> DataFrame:
     y = members.filter("side = 1").select(F.col("id").alias("y"), F.col("class_id").alias("b"))
     within = cell_pairs(members.select(F.col("class_id").alias("key"), F.col("id").alias("c"), "side"), hot, True).toDF("x", "y")
     return found.links.select("a", "b").join(x, "a").join(y, "b").select("x", "y").unionByName(within)
-
-
-def grouped(found: Near) -> DataFrame:
-    """(id, class_id, n_links, group_id) of every row that has copies or linked texts.
-
-    n_links: other classes that the row's class is linked to. group_id: least class of all that links tie together.
-    """
-    links = materialize(found.links.select(*[F.lpad(F.col(c).cast("string"), 20, "0").alias(c) for c in ("a", "b")]), "named-links")
-    ends = links.select(F.explode(F.array("a", "b")).alias("node"), F.concat_ws("|", "a", "b").alias("key"))
-    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
-    tied = of_nodes(connect(ends)).join(degree, "node").select(F.col("node").cast("bigint").alias("class_id"), F.col("component").cast("bigint").alias("group_id"), "n_links")
-    rows = found.members.join(tied, "class_id", "left").filter("n_rows > 1 or group_id is not null")
-    return rows.select("id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("group_id", "class_id").alias("group_id"))

@@ -42,11 +42,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row that is nearly the same as others: its class of copies, that class's links, and the group that links tie together."""
-    out = []
-    for t in ("stage1_entry", "manifest"):
-        found = near.near(_texts(spark, sf_dir, t).select("id", "text"), NEAR_3)
-        out.append(near.grouped(found).select(F.lit(t).alias("table_name"), "id", "class_id", "n_links", "group_id"))
+    """Every row that is nearly the same as others: its class of copies, and the group that links tie together."""
+    out = [near.grouped(_texts(spark, sf_dir, t).select("id", "text"), NEAR_3).select(F.lit(t).alias("table_name"), "id", "class_id", "group_id") for t in ("stage1_entry", "manifest")]
     return out[0].unionByName(out[1])
 
 

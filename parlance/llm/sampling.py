@@ -74,7 +74,8 @@ def reservoirs(rows: DataFrame, targets: DataFrame, upper: int | None = None, se
                 held.setdefault(key, []).append(np.stack((own["priority"].to_numpy(np.int64), own["id"].to_numpy(np.int64)), axis=1))
                 if k is not None and sum(map(len, held[key])) > 2 * k + 10_000:
                     least(key, k)
-        yield pd.DataFrame({"plan": [k[0] for k in met], "category": [k[1] for k in met], "id": None, "priority": None, "n": list(met.values())}).astype({"id": "Int64", "priority": "Int64"})
+        none = pd.array([None] * len(met), "Int64")
+        yield pd.DataFrame({"plan": pd.Series([k[0] for k in met], dtype=object), "category": pd.Series([k[1] for k in met], dtype=object), "id": none, "priority": none, "n": pd.Series(list(met.values()), dtype="int64")})
         for key in list(held):
             both = least(key, most[key] if most is not None else None)
             for i in range(0, len(both), 50_000):

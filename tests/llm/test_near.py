@@ -43,8 +43,38 @@ def test_pairs_equal_brute_force(spark):
     found = near.near(df, near.Params(width=3, threshold=0.5, rows=4, bands=48))
     got = [tuple(r) for r in near.row_pairs(found).collect()]
     assert len(got) == len(set(got)) and set(got) == want
-    grouped = near.grouped(found).collect()
-    assert {r["id"] for r in grouped} == {i for p in want for i in p}
+    # groups are the components of all pairs, though not all pairs are looked at
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in want:
+        x, y = root(a), root(b)
+        parent[max(x, y)] = min(x, y)
+    groups = near.grouped(df, near.Params(width=3, threshold=0.5, rows=4, bands=48)).collect()
+    assert {r["id"]: r["group_id"] for r in groups} == {i: root(i) for p in want for i in p} and len(groups) == len({r["id"] for r in groups})
+
+
+def test_groups_of_any_ids(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(-5, text), (-(2**63), text + " eleven"), (2**63 - 1, text + " twelve"), (3, "of something else entirely, a few words"), (None, text)]
+    got = near.grouped(spark.createDataFrame(rows, "id bigint, text string"), near.Params(width=3, threshold=0.5, rows=4, bands=48)).collect()
+    assert sorted(map(tuple, got)) == [(-(2**63), -(2**63), -(2**63)), (-5, -5, -(2**63)), (2**63 - 1, 2**63 - 1, -(2**63))]
+
+
+def test_families_are_grouped_without_all_their_pairs(spark, monkeypatch):
+    """A family of near copies costs about a pair for each member, and a chain of buckets still comes out as one group."""
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:50] + [f"x{i}"]) for i in range(700)] + [" ".join(words[k : k + 20]) for k in range(0, 40, 4)]
+    looked = []
+    verified = near._verified
+    monkeypatch.setattr(near, "_verified", lambda made, pairs, p: looked.append(pairs.count()) or verified(made, pairs, p))
+    got = near.grouped(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string"), near.Params(width=3, threshold=0.5, rows=4, bands=32, hot_bucket=100)).collect()
+    assert len({r["group_id"] for r in got if r["id"] < 700}) == 1 and len([r for r in got if r["id"] < 700]) == 700
+    assert len({r["group_id"] for r in got if r["id"] >= 700}) == 1 and sum(looked) < 60 * 700
 
 
 def test_hot_buckets_lose_nothing(spark):
