@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -79,11 +78,6 @@ def exact_mean(values: Column) -> Column:
     return F.when(F.size(present) > 0, F.aggregate(present, zero, add, finish))
 
 
-def mean_of(columns: list[Column]) -> Column:
-    """Mean of the present ones of a few columns."""
-    return exact_mean(F.array(*columns))
-
-
 def clamp(x: Column, low: float, high: float) -> Column:
     return F.when(x.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), x)))
 
@@ -107,6 +101,3 @@ def normalize_score(x: Column) -> Column:
     """Values in [0, 1] stay, rounded; others are taken as of a scale of 1 to 5 and clamped. A raw 1 stays 1; NaN gives 1."""
     return let(x, lambda v: F.when(F.isnan(v), F.lit(1.0)).otherwise(round2(F.when((v >= 0) & (v <= 1), v).otherwise(clamp((v - 1) / F.lit(4.0), 0.0, 1.0)))))
 
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))

@@ -67,6 +67,18 @@ def scored(obj: Column, d: Domain, dims: tuple[str, ...] | None = None) -> list[
     return out
 
 
+def scored_lines(obj: Column, d: Domain) -> Column:
+    """The fields of a parsed result, as the inside of a JSON object: each score as a number, or with its reasoning where the reply gave one."""
+    fields = []
+    for dim, score in zip(d.dims, scored(obj, d)):
+        name = f"{d.prefix}_{dim}"
+        own = F.coalesce(F.get_json_object(obj, f"$.{name}"), F.get_json_object(obj, f"$.{dim}"))
+        nested = F.struct(F.struct(F.get_json_object(own, "$.reasoning").alias("reasoning"), score.alias("score")).alias(name))
+        whole = F.when(own.startswith("{"), F.to_json(nested, {"ignoreNullFields": "false"})).otherwise(F.to_json(F.struct(score.alias(name)), {"ignoreNullFields": "false"}))
+        fields.append(F.regexp_replace(whole, r"^\{|\}$", ""))
+    return F.concat_ws(",", *fields)
+
+
 def failure(status_code: Column, reply: Column, obj: Column, known: Column) -> Column:
     """The first reason that holds, else null: unknown_custom_id, api_error, json_parse_error."""
     return F.when(~known, "unknown_custom_id").when(F.coalesce(status_code, F.lit(0)) != 200, "api_error").when(obj.isNull(), "json_parse_error")

@@ -13,6 +13,7 @@ from parlance.functions.replies import number, raw_value
 from parlance.functions.text import messages_of
 
 from .rows import entry_ids, first_wins, last_wins
+from .skew import lookup_join
 
 #: The descriptive fields of a multicultural dialogue.
 METADATA_FIELDS = ("country_1", "country_2", "demographics_1", "demographics_2", "statement_original", "statement_cultural", "situation", "cultural_reasoning_1", "cultural_reasoning_2", "arousal_reasoning", "arousal_score", "social_norms_1", "social_norms_2", "prejudices_1", "prejudices_2")
@@ -32,8 +33,9 @@ def gold_by_pid(rows: DataFrame, order: list[str], relation: str = "gold") -> Da
 
 
 def enrich(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
-    """``rows`` with ``domain_metadata`` of their key, null if the lookup lacks it."""
-    return rows.join(lookup, key, "left")
+    """``rows`` with ``domain_metadata`` of their key, null if the lookup lacks it. A key may hold any share of the rows."""
+    weight = rows.groupBy(key).agg(F.count("*").alias("__rows"))
+    return lookup_join(rows, lookup.join(weight, key), [key], "__rows", how="left").drop("__rows")
 
 
 def full_scores(present: dict[str, Column]) -> Column:

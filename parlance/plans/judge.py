@@ -23,6 +23,15 @@ def stub_score(key: Column, dim: Column) -> Column:
 class StubJudge:
     """Scores every dimension of the request's domain by hash."""
 
+    @staticmethod
+    def scores(under: Column | None) -> Column:
+        """A reply's JSON for ``custom_id`` and ``domain``: 0 to 1 for each dimension, under a key of its own or, for judging, as the object itself on the domain's scale."""
+        names = by_domain(F.col("domain"), lambda d: F.array(*map(F.lit, d.names)))
+        if under is not None:
+            return F.to_json(F.create_map(under, F.map_from_arrays(names, F.transform(names, lambda n: stub_score(F.col("custom_id"), n)))))
+        five = F.col("domain").isin("coherence", "empathy")
+        return F.to_json(F.map_from_arrays(names, F.transform(names, lambda n: F.when(five, F.round(1 + 4 * stub_score(F.col("custom_id"), n))).otherwise(stub_score(F.col("custom_id"), n)))))
+
     def answer(self, requests: DataFrame) -> DataFrame:
         names = by_domain(F.col("domain"), lambda d: F.array(*map(F.lit, d.names)))
         scores = F.map_from_arrays(names, F.transform(names, lambda n: stub_score(F.col("custom_id"), n)))

@@ -6,14 +6,14 @@ import argparse
 import warnings
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.functions.dims import DOMAINS, SPLIT_SHARES, char_names_of
-from parlance.functions.replies import continuation, evaluation_scores, scored
+from parlance.functions.dims import BUCKET_WEIGHTS, DOMAINS, LABEL_SHARES, SAMPLE_SIZE, SPLIT_SHARES, char_names_of
+from parlance.functions.replies import continuation, evaluation_scores, scored, scored_lines
 from parlance.operators import analytics, contrast, judged, merge, quota, shards
-from parlance.operators.rows import last_wins
-from parlance.session import materialize
+from parlance.operators.rows import first_rows, last_wins
+from parlance.session import materialize, release
 from parlance.sources import readers, writers
 
 from . import prepare as prepare_domain
@@ -21,13 +21,18 @@ from . import prompts, report
 from .judge import JudgeBackend, StubJudge
 
 
-def prepare(spark: SparkSession, root: str, domain: str, limit: int | None = None) -> prepare_domain.Prepared:
-    """Requests of a domain's raw files under raw/, written with their manifest."""
+def prepare(spark: SparkSession, root: str, domain: str, limit: int | None = None, target: int = SAMPLE_SIZE) -> prepare_domain.Prepared:
+    """Requests of a domain's raw files under raw/, written with their manifest.
+
+    Of coherence and empathy ``target`` dialogues are sampled, by label and turn bucket and by turn bucket; all of the others.
+    """
     raw = f"{root}/raw/{domain}"
     if domain == "coherence":
-        made = prepare_domain.whole_number_domain(domain, readers.coherence(spark, raw), limit)
+        items = quota.stratified_sample(readers.coherence(spark, raw), "content", "label", ["ord"], target, LABEL_SHARES, BUCKET_WEIGHTS["coherence"])
+        made = prepare_domain.whole_number_domain(domain, items, limit)
     elif domain == "empathy":
-        made = prepare_domain.whole_number_domain(domain, readers.empathy(spark, raw), limit)
+        items = quota.turn_sample(readers.empathy(spark, raw), "content", ["ord"], target, BUCKET_WEIGHTS["empathy"])
+        made = prepare_domain.whole_number_domain(domain, items, limit)
     elif domain == "commonsense":
         made = prepare_domain.commonsense(readers.commonsense(spark, raw), ["PID", "CTX", "SEG"], limit)
     else:
@@ -60,13 +65,24 @@ def parse(spark: SparkSession, root: str, domain: str) -> tuple[DataFrame, DataF
         out = judged.dual_outcomes(replies, manifest, ["file", "line_no"])
         names = DOMAINS[domain].names
         good = out.filter("reason is null").withColumn("object", F.to_json(F.struct(*names)))
+        good = good.withColumn("fields", F.regexp_replace(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), r"^\{|\}$", ""))
         return good, out.filter("reason is not null").select(F.col("failed_id").alias("custom_id"), "reason")
     out = judged.taxonomy(replies, manifest)
-    out = out.withColumn("object", F.when(F.col("object").isNotNull(), F.to_json(F.struct(*scored(F.col("object"), DOMAINS[domain])))))
+    out = out.withColumn("fields", scored_lines(F.col("object"), DOMAINS[domain])).withColumn("object", F.when(F.col("object").isNotNull(), F.to_json(F.struct(*scored(F.col("object"), DOMAINS[domain])))))
     lost = judged.missing(replies, manifest).select("custom_id", F.lit("missing_from_batch").alias("reason"))
     return out.filter("reason is null"), out.filter("reason is not null").select("custom_id", "reason").unionByName(lost)
 
 
+def write_parsed(spark: SparkSession, root: str, domain: str) -> tuple[int, int]:
+    """Writes a domain's parsed results over results/DOMAIN/PREFIX_results_N.jsonl: _id, what the manifest has, and the scores. Gives how many there are, and how many failures."""
+    good, failed = parse(spark, root, domain)
+    known = [c for c in ("content", "label", "pid", "uid", "country_1", "country_2", "source_file") if c in good.columns]
+    head = F.regexp_replace(F.to_json(F.struct(F.col("custom_id").alias("_id"), *known)), r"\}$", "")
+    lines = materialize(good.select(F.concat(head, F.lit(","), F.col("fields"), F.lit("}")).alias("line")), "parsed")
+    writers.named_lines(lines, f"{root}/results/{domain}", f"{DOMAINS[domain].prefix}_results")
+    return lines.count(), failed.count()
+
+
 def failures(spark: SparkSession, root: str, domains: list[str]) -> DataFrame:
     """(domain, custom_id, reason) of the domains' replies that are no use."""
     parts = [parse(spark, root, d)[1].select(F.lit(d).alias("domain"), "custom_id", "reason") for d in domains]
@@ -129,67 +145,146 @@ def variants(replies: DataFrame, manifest: DataFrame, model: str = "judge") -> D
     return out.select(F.col("dialogue_id").alias("candidate_id"), F.concat(F.lit("var-"), "custom_id").alias("variant_id"), F.when(F.col("variant_type") == "dimension_targeted", "targeted").otherwise("global").alias("variant_type"), "direction", "target_dimensions", "variant_messages", F.lit(model).alias("generation_model"))
 
 
-def evaluated(requests: DataFrame, replies: DataFrame) -> DataFrame:
-    """Results of evaluation replies, labelled."""
+#: What the manifest of evaluation requests holds.
+EVALUATION = "custom_id string, variant_id string, candidate_id string, domain string, direction string, variant_type string, target_dimensions array<string>, stage_1_scores map<string,double>"
+
+
+def evaluated(requests: DataFrame, replies: DataFrame, margin: float = contrast.MARGIN) -> DataFrame:
+    """Results of evaluation replies, labelled; a score must move by more than ``margin``."""
     rows = requests.join(replies, "custom_id").withColumn("variant_scores", evaluation_scores(F.col("reply"))).filter("variant_scores is not null")
-    label = contrast.label(F.col("stage_1_scores"), F.col("variant_scores"), F.col("direction"), F.col("variant_type"), char_names_of(F.col("domain")), F.col("target_dimensions"))
+    label = contrast.label(F.col("stage_1_scores"), F.col("variant_scores"), F.col("direction"), F.col("variant_type"), char_names_of(F.col("domain")), F.col("target_dimensions"), margin)
     return rows.select("variant_id", F.col("stage_1_scores").alias("original_scores"), "variant_scores", label.alias("label"))
 
 
+def refused_replies(replies: DataFrame, manifest: DataFrame, usable: Column) -> DataFrame:
+    """(custom_id, reason) of generation or evaluation replies that are no use: to unknown ids, with an error, or not of the shape asked for, and of ids without a reply."""
+    known = manifest.select("custom_id").distinct().withColumn("__known", F.lit(True))
+    rows = replies.join(known, "custom_id", "left")
+    reason = F.when(F.col("__known").isNull(), "unknown_custom_id").when(F.col("status_code") != 200, "api_error").when(~usable, "json_parse_error")
+    lost = judged.missing(replies, known.select("custom_id")).select("custom_id", F.lit("missing_from_batch").alias("reason"))
+    return rows.select("custom_id", reason.alias("reason")).filter("reason is not null").unionByName(lost)
+
+
+def answer_by_stub(spark: SparkSession, root: str, name: str) -> None:
+    """Replies of the stub judge to requests/NAME, where a batch service's replies would be: scores for judging, a marked echo for generation."""
+    ids = readers.request_lines(spark, f"{root}/requests/{name}/*").select("custom_id")
+    if name == "generation":
+        message = F.struct(F.lit("assistant").alias("role"), F.concat(F.lit("A rewritten line for "), F.col("custom_id"), F.lit(".")).alias("content"))
+        reply = F.to_json(F.struct(F.array(message).alias("continuation")))
+    elif name == "evaluation":
+        asked = readers.manifest_rows(spark, f"{root}/manifest/evaluation", EVALUATION)
+        ids = ids.join(asked.select("custom_id", "domain"), "custom_id")
+        reply = StubJudge().scores(F.lit("scores"))
+    else:
+        ids = ids.withColumn("domain", F.lit(name))
+        reply = StubJudge().scores(None)
+    body = F.struct(F.lit("stub").alias("model"), F.array(F.struct(F.struct(reply.alias("content")).alias("message"))).alias("choices"))
+    line = F.to_json(F.struct("custom_id", F.struct(F.lit(200).alias("status_code"), body.alias("body")).alias("response"), F.lit(None).cast("string").alias("error")))
+    writers.named_lines(ids.select(line.alias("line")), f"{root}/replies/{name}", "batch")
+
+
 def evaluate(variants: DataFrame, entries: DataFrame, backend: JudgeBackend | None = None) -> DataFrame:
     """Results of a backend's evaluation of all variants."""
     requests = prompts.evaluation_prompt(contrast.evaluations(variants, entries))
     return evaluated(requests, (backend or StubJudge()).answer(requests.select("custom_id", "prompt", "domain")))
 
 
+STEPS = ("prepare", "run", "parse", "retry", "merge", "split", "select", "generate", "evaluate", "pairs", "analyze", "render", "all")
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="parlance", description=__doc__)
-    parser.add_argument("step", choices=("prepare", "retry", "merge", "select", "generate", "evaluate", "pairs", "analyze"))
+    parser.add_argument("step", choices=STEPS)
     parser.add_argument("--root", required=True)
     parser.add_argument("--domain", choices=tuple(DOMAINS))
+    parser.add_argument("--max-samples", type=int, help="rows of each domain to prepare, or of all to select, at most")
+    parser.add_argument("--margin-threshold", type=float, default=contrast.MARGIN, help="by how much scores must move for a label but reject")
     args = parser.parse_args(argv)
-    spark, root = SparkSession.builder.getOrCreate(), args.root
-    if args.step == "prepare":
-        for name in [args.domain] if args.domain else DOMAINS:
-            print(name, report.markdown(prepare(spark, root, name).summary), sep="\n")
-        return
-    if args.step == "analyze":
-        pairs = readers.pairs(spark, f"{root}/pairs")
-        for summary in (analytics.score_shift, analytics.direction_distribution, analytics.variant_types, analytics.margin_sensitivity, analytics.label_rollup):
-            print(summary.__name__, report.markdown(summary(pairs)), sep="\n")
-        return
-    if args.step == "retry":
-        names = [args.domain] if args.domain else list(DOMAINS)
+    spark = SparkSession.builder.getOrCreate()
+    if args.step == "all":  # offline: the stub judge answers
+        for step, of in (("prepare", None), ("run", "judging"), ("parse", None), ("retry", None), ("merge", None), ("select", None), ("generate", None), ("run", "generation"), ("evaluate", None), ("run", "evaluation"), ("pairs", None), ("analyze", None)):
+            take_step(spark, step, args, of)
+            release(spark)
+    else:
+        take_step(spark, args.step, args)
+        release(spark)
+
+
+def take_step(spark: SparkSession, step: str, args: argparse.Namespace, of: str | None = None) -> None:
+    """One step of the pipeline over the folders of ``args.root``."""
+    root, names = args.root, [args.domain] if args.domain else list(DOMAINS)
+    if step == "prepare":
+        for name in names:
+            print(name, report.markdown(prepare(spark, root, name, args.max_samples).summary), sep="\n")
+    elif step == "run":
+        asked = {None: [*names, "generation", "evaluation"], "judging": names}.get(of, [of])
+        for name in asked:
+            if readers.there(spark, f"{root}/requests/{name}/*") and not readers.there(spark, f"{root}/replies/{name}/*"):
+                answer_by_stub(spark, root, name)
+    elif step == "parse":
+        for name in names:
+            print(name, "{} parsed, {} failed".format(*write_parsed(spark, root, name)))
+    elif step == "retry":
         failed = failures(spark, root, names)
         if judged.within_holdout(failed):
+            writers.json_lines(failed, f"{root}/holdout", mode="overwrite")
             print(f"{failed.count()} failures, held out: no retry")
             return
         for name in names:
             print(name, "{} requests to send again, {} failed ids without a request".format(*retry(spark, root, name, failed)))
-        return
-    if args.step == "merge":
+    elif step == "merge":
         failed = failures(spark, root, list(DOMAINS))
         writers.json_lines(failed, f"{root}/failures")
         print(report.markdown(judged.failure_breakdown(failed)))
         if not judged.within_holdout(failed):
             warnings.warn(f"more than {judged.HOLDOUT_LIMIT} failures: see {root}/failures and the retry step", stacklevel=2)
         writers.json_lines(merged(spark, root, *lookups(spark, root)), f"{root}/entries")
-        return
+    elif step == "analyze":
+        pairs = readers.pairs(spark, f"{root}/pairs")
+        for summary in (analytics.score_shift, analytics.direction_distribution, analytics.variant_types, analytics.margin_sensitivity, analytics.label_rollup):
+            print(summary.__name__, report.markdown(summary(pairs)), sep="\n")
+    elif step == "render":
+        for r in prompts.rendered(spark).orderBy("ord").collect():  # 32 prompts of a made-up dialogue
+            print("=" * 80, f"{r['ord']}: {r['domain']} {r['kind']}", r["prompt"], sep="\n")
+    else:
+        _second_stage(spark, step, args)
+
+
+def _second_stage(spark: SparkSession, step: str, args: argparse.Namespace) -> None:
+    root = args.root
     entries = readers.entries(spark, f"{root}/entries")
-    if args.step == "select":
-        writers.json_lines(contrast.candidates(contrast.valid_entries(entries), args.domain), f"{root}/candidates")
-    elif args.step == "generate":
+    if step == "split":
+        again = materialize(quota.assign_splits(entries, "domain", "dialogue_id", list(DOMAINS), SPLIT_SHARES), "split")
+        writers.json_lines(again, f"{root}/entries", mode="overwrite")  # its rows are in the scratch folder
+        print(report.markdown(again.groupBy("domain", "split").count().orderBy("domain", "split")))
+    elif step == "select":
+        chosen = contrast.candidates(contrast.valid_entries(first_rows(entries, ["dialogue_id"], args.max_samples)), args.domain)
+        writers.json_lines(chosen, f"{root}/candidates")
+        print(report.glimpse(chosen.select("custom_id", "domain", "variant_type", "direction")))
+    elif step == "generate":
         rows = generation_requests(entries, args.domain)
         writers.request_shards(shards.sharded(rows.select("custom_id", "line"), ["custom_id"], "stage2_gen", first=0), f"{root}/requests/generation")
         writers.manifest(rows.select("custom_id", "dialogue_id", "domain", "variant_type", "direction", "turn_count", "target_dimensions", "domain_metadata"), f"{root}/manifest/generation")
     else:
-        manifest = spark.read.schema("custom_id string, dialogue_id string, domain string, variant_type string, direction string, turn_count int, target_dimensions array<string>").json(f"{root}/manifest/generation")
-        made = variants(replies_of(spark, root, "generation"), manifest)
-        requests = prompts.evaluation_prompt(contrast.evaluations(made, entries))
-        if args.step == "evaluate":
+        manifest = readers.manifest_rows(spark, f"{root}/manifest/generation", "custom_id string, dialogue_id string, domain string, variant_type string, direction string, turn_count int, target_dimensions array<string>")
+        replies = replies_of(spark, root, "generation")
+        made = variants(replies, manifest)
+        if step == "evaluate":
+            refused = refused_replies(replies, manifest, continuation(F.col("reply")).isNotNull())
+            writers.json_lines(refused, f"{root}/failures_generation", mode="overwrite")
+            print(report.markdown(judged.failure_breakdown(refused)))
+            requests = prompts.evaluation_prompt(contrast.evaluations(made, entries))
             lines = requests.select("custom_id", writers.envelope(F.col("custom_id"), F.col("prompt")).alias("line"))
             writers.request_shards(shards.sharded(lines, ["custom_id"], "stage2_eval", first=0), f"{root}/requests/evaluation")
             writers.manifest(requests.select("custom_id", "variant_id", "candidate_id", "domain", "direction", "variant_type", "target_dimensions", "stage_1_scores"), f"{root}/manifest/evaluation")
             return
-        results = evaluated(requests, replies_of(spark, root, "evaluation"))
+        if readers.there(spark, f"{root}/manifest/evaluation"):
+            asked = last_wins(readers.manifest_rows(spark, f"{root}/manifest/evaluation", EVALUATION), ["custom_id"], ["variant_id"])
+        else:
+            asked = contrast.evaluations(made, entries)
+        replies = replies_of(spark, root, "evaluation")
+        refused = refused_replies(replies, asked, evaluation_scores(F.col("reply")).isNotNull())
+        writers.json_lines(refused, f"{root}/failures_evaluation", mode="overwrite")
+        results = evaluated(asked, replies, args.margin_threshold)
+        print(report.markdown(judged.failure_breakdown(refused)), report.markdown(results.groupBy("label").count().orderBy("label")), sep="\n")
         writers.json_lines(contrast.pairs(made, results, entries), f"{root}/pairs")

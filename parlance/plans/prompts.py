@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.functions.dims import DOMAINS, Domain, by_domain
+from parlance.functions.dims import DESCRIPTIONS, DOMAINS, Domain, by_domain, description_of
 from parlance.functions.numeric import let, round2
 from parlance.functions.text import context_lines, numbered_turns, spoken
 
@@ -13,14 +13,6 @@ ABSENT = "(not available)"
 ANCHORS = "0.0 not at all, 0.25 a little, 0.5 in part, 0.75 largely, 1.0 fully"
 
 
-def _words(dim: str) -> str:
-    return dim.split("_", 1)[1].replace("_", " ") if dim.split("_", 1)[0] in {d.prefix for d in DOMAINS.values()} else dim.replace("_", " ")
-
-
-def _line(dim: str) -> str:
-    return f"- {dim}: how far the dialogue shows {_words(dim)}"
-
-
 def _given(c: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(ABSENT))
 
@@ -28,7 +20,7 @@ def _given(c: Column) -> Column:
 def whole_number_judge(content: Column, d: Domain) -> Column:
     """Judging on a scale of 1 to 5: a question for each dimension but the overall one, which is a number alone."""
     *asked, overall = d.dims
-    questions = "\n".join(f"{i}. {x}: to what extent does the dialogue show {x.replace('_', ' ')}?" for i, x in enumerate(asked, 1))
+    questions = "\n".join(f"{i}. {x}: {DESCRIPTIONS[x]}?" for i, x in enumerate(asked, 1))
     shape = ", ".join(f'"{x}": {{"reasoning": "...", "score": 1-5}}' for x in asked)
     text = F.concat(F.lit("Judge the dialogue below.\n\nDIALOGUE:\n"), content, F.lit(f'\n\nQUESTIONS:\n{questions}\n\nAnswer as JSON only: {{{shape}, "{overall}": 1-5}}'))
     return F.when(F.trim(content) != "", text)
@@ -74,10 +66,16 @@ def score_lines(scores: Column, dims: Column, direction: Column) -> Column:
 
 
 def rubric(dims: Column) -> Column:
-    text = F.array_join(F.transform(dims, lambda d: F.concat(F.lit("- "), d, F.lit(": how far the dialogue shows "), F.regexp_replace(F.regexp_replace(d, "^[a-z]+_", ""), "_", " "))), "\n")
+    text = F.array_join(F.transform(dims, lambda d: F.concat(F.lit("- "), d, F.lit(": "), F.coalesce(description_of(d), F.lit("(unknown)")))), "\n")
     return F.coalesce(F.nullif(text, F.lit("")), F.lit("(no dimensions)"))
 
 
+def guidance(dims: Column, direction: Column) -> Column:
+    """What to do about each dimension that is to change."""
+    up, down = "make it plainer than it is, by what is said and not by telling it: ", "let it fall off without a remark on it: "
+    return F.array_join(F.transform(dims, lambda d: F.concat(F.lit("- "), d, F.lit(": "), F.when(direction == "positive", up).otherwise(down), F.coalesce(description_of(d), F.lit("(unknown)")))), "\n")
+
+
 def culture_block(metadata: Column) -> Column:
     """What is known of a dialogue's cultures; empty where nothing is."""
     keys = F.array_sort(F.filter(F.map_keys(metadata), lambda k: F.trim(metadata[k]) != ""))
@@ -97,7 +95,7 @@ def generation_prompt(rows: DataFrame) -> DataFrame:
     keep = F.array_except(F.when(F.col("scope") == "global", F.col("__names")).otherwise(F.col("__chars")), t)
     keep_block = F.when((F.size(keep) > 0) & ((F.col("scope") == "target") | (F.col("variant_type") == "global_degrade")), F.concat(F.lit("\nLEAVE AS THEY ARE:\n"), F.array_join(F.transform(keep, lambda d: F.concat(F.lit("- "), d)), "\n"), F.lit("\n"))).otherwise("")
     # joined piece by piece, so that no text of a dialogue is searched for a place to put the next one
-    prompt = F.concat(task, F.lit("\n\nCONVERSATION SO FAR:\n"), spoken(F.col("prefix")), F.lit("\n\nCONTINUATION:\n"), spoken(F.col("rewritable")), F.lit("\n\nDIMENSIONS:\n"), rubric(t), F.lit("\n\nSCORES:\n"), score_lines(F.col("__scores"), t, way), F.lit("\n"), keep_block, culture_block(F.when(F.col("domain") == "multicultural", F.col("domain_metadata"))), F.lit("\nINSTRUCTIONS:\nWrite "), F.col("turn_count").cast("string"), F.lit(' messages. Answer as JSON only: {"continuation": [{"role": "user|assistant", "content": "..."}]}'))
+    prompt = F.concat(task, F.lit("\n\nCONVERSATION SO FAR:\n"), spoken(F.col("prefix")), F.lit("\n\nCONTINUATION:\n"), spoken(F.col("rewritable")), F.lit("\n\nDIMENSIONS:\n"), rubric(t), F.lit("\n\nSCORES:\n"), score_lines(F.col("__scores"), t, way), F.lit("\n\nGUIDANCE:\n"), guidance(t, way), F.lit("\n"), keep_block, culture_block(F.when(F.col("domain") == "multicultural", F.col("domain_metadata"))), F.lit("\nINSTRUCTIONS:\nWrite "), F.col("turn_count").cast("string"), F.lit(' messages. Answer as JSON only: {"continuation": [{"role": "user|assistant", "content": "..."}]}'))
     return rows.withColumn("prompt", prompt).drop("__scores", "__names", "__chars")
 
 
@@ -106,3 +104,27 @@ def evaluation_prompt(rows: DataFrame) -> DataFrame:
     names = by_domain(F.col("domain"), lambda d: F.array(*map(F.lit, d.names)))
     prompt = F.concat(F.lit("Score the continuation.\n\nCONVERSATION SO FAR:\n"), spoken(F.col("prefix")), F.lit("\n\nCONTINUATION:\n"), spoken(F.col("variant_messages")), F.lit("\n\nDIMENSIONS:\n"), rubric(names), culture_block(F.when(F.col("domain") == "multicultural", F.col("domain_metadata"))), F.lit(f'\n\nSCALE: {ANCHORS}\nAnswer as JSON only: {{"scores": {{dimension: number}}}}'))
     return rows.withColumn("prompt", prompt)
+
+
+#: A dialogue to look at prompts with.
+SAMPLE = (("user", "I missed the last train and had to walk home."), ("assistant", "That sounds tiring. How far was it?"), ("user", "An hour and a half, and it rained."), ("assistant", "Then I hope you could sleep in."))
+
+
+def rendered(spark: SparkSession) -> DataFrame:
+    """(ord, domain, kind, prompt): each kind of generation prompt of every domain, better and worse, and its evaluation prompt, for one made-up dialogue."""
+    messages = [{"role": r, "content": c} for r, c in SAMPLE]
+    rows, ends = [], []
+    for name, d in DOMAINS.items():
+        chars = d.char_names
+        metadata = {"country_1": "Exampleland", "country_2": "Otherland", "situation": "two friends talk"} if name == "multicultural" else None
+        kinds = [("global", "global_improve", "positive", chars), ("global", "global_degrade", "negative", chars)] + [("target", "dimension_targeted", way, [c]) for way in ("positive", "negative") for c in chars]
+        for scope, kind, way, dims in kinds:
+            scores = {n: (0.45 if len(dims) > 1 else 0.25 if n == dims[0] else 0.55) for n in chars}
+            rows.append((len(rows) + len(ends) + 1, name, scope, kind, way, dims, messages[:1], messages[1:], 3, scores, metadata))
+        ends.append((len(rows) + len(ends) + 1, name, messages[:2], messages[2:], metadata))
+    said = "array<struct<role string, content string>>"
+    scores = ", ".join(f"{n}: double" for d in DOMAINS.values() for n in d.names)
+    asked = spark.createDataFrame([(*r[:9], {n: r[9].get(n) for d in DOMAINS.values() for n in d.names}, r[10]) for r in rows], f"ord int, domain string, scope string, variant_type string, direction string, target_dimensions array<string>, prefix {said}, rewritable {said}, turn_count int, scores struct<{scores}>, domain_metadata map<string,string>")
+    made = generation_prompt(asked).select("ord", "domain", F.concat_ws(" ", "variant_type", "direction", F.array_join("target_dimensions", ",")).alias("kind"), "prompt")
+    last = spark.createDataFrame(ends, f"ord int, domain string, prefix {said}, variant_messages {said}, domain_metadata map<string,string>")
+    return made.unionByName(evaluation_prompt(last).select("ord", "domain", F.lit("evaluation").alias("kind"), "prompt"))

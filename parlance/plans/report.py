@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def glimpse(df: DataFrame, rows: int = 10, columns: int = 8) -> str:
+    """The first rows and columns of a table, and how many of both there are."""
+    text = markdown(df.select(*df.columns[:columns]).limit(rows))
+    return f"{text}\n{df.count():,} rows, {len(df.columns)} columns"
+
+
 def markdown(df: DataFrame, most: int = 200) -> str:
     """A table; numbers to the right. A report of more than ``most`` rows ends with a line that says how many more there are."""
     rows = df.limit(most + 1).collect()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +61,13 @@ def empathy(spark: SparkSession, path: str) -> DataFrame:
 
 
 def commonsense(spark: SparkSession, *paths: str) -> DataFrame:
-    """Tab-separated files with a header; all columns are texts. Files are joined by name."""
+    """Tab-separated files with a header; all columns are texts. Files are joined by name; a warning for those that aren't there."""
+    for p in paths:
+        if not there(spark, p):
+            warnings.warn(f"no {p}", stacklevel=2)
+    paths = tuple(p for p in paths if there(spark, p))
+    if not paths:
+        raise FileNotFoundError("none of the commonsense files is there")
     parts = [spark.read.options(sep="\t", header=True, multiLine=True, escape='"', inferSchema=False).csv(p) for p in paths]
     out = parts[0]
     for p in parts[1:]:
@@ -89,6 +97,11 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return json_lines(spark, path, MANIFEST).select("r.*").filter("custom_id is not null")
 
 
+def manifest_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A manifest that a step of the pipeline wrote."""
+    return spark.read.schema(schema).json(path)
+
+
 def reply_columns(r: Column) -> list[Column]:
     """custom_id, model, status_code, reply, error, status of a reply line."""
     body = r["response"]["body"]
@@ -145,6 +158,6 @@ def parsed_rows(spark: SparkSession, folder: str, domain: str) -> DataFrame:
 
 
 def shard_files(spark: SparkSession, folder: str, max_bytes: int = 200 * 1024 * 1024) -> DataFrame:
-    """(path, length, domain, fits): request shards of a folder, none of them read. The domain is the name before _shard_."""
+    """(path, length, domain, fits): request shards of a folder, as request_shards writes them, none of them read. The domain is the name before _shard_."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl").load(folder).select("path", "length")
     return files.withColumn("domain", F.regexp_extract("path", r"([^/]+?)(?:_shard_[^/]*)?\.jsonl$", 1)).withColumn("fits", F.col("length") <= max_bytes)

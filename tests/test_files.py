@@ -233,3 +233,84 @@ def test_stream_of_replies(spark, tmp_path):
     q = stream.status_counts(stream.read_replies(spark, str(folder))).writeStream.format("memory").queryName("statuses").outputMode("update").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("statuses").filter("status = 'Success'").agg(F.sum("count")).first()[0] >= 3
+
+
+def test_all_steps_by_the_command_line(spark, tmp_path, capsys):
+    """From raw files to reports by the command line alone; the stub judge answers, with a broken and a repeated reply, and one retry."""
+    root = tmp_path / "root"
+    talk = lambda i: f"Human A: one {i}\nHuman B: two {i}\nHuman A: three {i}\nHuman B: four {i}"
+    write(root / "raw" / "coherence" / "c.json", {"dialogue": [talk(i) for i in range(40)], "labels": ["Yes", "No"] * 20})
+    write(root / "raw" / "empathy" / "e.json", [talk(f"e{i}") for i in range(130)])
+    write(root / "raw" / "commonsense" / "t.tsv", "PID\tUID\tCTX\tSEG\txWant_response", *(f"P{i}\tu\tuser1: a{i} [UTT] user2: b\tc\tw" for i in range(12)))
+    write(root / "raw" / "multicultural" / "x.csv", "uid,conversation,statement_original,country_1,country_2,situation", *(f'u{i},"SPK01-AAA001: a{i}\nSPK02-BBB002: b",s,A,B,at a market' for i in range(12)))
+    write(root / "raw" / "gold.json", json.dumps([{"pid": f"P{i}", "gold": "xWant"} for i in range(12)]))
+    step = lambda *args: pipeline.main([*args, "--root", str(root)])
+    step("prepare")
+    assert {(r["domain"], r["fits"]) for r in readers.shard_files(spark, str(root / "requests" / "coherence")).collect()} == {("co", True)}
+    assert [p.name for p in (root / "requests" / "commonsense").glob("*.jsonl")] == ["cs_shard_0001.jsonl"]
+    step("run")
+    # more than 100 replies break off: they are sent again and answered
+    batch = sorted((root / "replies" / "empathy").glob("*.jsonl"))[0]
+    lines = [json.loads(x) for f in sorted((root / "replies" / "empathy").glob("*.jsonl")) for x in f.read_text().split("\n") if x]
+    for f in (root / "replies" / "empathy").glob("*"):
+        f.unlink()
+    for f in (root / "replies" / "empathy").glob(".*"):
+        f.unlink()
+    good = {x["custom_id"]: x for x in lines}
+    write(batch, *(reply(i, "no use") if k < 110 else x for k, (i, x) in enumerate(sorted(good.items()))), *(list(good.values())[-1:] * 2))
+    step("retry")
+    again = [r["custom_id"] for r in readers.request_lines(spark, str(root / "requests" / "retry" / "empathy" / "1" / "*")).collect()]
+    assert len(again) == 110
+    write(root / "retries" / "empathy" / "1" / "batch_1.jsonl", *(good[i] for i in again))
+    step("parse")
+    assert "empathy\n130 parsed, 0 failed" in capsys.readouterr().out.replace("empathy 130", "empathy\n130")
+    results = readers.parsed_rows(spark, str(root / "results" / "empathy"), "empathy").collect()
+    assert len(results) == 130 and all("em_overall_empathy_score" in r["object"] for r in results)
+    step("retry")
+    assert "0 failures, held out" in capsys.readouterr().out
+    step("merge")
+    entries = readers.entries(spark, str(root / "entries"))
+    assert entries.count() == 40 + 130 + 12 + 12
+    assert entries.filter("domain_metadata['situation'] = 'at a market'").count() == 12 and entries.filter("domain_metadata['target_dimension'] = 'cs_desire'").count() == 12
+    before = {r["dialogue_id"]: r["split"] for r in entries.collect()}
+    step("split")
+    assert {r["dialogue_id"]: r["split"] for r in readers.entries(spark, str(root / "entries")).collect()} == before
+    step("select")
+    step("generate")
+    asked = readers.request_lines(spark, str(root / "requests" / "generation" / "*"))
+    assert asked.filter("line like '%CULTURAL CONTEXT%at a market%'").count() > 0 and asked.filter("line like '%GUIDANCE%'").count() == asked.count()
+    step("run")
+    step("evaluate")
+    step("run")
+    step("pairs", "--margin-threshold", "0.1")
+    step("analyze")
+    said = capsys.readouterr().out
+    pairs = readers.pairs(spark, str(root / "pairs"))
+    assert pairs.count() == pairs.select("pair_id").distinct().count() > 0 and "margin_sensitivity" in said and "rows, 4 columns" in said
+    dim = F.get("metadata.dimensions.target", F.lit(0))
+    moved = pairs.select(F.abs(F.col("evaluation.stage_1_scores")[dim] - F.col("evaluation.stage_2_scores")[dim]).alias("d")).filter("d is not null")
+    assert moved.filter("d <= 0.0999").count() == 0 < moved.count()
+    assert not [f for f in (root / "failures_generation").glob("*.json") if f.read_text().strip()]
+
+
+def test_all_at_once(spark, tmp_path, capsys):
+    root = tmp_path / "root"
+    write(root / "raw" / "coherence" / "c.json", {"dialogue": [f"Human A: one {i}\nHuman B: two {i}\nHuman A: three" for i in range(30)], "labels": ["Yes"] * 30})
+    write(root / "raw" / "empathy" / "e.json", [f"Human A: one {i}\nHuman B: two" for i in range(30)])
+    write(root / "raw" / "commonsense" / "t.tsv", "PID\tUID\tCTX\tSEG\txWant_response", *(f"P{i}\tu\tuser1: a{i} [UTT] user2: b\tc\tw" for i in range(10)))
+    write(root / "raw" / "multicultural" / "x.csv", "uid,conversation,statement_original,country_1,country_2", *(f'u{i},"SPK01-AAA001: a{i}\nSPK02-BBB002: b",s,A,B' for i in range(10)))
+    with pytest.warns(UserWarning, match="gold"):
+        pipeline.main(["all", "--max-samples", "20", "--root", str(root)])
+    assert readers.pairs(spark, str(root / "pairs")).count() > 0 and readers.manifest(spark, str(root / "manifest" / "coherence")).count() == 20
+
+
+def test_rendered_prompts(spark, capsys):
+    rows = prompts.rendered(spark).orderBy("ord").collect()
+    assert [r["ord"] for r in rows] == list(range(1, 33)) and all("missed the last train" in r["prompt"] for r in rows)
+    assert sum(r["kind"] == "evaluation" for r in rows) == 4 and sum("Exampleland" in r["prompt"] for r in rows) == 7
+
+
+def test_missing_commonsense_files_are_warned_of(spark, tmp_path):
+    tsv = write(tmp_path / "t.tsv", "PID\tCTX", "P1\tc")
+    with pytest.warns(UserWarning, match="gone.tsv"):
+        assert readers.commonsense(spark, tsv, str(tmp_path / "gone.tsv")).count() == 1
