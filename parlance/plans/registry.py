@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.functions import numeric, text
-from parlance.functions.dims import ALL_DIMS, BUCKET_WEIGHTS, DOMAINS, LABEL_SHARES, SPLIT_SHARES, TURN_BUCKETS
+from parlance.functions.dims import ALL_DIMS, BUCKET_WEIGHTS, DESCRIPTIONS, DOMAINS, LABEL_SHARES, SPLIT_SHARES, TURN_BUCKETS
 from parlance.functions.replies import scored
 from parlance.operators import analytics, contrast, judged, merge, quota, rows, shards
 from parlance.session import table
@@ -208,6 +208,25 @@ def judge_prompts(spark, sf_dir):
     return m.select("row_id", "custom_id", both.alias("prompt")).filter("prompt is not null")
 
 
+def multicultural_prompts(spark, sf_dir):
+    """Judge prompts of conversations; the id stands in for the statement, which the manifest lacks."""
+    m = table(spark, sf_dir, "manifest").filter("content like 'SPK%'")
+    return m.select("row_id", prompts.multicultural_judge(F.col("content"), F.col("custom_id"), F.col("country_1"), F.col("country_2")).alias("prompt")).filter("prompt is not null")
+
+
+def commonsense_prompts(spark, sf_dir):
+    """Both judge prompts of contexts; the id stands in for the target, and there are no relations but one."""
+    m = table(spark, sf_dir, "manifest").filter(F.contains("content", F.lit("[UTT]")))
+    relations = F.create_map(*[x for r in RELATIONS[:-1] for x in (F.lit(r), F.coalesce("label", F.lit("")) if r == "xWant" else F.lit(""))])
+    return m.select("row_id", F.explode(prompts.commonsense_judges(F.col("content"), F.col("custom_id"), relations)).alias("p")).select("row_id", "p.part", "p.prompt")
+
+
+def turn_bucket_sample(spark, sf_dir):
+    """A sample by turn bucket alone."""
+    m = table(spark, sf_dir, "manifest").select("row_id", "content")
+    return quota.turn_sample(m, "content", ["row_id"], SAMPLE_TARGET, BUCKET_WEIGHTS["empathy"]).select("row_id", "bucket")
+
+
 def shard_assignment(spark, sf_dir):
     c = contrast.candidates(contrast.first_entries(entries(spark, sf_dir))).select("custom_id")
     return shards.sharded(c, ["custom_id"], "stage2_gen", rows=500, first=0)
@@ -278,7 +297,7 @@ QUERIES = {
     for f in (
         turn_count_buckets, dedupe_fingerprint, stratified_sample_quota, stratified_sample_rows, split_assign, split_counts, split_crosstab, dialogue_messages, context_turns, conversation_turns,
         merge_scores_long, normalize_scores, stub_scores, stub_scores_all, judge_parse_taxonomy, failure_breakdown, missing_responses, dual_prompt_merge, retry_set, gold_enrich, metadata_enrich, entry_validity,
-        tier_distribution, direction_split, candidates, turn_sample, generation_prompts, judge_prompts, shard_assignment, prefix_continuation, eval_requests, evaluation_prompts, latest_results, eval_labels, label_distribution, pair_outcomes, pairs, pair_difficulty, flagship,
+        tier_distribution, direction_split, candidates, turn_sample, generation_prompts, judge_prompts, multicultural_prompts, commonsense_prompts, turn_bucket_sample, shard_assignment, prefix_continuation, eval_requests, evaluation_prompts, latest_results, eval_labels, label_distribution, pair_outcomes, pairs, pair_difficulty, flagship,
     )
 } | {"score_shift": _of_pairs(analytics.score_shift), "direction_distribution": _of_pairs(analytics.direction_distribution), "variant_type_breakdown": _of_pairs(analytics.variant_types), "margin_sensitivity": _of_pairs(analytics.margin_sensitivity), "label_rollup": _of_pairs(analytics.label_rollup)}
 
@@ -381,3 +400,45 @@ _pairs_sql = f"{_outcomes}, made AS (SELECT 'S2D-' || lpad((row_number() OVER (O
 ORACLES["pair_outcomes"] = f"WITH {_outcomes} SELECT outcome, count(*) n FROM o GROUP BY 1"
 ORACLES["pairs"] = f"WITH {_pairs_sql} SELECT pair_id, variant_id, candidate_id source_dialogue_id, domain, difficulty, CASE variant_type WHEN 'global' THEN 'global' ELSE 'target' END scope, label decision, label NOT IN ('global_flip_pass', 'target_flip_pass') intent_followed, CASE WHEN up THEN 'stage_2' ELSE 'stage_1' END chosen_source, {_said(_prefix('n'))} prompt_md5, {_said(f'CASE WHEN up THEN variant_messages ELSE ({_rest(chr(110))}) END')} chosen_md5, {_said(f'CASE WHEN up THEN ({_rest(chr(110))}) ELSE variant_messages END')} rejected_md5 FROM made"
 ORACLES["flagship"] = f"WITH {_pairs_sql} SELECT domain, label, difficulty, count(*) n FROM made GROUP BY ALL"
+
+# --- prompts, put together in SQL
+
+_q = lambda t: "'" + t.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+_said_by = lambda x: f"array_to_string([CASE WHEN lower(m.role) = 'user' THEN 'User: ' ELSE 'Assistant: ' END || coalesce(m.content, '') for m in {x}], chr(10))"
+_anchors = "0.0 not at all, 0.25 a little, 0.5 in part, 0.75 largely, 1.0 fully"
+_by_domain = lambda of: "CASE domain " + " ".join(f"WHEN '{n}' THEN {of(d)}" for n, d in DOMAINS.items()) + " END"
+_described = "CASE d " + " ".join(f"WHEN '{n}' THEN {_q(DESCRIPTIONS[x])}" for d in DOMAINS.values() for n, x in zip(d.names, d.dims)) + " END"
+_culture = "CASE WHEN domain = 'multicultural' AND len([k for k in map_keys(domain_metadata) if trim(domain_metadata[k]) <> '']) > 0 THEN chr(10) || 'CULTURAL CONTEXT:' || chr(10) || array_to_string(['- ' || k || ': ' || domain_metadata[k] for k in list_sort([k for k in map_keys(domain_metadata) if trim(domain_metadata[k]) <> ''])], chr(10)) || chr(10) ELSE '' END"
+_numbered = lambda d: "\n".join(f"{i}. {x}: {DESCRIPTIONS[x]}?" for i, x in enumerate(d.dims[:-1], 1))
+_shape = lambda d: ", ".join(f'"{x}": {{"reasoning": "...", "score": 1-5}}' for x in d.dims[:-1]) + f', "{d.dims[-1]}": 1-5'
+_judge = lambda name: f"""{_q("Judge the dialogue below." + chr(10) * 2 + "DIALOGUE:" + chr(10))} || content || {_q(chr(10) * 2 + "QUESTIONS:" + chr(10) + _numbered(DOMAINS[name]) + chr(10) * 2 + "Answer as JSON only: {" + _shape(DOMAINS[name]) + "}")}"""
+ORACLES["judge_prompts"] = f"SELECT row_id, custom_id, CASE WHEN custom_id LIKE 'co-%' THEN {_judge('coherence')} ELSE {_judge('empathy')} END prompt FROM manifest WHERE (custom_id LIKE 'co-%' OR custom_id LIKE 'em-%') AND trim(content) <> ''"
+_or_absent = lambda c: f"coalesce(nullif(trim({c}), ''), '(not available)')"
+_unit_shape = lambda names: ", ".join(f'"{n}": 0.0-1.0' for n in names)
+_nl = "\n"
+ORACLES["multicultural_prompts"] = f"""WITH t AS ({ORACLES['conversation_turns']}) SELECT row_id, {_q(f"Judge the conversation between speakers of two cultures.{_nl}{_nl}COUNTRIES: ")} || {_or_absent('country_1')} || ', ' || {_or_absent('country_2')} || {_q(f"{_nl}STATEMENT: ")} || custom_id || {_q(f"{_nl}{_nl}TURNS:{_nl}")} || turns || {_q(f"{_nl}{_nl}SCALE: {_anchors}{_nl}Answer as JSON only: {{{_unit_shape(DOMAINS['multicultural'].names)}}}")} prompt FROM manifest JOIN t USING (row_id) WHERE trim(custom_id) <> '' AND turns <> ''"""
+_cs_head = f"""{_q(f"Judge the last utterance in its context.{_nl}{_nl}CONTEXT:{_nl}")} || lines || {_q(f"{_nl}{_nl}TARGET: ")} || custom_id"""
+_cs_ask = lambda dims: _q(f"{_nl}{_nl}SCALE: {_anchors}{_nl}Answer as JSON only: {{{_unit_shape(['cs_' + x for x in dims])}}}")
+_cs_refs = f" || {_q(_nl)} || ".join(f"{_q(f'- {r}: ')} || " + (_or_absent("label") if r == "xWant" else "'(not available)'") for r in RELATIONS[:-1])
+ORACLES["commonsense_prompts"] = f"""WITH t AS ({ORACLES['context_turns']}), j AS (SELECT m.row_id, custom_id, label, lines FROM manifest m JOIN t USING (row_id) WHERE custom_id <> '') SELECT row_id, 'dim' part, {_cs_head} || {_q(f"{_nl}{_nl}REFERENCES:{_nl}")} || {_cs_refs} || {_cs_ask(DOMAINS['commonsense'].dims[:4])} prompt FROM j UNION ALL SELECT row_id, 'dlg', {_cs_head} || {_cs_ask(DOMAINS['commonsense'].dims[4:])} FROM j"""
+_rubric = lambda dims: f"coalesce(nullif(array_to_string(['- ' || d || ': ' || {_described} for d in {dims}], chr(10)), ''), '(no dimensions)')"
+ORACLES["evaluation_prompts"] = f"""WITH {_first_entries}, {_variants} SELECT 's2v-' || variant_id custom_id, {_q(f"Score the continuation.{_nl}{_nl}CONVERSATION SO FAR:{_nl}")} || {_said_by(_prefix('len(variant_messages)'))} || {_q(f"{_nl}{_nl}CONTINUATION:{_nl}")} || {_said_by('variant_messages')} || {_q(f"{_nl}{_nl}DIMENSIONS:{_nl}")} || {_rubric(_names)} || {_culture} || {_q(f'{_nl}{_nl}SCALE: {_anchors}{_nl}Answer as JSON only: {{"scores": {{dimension: number}}}}')} prompt FROM v JOIN first_entries e ON v.candidate_id = e.dialogue_id"""
+_wanted = "CASE direction WHEN 'positive' THEN CASE WHEN x <= 0.3e0 THEN 'a substantial improvement' WHEN x <= 0.6e0 THEN 'a clear improvement' ELSE 'a subtle improvement' END ELSE CASE WHEN x >= 0.7e0 THEN 'a substantial decline' WHEN x >= 0.4e0 THEN 'a clear decline' ELSE 'a minimal decline' END END"
+_pairs_of = "list_filter(list_zip(chars, char_scores), lambda p: p[2] IS NOT NULL AND list_contains(targets, p[1]))"
+_hint = "CASE direction WHEN 'positive' THEN 'make it plainer than it is, by what is said and not by telling it: ' ELSE 'let it fall off without a remark on it: ' END"
+_valid = f"coalesce({', '.join('scores.' + n for n in ALL_DIMS)}) IS NOT NULL AND messages IS NOT NULL AND len([m for m in messages if coalesce(lower(m.role), '') NOT IN ('user', 'assistant')]) = 0"
+_task = "CASE variant_type WHEN 'global_improve' THEN 'Rewrite the continuation so that it is better in every listed dimension.' WHEN 'global_degrade' THEN 'Rewrite the continuation so that it is worse in every listed dimension, and still natural.' ELSE CASE direction WHEN 'positive' THEN 'Rewrite the continuation so that it is better in the target dimension alone.' ELSE 'Rewrite the continuation so that it is worse in the target dimension alone. Be subtle: no rudeness, no obvious mistakes.' END END"
+_keep = "[x for x in CASE WHEN variant_type = 'dimension_targeted' THEN chars ELSE all_names END if NOT list_contains(targets, x)]"
+ORACLES["generation_prompts"] = f"""WITH good AS (SELECT * FROM stage1_entry WHERE {_valid}), {_cand.format(src='good')}, u AS (SELECT *, ('0x' || substr(md5(custom_id), 1, 8))::BIGINT / 4294967296.0e0 u FROM cand WHERE len(messages) >= 2),
+t AS (SELECT c.entry_id, c.custom_id, c.messages, c.direction, c.variant_type, c.targets, domain, domain_metadata, {_chars} chars, {_names} all_names, {_char_scores} char_scores, least(CASE WHEN u < 0.15e0 THEN 1 WHEN u < 0.15e0 + 0.40e0 THEN 3 WHEN u < 0.15e0 + 0.40e0 + 0.30e0 THEN 5 ELSE 7 END, len(c.messages) - 1)::INT n FROM u c JOIN good USING (entry_id))
+SELECT entry_id, custom_id, {_task} || {_q(f"{_nl}{_nl}CONVERSATION SO FAR:{_nl}")} || {_said_by(_prefix('n'))} || {_q(f"{_nl}{_nl}CONTINUATION:{_nl}")} || {_said_by('messages[len(messages) - n + 1:len(messages)]')} || {_q(f"{_nl}{_nl}DIMENSIONS:{_nl}")} || {_rubric('targets')} || {_q(f"{_nl}{_nl}SCORES:{_nl}")}
+|| array_to_string(['- ' || p[1] || ': now ' || format('{{:.2f}}', p[2]) || ', wanted: ' || {_wanted.replace('x <=', 'p[2] <=').replace('x >=', 'p[2] >=')} for p in {_pairs_of}], chr(10))
+|| {_q(f"{_nl}{_nl}GUIDANCE:{_nl}")} || array_to_string(['- ' || d || ': ' || {_hint} || {_described} for d in targets], chr(10)) || chr(10)
+|| CASE WHEN len({_keep}) > 0 AND (variant_type = 'dimension_targeted' OR variant_type = 'global_degrade') THEN {_q(f"{_nl}LEAVE AS THEY ARE:{_nl}")} || array_to_string(['- ' || x for x in {_keep}], chr(10)) || chr(10) ELSE '' END || {_culture}
+|| {_q(f"{_nl}INSTRUCTIONS:{_nl}Write ")} || n || ' messages. Answer as JSON only: {{"continuation": [{{"role": "user|assistant", "content": "..."}}]}}' prompt FROM t"""
+ORACLES["turn_bucket_sample"] = f"""WITH lab AS (SELECT row_id, content FROM manifest), pool AS (SELECT *, {_bucket('turns')} bucket FROM (SELECT *, {_turns('content')} turns FROM (SELECT *, CASE WHEN length(content) > 0 THEN md5({_strip('content')}) END fingerprint, row_number() OVER (PARTITION BY md5({_strip('content')}) ORDER BY row_id) rn FROM lab) WHERE rn = 1 OR coalesce(length(content), 0) = 0)),
+plan(bucket, ord, base) AS (VALUES ('2-6', 0, floor({SAMPLE_TARGET} * 0.25e0)::BIGINT), ('7-10', 1, floor({SAMPLE_TARGET} * 0.30e0)::BIGINT), ('11-16', 2, floor({SAMPLE_TARGET} * 0.30e0)::BIGINT), ('17-999', 3, floor({SAMPLE_TARGET} * 0.15e0)::BIGINT)),
+have AS (SELECT plan.*, coalesce(n, 0) available FROM plan LEFT JOIN (SELECT bucket, count(*) n FROM pool GROUP BY 1) USING (bucket)),
+quotas AS (SELECT bucket, available, base + CASE WHEN row_number() OVER (ORDER BY available DESC, ord) = 1 THEN {SAMPLE_TARGET} - sum(base) OVER () ELSE 0 END needed FROM have),
+ranked AS (SELECT pool.*, row_number() OVER (PARTITION BY bucket ORDER BY CASE WHEN fingerprint IS NULL THEN md5('42') ELSE md5('42|' || fingerprint) END) rk FROM pool), cut AS (SELECT ranked.*, rk <= least(needed, available) own FROM ranked JOIN quotas USING (bucket)),
+refill AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || fingerprint)) k FROM cut WHERE NOT own) SELECT row_id, bucket FROM cut WHERE own UNION ALL SELECT row_id, bucket FROM refill WHERE k <= (SELECT sum(needed - least(needed, available)) FROM quotas)"""
