@@ -15,6 +15,11 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return confusables.kinds_found(table(spark, sf_dir, "documents"))
 
 
+def p9_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of p9_found whose kind a pattern can tell: all but look-alikes."""
+    return p9_found(spark, sf_dir).filter("kind <> 'lookalike'")
+
+
 def p9_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text in its one form."""
     return confusables.normalized(table(spark, sf_dir, "documents")).select("doc_id", F.col("clean").alias("text"), F.array_join("kinds", ",").alias("kinds"))
@@ -192,7 +197,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p1_found, p2_found, p2_report, p2_shares, p2_sample, p3_found, p3_groups, p4_found, p4_assignment, p4_update, p5_found, p5_report,
-        p6_found, p6_kept, p7_sequences, p7_fill, p8_found, p8_proximity, p9_found, p9_forms, p9_groups,
+        p6_found, p6_kept, p7_sequences, p7_fill, p8_found, p8_proximity, p9_found, p9_marks, p9_forms, p9_groups,
     )
 }
 
@@ -227,7 +232,18 @@ l AS (SELECT coalesce(m, 0) m, greatest(0e0, 0.75e0 * n - coalesce(h1, 0)) l1, g
 q AS (SELECT l1 * (m / (l1 + l2 + l3)) b1, l1 * (m / (l1 + l2 + l3)) + l2 * (m / (l1 + l2 + l3)) b2 FROM l),
 placed AS (SELECT *, sum(group_rows) OVER (ORDER BY md5('42|' || group_key), group_key) - group_rows / 2e0 middle FROM f WHERE status = 'new')
 SELECT group_key, group_rows, CASE WHEN middle <= b1 THEN 'train' WHEN middle <= b2 THEN 'val' ELSE 'test' END split, status FROM placed, q UNION ALL SELECT group_key, group_rows, split, status FROM f WHERE status <> 'new'"""
+#: Code points as SQL patterns, written out here apart from the operator's own lists.
+_NO_MARKS = r"[\x{34F}\x{17B4}\x{17B5}\x{20E3}\x{FE00}-\x{FE0F}\x{180B}-\x{180F}]"
+_BLANKS = r"[\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_UNSEEN = r"[\x{AD}\x{34F}\x{61C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180E}\x{200B}\x{200C}\x{200E}\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{3164}\x{FEFF}\x{FFA0}\x{E0001}\x{200D}]"
+_EMOJIS = r"\x{A9}\x{AE}\x{203C}\x{2049}\x{2122}\x{2139}\x{2194}-\x{21AA}\x{2300}-\x{23FF}\x{24C2}\x{25AA}-\x{27BF}\x{2934}\x{2935}\x{2B05}-\x{2B55}\x{3030}-\x{303D}\x{3297}-\x{3299}\x{1F000}-\x{1FAFF}"
+_UNJOIN = lambda x: rf"regexp_replace({x}, '([{_EMOJIS}\x{{FE0F}}])\x{{200D}}([{_EMOJIS}])', '\1\2', 'g')"
+_MARKS = rf"""SELECT doc_id, 'wide' kind FROM documents WHERE regexp_matches(text, '[\x{{FF01}}-\x{{FF5E}}\x{{FF61}}-\x{{FF9F}}]')
+UNION ALL SELECT doc_id, 'combining' FROM documents WHERE regexp_matches(regexp_replace(text, '{_NO_MARKS}', '', 'g'), '\p{{M}}')
+UNION ALL SELECT doc_id, 'space' FROM documents WHERE regexp_matches(text, '{_BLANKS}')
+UNION ALL SELECT doc_id, 'invisible' FROM documents WHERE regexp_matches({_UNJOIN(_UNJOIN('text'))}, '{_UNSEEN}')"""
 ORACLES: dict[str, str] = {
+    "p9_marks": _MARKS,
     "p2_found": f"{_REPORT} SELECT plan, category FROM r WHERE available < required",
     "p2_report": f"{_REPORT} SELECT plan, category, population, available, required, least(available, required) taken FROM r",
     "p2_shares": f"{_REPORT} SELECT plan, category, target_pct, round(least(available, required) * 100e0 / sum(least(available, required)) OVER (PARTITION BY plan), 6) achieved_pct, available < required exhausted FROM r JOIN sampling_target USING (plan, category)",
