@@ -219,6 +219,8 @@ ODD_LETTER = f"[{_JAVA(*ODD)}]"
 _OTHERS = lambda name: f"[[{_JAVA(*ODD)}]&&[^{_JAVA(*HOMES[name])}]]"
 MIXED = "|".join([f"[{_JAVA(*LATIN)}]{ODD_LETTER}", f"{ODD_LETTER}[{_JAVA(*LATIN)}]"] + [x for n in HOMES if n != "LATIN" for x in (f"[{_JAVA(*HOMES[n])}]{_OTHERS(n)}", f"{_OTHERS(n)}[{_JAVA(*HOMES[n])}]")])
 NOT_ASCII = r"[^\x00-\x7f]"
+#: Neither ASCII nor one of the letters and marks that are usual in plain Latin text: few texts have any, and all that is to be looked at is among them.
+UNCOMMON = r"[^\x00-\x7f\x{a1}-\x{ac}\x{ae}-\x{24f}\x{2010}-\x{2027}\x{2030}-\x{205e}\x{20ac}]"
 
 
 def _forms_udf(spark: SparkSession):
@@ -249,7 +251,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _suspect() -> Column:
     t = F.col("text")
-    return t.rlike(NOT_ASCII) & (t.rlike(MARKED) | (t.rlike(ODD_LETTER) & t.rlike(MIXED)))
+    return t.rlike(UNCOMMON) & (t.rlike(MARKED) | (t.rlike(ODD_LETTER) & t.rlike(MIXED)))
 
 
 def normalized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

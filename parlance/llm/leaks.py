@@ -13,11 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from parlance.functions.text import words
 from parlance.operators.skew import bounded_semi_filter
 from parlance.session import materialize
 
-from .confusables import ODD_LETTER, PROTOTYPE, normalized
+from .confusables import NOT_ASCII, ODD_LETTER, PROTOTYPE, UNCOMMON, normalized
 
 #: Up to so many item words the vocabulary is broadcast (some 100 MB at most); beyond, postings are found by a shuffle.
 BROADCAST_WORDS = 2_000_000
@@ -33,9 +32,11 @@ _LOW = {c: p for c, p in PROTOTYPE.items() if c.islower() and p.islower()}
 def terms(clean: Column) -> Column:
     """The words of a text in one form; a word made of look-alikes only, on which form can't decide, by its prototype."""
     own, latin = "".join(_LOW), "".join(_LOW.values())
-    plain = words(clean)
+    found = lambda letters: F.regexp_extract_all(F.lower(clean), F.lit(f"[{letters}]+"), F.lit(0))
+    plain = found(r"a-z0-9\p{L}\p{N}")
     same = F.transform(plain, lambda w: F.when(w.rlike(f"^[{own}]+$"), F.translate(w, own, latin)).otherwise(w))
-    return F.when(clean.rlike(ODD_LETTER), same).otherwise(plain)
+    odd = clean.rlike(UNCOMMON) & clean.rlike(ODD_LETTER)
+    return F.when(~clean.rlike(NOT_ASCII), found("a-z0-9")).when(odd, same).otherwise(plain)
 
 
 def _broadcast_if(df: DataFrame, small: bool) -> DataFrame:
