@@ -214,13 +214,19 @@ _JAVA = lambda *rs: "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in rs)  # noqa
 
 #: Where the styled characters stand, with others between them.
 _STYLED = ((0x2100, 0x214F), (0x2329, 0x232A), (0x2ADC, 0x2ADC), (0xF900, 0xFB4F), (0x1D400, 0x1D7FF), (0x1EE00, 0x1EEFF), (0x1FBF0, 0x1FBF9), (0x2F800, 0x2FA1F))
-MARKED = f"[{_JAVA(*WIDE, *SPACES, *INVISIBLE, (0x200D, 0x200D), *_STYLED)}\\p{{M}}]"
-ODD_LETTER = f"[{_JAVA(*ODD)}]"
-_OTHERS = lambda name: f"[[{_JAVA(*ODD)}]&&[^{_JAVA(*HOMES[name])}]]"
-MIXED = "|".join([f"[{_JAVA(*LATIN)}]{ODD_LETTER}", f"{ODD_LETTER}[{_JAVA(*LATIN)}]"] + [x for n in HOMES if n != "LATIN" for x in (f"[{_JAVA(*HOMES[n])}]{_OTHERS(n)}", f"{_OTHERS(n)}[{_JAVA(*HOMES[n])}]")])
-NOT_ASCII = r"[^\x00-\x7f]"
-#: Neither ASCII nor one of the letters and marks that are usual in plain Latin text: few texts have any, and all that is to be looked at is among them.
-UNCOMMON = r"[^\x00-\x7f\x{a1}-\x{ac}\x{ae}-\x{24f}\x{2010}-\x{2027}\x{2030}-\x{205e}\x{20ac}]"
+#: Each class is cut with a range first, so that an ASCII character costs one comparison.
+MARKED = f"[[^\\x00-\\x9f]&&[{_JAVA(*WIDE, *SPACES, *INVISIBLE, (0x200D, 0x200D), *_STYLED)}\\p{{M}}]]"
+_ODD_ONE = f"[^\\x00-\\x{{36f}}]&&[{_JAVA(*ODD)}]"
+ODD_LETTER = f"[{_ODD_ONE}]"
+
+
+def _beside(own: str, other: str) -> str:
+    """One of ``own`` before or after one of ``other``."""
+    return f"[{own}](?=[{other}])|[{own}](?<=[{other}][{own}])"
+
+
+#: Looked for at the odd letter, of which texts have few.
+MIXED = f"(?={ODD_LETTER})(?:" + "|".join([_beside(_ODD_ONE, _JAVA(*LATIN))] + [_beside(_JAVA(*r), f"{_ODD_ONE}&&[^{_JAVA(*r)}]") for n, r in HOMES.items() if n != "LATIN"]) + ")"
 
 
 def _forms_udf(spark: SparkSession):
@@ -249,9 +255,13 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
+def not_ascii(t: Column) -> Column:
+    return F.octet_length(t) != F.length(t)
+
+
 def _suspect() -> Column:
     t = F.col("text")
-    return t.rlike(UNCOMMON) & (t.rlike(MARKED) | (t.rlike(ODD_LETTER) & t.rlike(MIXED)))
+    return not_ascii(t) & (t.rlike(MARKED) | (t.rlike(ODD_LETTER) & t.rlike(MIXED)))
 
 
 def normalized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

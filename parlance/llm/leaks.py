@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from parlance.functions.text import words
 from parlance.operators.skew import bounded_semi_filter
 from parlance.session import materialize
 
-from .confusables import NOT_ASCII, ODD_LETTER, PROTOTYPE, UNCOMMON, normalized
+from .confusables import PROTOTYPE, normalized, not_ascii
 
 #: Up to so many item words the vocabulary is broadcast (some 100 MB at most); beyond, postings are found by a shuffle.
 BROADCAST_WORDS = 2_000_000
@@ -29,14 +30,10 @@ RARE = 3
 _LOW = {c: p for c, p in PROTOTYPE.items() if c.islower() and p.islower()}
 
 
-def terms(clean: Column) -> Column:
-    """The words of a text in one form; a word made of look-alikes only, on which form can't decide, by its prototype."""
+def unmasked(term: Column) -> Column:
+    """A word of a text in one form; one made of look-alikes only, on which form can't decide, by its prototype."""
     own, latin = "".join(_LOW), "".join(_LOW.values())
-    found = lambda letters: F.regexp_extract_all(F.lower(clean), F.lit(f"[{letters}]+"), F.lit(0))
-    plain = found(r"a-z0-9\p{L}\p{N}")
-    same = F.transform(plain, lambda w: F.when(w.rlike(f"^[{own}]+$"), F.translate(w, own, latin)).otherwise(w))
-    odd = clean.rlike(UNCOMMON) & clean.rlike(ODD_LETTER)
-    return F.when(~clean.rlike(NOT_ASCII), found("a-z0-9")).when(odd, same).otherwise(plain)
+    return F.when(not_ascii(term) & term.rlike(f"^[{own}]+$"), F.translate(term, own, latin)).otherwise(term)
 
 
 def _broadcast_if(df: DataFrame, small: bool) -> DataFrame:
@@ -52,15 +49,14 @@ class Index:
 
     def __init__(self, docs: DataFrame, items: DataFrame, phrase: int = 13):
         self.phrase = phrase
-        item_words = normalized(items, "item_id").select(F.col("doc_id").alias("item_id"), F.posexplode(terms(F.col("clean"))).alias("ipos", "term"))
+        item_words = normalized(items, "item_id").select(F.col("doc_id").alias("item_id"), F.posexplode(words(F.col("clean"))).alias("ipos", "term")).withColumn("term", unmasked(F.col("term")))
         item_words = materialize(item_words, "item-words")
         n = item_words.count()
         self.small = n <= BROADCAST_WORDS
-        vocabulary = item_words.select("term").distinct()
-        vocabulary = materialize(vocabulary.select("term", F.xxhash64("term").alias("t")), "vocabulary")
         self.items = materialize(item_words.select("item_id", "ipos", F.xxhash64("term").alias("t")), "items")
-        spelled = normalized(docs).select("doc_id", F.posexplode(terms(F.col("clean"))).alias("pos", "term"))
-        self.postings = materialize(spelled.join(_broadcast_if(vocabulary, self.small), "term").select("t", "doc_id", "pos"), "postings")
+        vocabulary = materialize(self.items.select("t").distinct(), "vocabulary")
+        spelled = normalized(docs).select("doc_id", F.posexplode(words(F.col("clean"))).alias("pos", "term")).select(F.xxhash64(unmasked(F.col("term"))).alias("t"), "doc_id", "pos")
+        self.postings = materialize(spelled.join(_broadcast_if(vocabulary, self.small), "t", "left_semi"), "postings")
 
     def seeds(self) -> DataFrame:
         """(item_id, seed, seed_t, ipos, t): of every stretch of ``phrase`` words its rarest term, and the next two rarest with it.
