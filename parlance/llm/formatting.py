@@ -9,16 +9,33 @@ from parlance.functions.text import bare
 from parlance.operators.skew import HOT_ROWS, lookup_join
 from parlance.session import materialize
 
+from .confusables import normalized
+
 #: Unit separators of the canonical form; none of them is a letter or digit.
 FIELD, RECORD = "\x1f", "\x1e"
 
 
-def canonical_text(c: Column) -> Column:
-    """Letters and digits, ignoring case; a JSON object key by key, its keys in order. Null stays null."""
+#: Objects within objects have their keys put in order down to this depth.
+DEPTH = 3
+
+
+def _object(c: Column, depth: int) -> Column:
+    """A JSON object key by key, its keys in order; null if it is none."""
     whole = F.trim(F.regexp_replace(c, r"(?U)^[\s\x{feff}]+|\s+$", ""))
     entries = F.map_entries(F.from_json(F.when(whole.startswith("{") & whole.endswith("}"), whole), "map<string,string>"))
-    pairs = F.array_sort(F.transform(entries, lambda e: F.concat(bare(e["key"]), F.lit(FIELD), F.coalesce(bare(e["value"]), F.lit("")))))
-    return F.coalesce(F.concat(F.lit("{"), F.array_join(pairs, RECORD)), bare(c))
+    value = lambda v: F.coalesce(_object(v, depth - 1), bare(v), F.lit("")) if depth > 1 else F.coalesce(bare(v), F.lit(""))
+    pairs = F.array_sort(F.transform(entries, lambda e: F.concat(bare(e["key"]), F.lit(FIELD), value(e["value"]))))
+    return F.concat(F.lit("{"), F.array_join(pairs, RECORD))
+
+
+def canonical_text(c: Column) -> Column:
+    """Letters and digits, ignoring case; a JSON object key by key, its keys in order, those of objects within it, too. Null stays null."""
+    return F.coalesce(_object(c, DEPTH), bare(c))
+
+
+def in_plain_characters(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``rows`` with their text in the one form of problem 9, so that composed and decomposed letters, full-width ones and look-alikes are equal before ``prints``."""
+    return normalized(rows, id_col, text_col).select(F.col("doc_id").alias(id_col), F.col("clean").alias(text_col))
 
 
 def canonical_messages(c: Column) -> Column:

@@ -172,6 +172,12 @@ def p6_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+def p6_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As p6_found over manifest.content, with characters that look the same made equal first."""
+    rows = formatting.in_plain_characters(table(spark, sf_dir, "manifest").select("row_id", "content"), "row_id", "content")
+    return formatting.copies(formatting.prints(rows, "row_id", formatting.canonical_text(F.col("content"))))
+
+
 def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     capacities = table(spark, sf_dir, "pack_capacity")
     return packing.pack(packing.token_counts(table(spark, sf_dir, "documents")), capacities), capacities
@@ -197,7 +203,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p1_found, p2_found, p2_report, p2_shares, p2_sample, p3_found, p3_groups, p4_found, p4_assignment, p4_update, p5_found, p5_report,
-        p6_found, p6_kept, p7_sequences, p7_fill, p8_found, p8_proximity, p9_found, p9_marks, p9_forms, p9_groups,
+        p6_found, p6_kept, p6_characters, p7_sequences, p7_fill, p8_found, p8_proximity, p9_found, p9_marks, p9_forms, p9_groups,
     )
 }
 

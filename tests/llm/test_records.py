@@ -171,6 +171,15 @@ def test_copies(spark):
     assert sum(r["n_copies"] for r in formatting.kept_with_counts(printed).collect()) == 17
 
 
+def test_copies_in_other_characters_and_key_orders(spark):
+    nested = ('{"a": {"x": 1, "y": {"p": "q", "r": 2}}, "b": 3}', '{"b":3,"a":{"y":{"r":2,"p":"Q"},"x":1}}')
+    rows = [(1, "Caf\u00e9 au lait"), (2, "Cafe\u0301 au lait"), (3, "\uff28ello"), (4, "Hello"), (5, nested[0]), (6, nested[1]), (7, "p\u0430ypal"), (8, "paypal"), (9, None), (10, '{"a": {"x": "y"}}'), (11, '{"a": {"y": "x"}}')]
+    df = spark.createDataFrame(rows, "row_id bigint, content string")
+    found = lambda d: {(r["record_id"], r["first_id"]) for r in formatting.copies(formatting.prints(d, "row_id", formatting.canonical_text(F.col("content")))).collect()}
+    assert found(df) == {(5, 5), (6, 5)}
+    assert found(formatting.in_plain_characters(df.withColumn("clean", F.lit("clash")), "row_id", "content")) == {(1, 1), (2, 1), (3, 3), (4, 3), (5, 5), (6, 5), (7, 7), (8, 7)}
+
+
 def test_copies_of_messages(spark):
     schema = "entry_id bigint, messages array<struct<role string, content string>>"
     rows = [(1, [("user", "Hi there")]), (2, [("USER", "hi, there!")]), (3, [("assistant", "Hi there")]), (4, [("user", "Hi"), ("user", "there")]), (5, None), (6, []), (7, []), (8, [(None, None)]), (9, [(None, "")]), (9, [(None, "")])]
